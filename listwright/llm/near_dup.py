@@ -1,22 +1,24 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
 Documents are sets of k-word shingles. Each distinct set is a node. A node's signature has
-COORDS minima; it is posted under its rarest coordinate-value pairs only (prefix: COORDS -
-MATCHES + 1 of them, which two nodes with MATCHES equal coordinates must share), so values
-that very many documents have are skipped. Colliding nodes whose signatures agree on MATCHES
+COORDS minima; it is posted under its PREFIX rarest coordinate-value pairs only (two nodes with
+MATCHES equal coordinates share SHARED of them), so values that very many documents have are
+skipped. Colliding nodes whose signatures agree on MATCHES
 coordinates are confirmed on their full sets.
 
 Groups are never expanded into all pairs: every member of a posting list is first compared
-with the list's head; components come from those links; then only lists that still hold
-several components are joined with themselves, across components.
+with the list's head, the node whose values are most common and which thus is in the middle of
+its group; components come from those links. Nodes of lists that still hold several
+components are then posted again, now under exact coordinates: the rarest of their shingles, as
+many as nodes over the threshold must share one of, with the place of each, and joined across
+components where the places still allow the threshold. Those pairs are confirmed likewise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,9 @@ from .store import drop_kept, keep
 from .words import Words, grams, mix, slices, within_rows
 
 COORDS, MATCHES = 128, 82  # at similarity 0.8 a pair agrees on fewer than 82 with probability 5e-6
-SLOTS = 1 << 16
+SHARED = 8  # of a pair's equal coordinates, so many are in both prefixes
+PREFIX = COORDS - MATCHES + SHARED
+SLOTS, SHINGLE_SLOTS = 1 << 16, 1 << 20
 BROADCAST_IDS = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -101,36 +105,61 @@ def _tokens(batch: pa.RecordBatch) -> np.ndarray:
     return mix(flat.astype(np.uint64) | (np.arange(COORDS, dtype=np.uint64) << np.uint64(32)))
 
 
-def _loads(classes: DataFrame) -> np.ndarray:
-    """How many nodes have a value in each of SLOTS slots: a bounded sketch of all values."""
+def _loads(rows: DataFrame, values: Callable[[pa.RecordBatch], np.ndarray], slots: int) -> np.ndarray:
+    """How often values fall in each of slots slots: a sketch of bounded size over all rows."""
 
     def count(batches):
-        total = np.zeros(SLOTS, np.int64)
+        total = np.zeros(slots, np.int64)
         for batch in batches:
-            total += np.bincount((_tokens(batch).ravel() & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+            total += np.bincount((values(batch).ravel() & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], names=["slot", "load"])
 
-    found = classes.select("sig").mapInArrow(count, "slot int, load long").groupBy("slot").agg(F.sum("load").alias("load")).toPandas()
-    loads = np.zeros(SLOTS, np.uint64)
+    found = rows.mapInArrow(count, "slot int, load long").groupBy("slot").agg(F.sum("load").alias("load")).toPandas()
+    loads = np.zeros(slots, np.uint64)
     loads[found["slot"]] = np.minimum(found["load"], 2**24 - 1)
     return loads
 
 
+def _ranks(values: np.ndarray, loads: np.ndarray) -> np.ndarray:
+    """Rarest first; equal values have equal ranks everywhere."""
+    return (loads[(values & np.uint64(len(loads) - 1)).astype(np.int64)] << np.uint64(40)) | (values >> np.uint64(24))
+
+
 def _postings(classes: DataFrame) -> DataFrame:
-    """(token, node, n): each node under its COORDS - MATCHES + 1 least loaded pairs."""
-    loads, keep_n = _loads(classes), COORDS - MATCHES + 1
+    """(token, node, n, common): each node under its PREFIX least loaded pairs."""
+    loads = _loads(classes.select("sig"), _tokens, SLOTS)
 
     def post(batches):
         for batch in batches:
             if batch.num_rows:
                 token = _tokens(batch)
-                rank = (loads[(token & np.uint64(SLOTS - 1)).astype(np.int64)] << np.uint64(40)) | (token >> np.uint64(24))
-                prefix = np.take_along_axis(token, np.argpartition(rank, keep_n - 1, axis=1)[:, :keep_n], axis=1)
-                rows = np.repeat(np.arange(batch.num_rows), keep_n)
-                yield pa.RecordBatch.from_arrays([pa.array(prefix.ravel().view(np.int64)), batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows))], names=["token", "node", "n"])
+                prefix = np.take_along_axis(token, np.argpartition(_ranks(token, loads), PREFIX - 1, axis=1)[:, :PREFIX], axis=1)
+                common = loads[(token & np.uint64(SLOTS - 1)).astype(np.int64)].sum(axis=1).astype(np.int64)
+                rows = np.repeat(np.arange(batch.num_rows), PREFIX)
+                yield pa.RecordBatch.from_arrays([pa.array(prefix.ravel().view(np.int64)), batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows)), pa.array(common[rows])], names=["token", "node", "n", "common"])
+
+    return classes.where("n > 0").select("node", "n", "sig").mapInArrow(post, "token long, node long, n long, common long")
 
-    return classes.where("n > 0").select("node", "n", "sig").mapInArrow(post, "token long, node long, n long")
+
+def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, node, root, n, place): each node under its rarest shingles, n - need + 1 of them,
+    where need is the least overlap with any set over the threshold."""
+    flat = lambda batch: batch.column("shingles").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    loads = _loads(sets.select("shingles"), flat, SHINGLE_SLOTS)
+
+    def post(batches):
+        for batch in batches:
+            g = flat(batch)
+            n = batch.column("shingles").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((_ranks(g, loads), row))
+            place = np.arange(len(g)) - np.repeat(np.cumsum(n) - n, n)
+            prefix = place < (n - -(-n * percent // 100) + 1)[row]
+            rows = pa.array(row[prefix])
+            yield pa.RecordBatch.from_arrays([pa.array(g[order][prefix].view(np.int64)), batch.column("node").take(rows), batch.column("root").take(rows), pa.array(n[row[prefix]]), pa.array(place[prefix])], names=["shingle", "node", "root", "n", "place"])
+
+    return sets.select("node", "root", "shingles").mapInArrow(post, "shingle long, node long, root long, n long, place long")
 
 
 def _close(n: str, m: str, percent: int) -> Column:
@@ -138,22 +167,43 @@ def _close(n: str, m: str, percent: int) -> Column:
     return 100 * F.least(F.col(n), F.col(m)) >= percent * F.greatest(F.col(n), F.col(m))
 
 
+def _sets_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """(node, shingles) of nodes, from one text each; nodes without any doc_id are left out."""
+    picks = keep(nodes.join(classes.select("node", "pick"), "node").where("pick is not null").select(F.col("pick").alias("doc_id")).distinct(), "picks")
+    texts = documents.select("doc_id", "text").join(F.broadcast(picks) if picks.count() <= BROADCAST_IDS else picks, "doc_id", "left_semi").select("text")
+    return texts.mapInArrow(lambda batches: _sets(batches, k), "node long, shingles array<long>").dropDuplicates(["node"])
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those whose full sets are over the threshold."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of nodes, those that agree on MATCHES coordinates and then on full sets."""
+    """Of pairs (a, b), those that agree on MATCHES coordinates and then on full sets."""
     of = lambda x: classes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"))
     same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     likely = keep(pairs.join(of("a"), "a").join(of("b"), "b").where(same >= MATCHES).select("a", "b"), "likely")
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    picks = nodes.join(classes.select("node", "pick"), "node").where("pick is not null").select(F.col("pick").alias("doc_id")).distinct()
-    picks = keep(picks, "picks")
-    if picks.count() <= BROADCAST_IDS:
-        picks = F.broadcast(picks)
-    texts = documents.select("doc_id", "text").join(picks, "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(lambda batches: _sets(batches, k), "node long, shingles array<long>").dropDuplicates(["node"])
-    sets = keep(sets, "sets")
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return likely.join(side("a"), "a").join(side("b"), "b").where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+    return _alike(likely, keep(_sets_of(nodes, classes, documents, k), "sets"), percent)
+
+
+def _across(lists: DataFrame, roots: DataFrame, classes: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components among the nodes with SHARED lists that hold several components."""
+    open_lists = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = open_lists.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
+    rest = open_lists.join(several, "token").groupBy("node", "root").count().where(f"count >= {SHARED}")
+    rest = keep(rest.select("node", "root"), "rest")
+    sets = keep(_sets_of(rest.select("node"), classes, documents, k).join(rest, "node"), "sets")
+    posts = _shingle_postings(sets, percent)
+    x, y = posts.alias("x"), posts.alias("y")
+    need = F.expr(f"{percent} * (x.n + y.n)")
+    reach = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # overlap, if this shingle is the first shared
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (reach * (100 + percent) >= need))
+    pairs = keep(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "across")
+    return keep(_alike(pairs, sets.select("node", "shingles"), percent), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -193,21 +243,12 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     rows = keep(documents.select("doc_id", "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, n long, node long, check long, sig array<int>"), "signed")
     classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.first("sig").alias("sig")), "classes")
     postings = _postings(classes)
-    heads = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head"), F.max("node").alias("last")).where("head.node < last").select("token", "head")
+    heads = postings.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("head"), F.count("*").alias("nodes")).where("nodes > 1").select("token", "head")
     lists = keep(postings.join(heads, "token").select("token", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "lists")
     stars = lists.where((F.col("node") != F.col("head")) & _close("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = keep(_confirm(stars, classes, documents, k, percent), "links")
     roots = keep(components(links), "roots")
-    open_lists = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = open_lists.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("token")
-    rest = keep(open_lists.join(several, "token").select("token", "node", "n", "head", "root"), "rest")
-    one, two = rest.alias("x"), rest.alias("y")
-    across = (
-        one.join(two, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") != F.col("x.head")) & _close("x.n", "y.n", percent))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-    )
-    more = keep(_confirm(across, classes, documents, k, percent), "links")
+    more = _across(lists, roots, classes, documents, k, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
     named = classes.select("node", "check", "n", "pick").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
