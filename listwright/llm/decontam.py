@@ -63,23 +63,16 @@ def _windows(words: Column, n: int) -> Column:
     return F.transform(places, lambda i: F.struct(i.alias("place"), F.lit(n).alias("n"), F.array_join(F.slice(words, i, n), " ").alias("window")))
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key.
-
-    documents needs doc_id and text, benchmark item_id and text; other columns are ignored. An
-    item's windows are its WINDOW consecutive words, or all its words if it has fewer; an item or
-    document that is null or has no word has none. n_hit counts the document's words in any
-    occurrence of a window; items_sha256 hashes the ids of the items met, sorted as strings and
-    joined by commas. Repeated rows, and rows without doc_id, get the result of their text.
-    """
+def contaminated_texts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(text_key, n_hit, n_items, items_sha256) of the distinct texts with a hit; text_key is md5."""
     items = benchmark.select("item_id", folded_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     windows = items.select("item_id", F.explode(F.when(F.size("words") >= WINDOW, _windows(F.col("words"), WINDOW)).otherwise(F.array(F.struct(F.lit(1).alias("place"), F.size("words").alias("n"), F.array_join("words", " ").alias("window"))))).alias("w"))
     windows = keep(windows.select("item_id", "w.n", "w.window").distinct(), "item-windows")
     short = sorted(r.n for r in windows.select("n").where(f"n < {WINDOW}").distinct().collect())  # at most WINDOW - 1 numbers
     grams = windows.select(F.split("window", " ").alias("words")).distinct()
     listed = keep(_fingerprints(grams, "words", short).distinct(), "item-fingerprints")
-    base = documents.select("doc_id", F.md5("text").alias("text_key"), any_case_words(F.col("text")).alias("words"))
-    met = _fingerprints(base.select("text_key", "words"), "words", short).join(listed, "fp", "left_semi").select("text_key").distinct()
+    base = documents.select(F.md5("text").alias("text_key"), any_case_words(F.col("text")).alias("words"))
+    met = _fingerprints(base, "words", short).join(listed, "fp", "left_semi").select("text_key").distinct()
     met = keep(met, "met-texts")
     texts = documents.select(F.md5("text").alias("text_key"), "text").join(met, "text_key", "left_semi").dropDuplicates(["text_key"])
     lengths = [*short, WINDOW]
@@ -96,8 +89,27 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     covered = hits.groupBy("text_key").agg(merged.alias("n_hit"))
     named = hits.select("text_key", "n", "window").distinct().join(windows, ["n", "window"]).select("text_key", F.col("item_id").cast("string").alias("item")).distinct()
     named = named.groupBy("text_key").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
-    found = keep(covered.join(named, "text_key"), "contaminated")
+    return keep(covered.join(named, "text_key"), "contaminated")
+
+
+def find_contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key.
+
+    documents needs doc_id and text, benchmark item_id and text; other columns are ignored. An
+    item's windows are its WINDOW consecutive words, or all its words if it has fewer; an item or
+    document that is null or has no word has none. n_hit counts the document's words in any
+    occurrence of a window; items_sha256 hashes the ids of the items met, sorted as strings and
+    joined by commas. Repeated rows, and rows without doc_id, get the result of their text.
+    """
+    found = contaminated_texts(documents, benchmark)
     none = F.sha2(F.lit(""), 256)
+    base = documents.select("doc_id", F.md5("text").alias("text_key"), any_case_words(F.col("text")).alias("words"))
     return base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words")).join(found, "text_key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), "text_key"
     )
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """documents whose text has no hit; null texts stay. Columns are those of documents."""
+    found = contaminated_texts(documents, benchmark).select("text_key")
+    return documents.join(found, F.md5("text") == F.col("text_key"), "left_anti")

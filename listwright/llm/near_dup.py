@@ -86,8 +86,8 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             one, two = _set_keys(g, offsets)
             signed = pa.array(_signatures(g, offsets).ravel().view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(one), pa.array(two), pa.ListArray.from_arrays(pa.array(np.arange(0, len(signed) + 1, COORDS, dtype=np.int32)), signed)],
-                names=["doc_id", "n", "node", "check", "sig"],
+                [part.column("doc_id"), part.column("text_key"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(one), pa.array(two), pa.ListArray.from_arrays(pa.array(np.arange(0, len(signed) + 1, COORDS, dtype=np.int32)), signed)],
+                names=["doc_id", "text_key", "n", "node", "check", "sig"],
             )
 
 
@@ -231,7 +231,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, node, component_id, kept.
+    """One row per document: doc_id, n_shingles, text_key, component_id, kept.
 
     documents needs doc_id and text; other columns are ignored. Null and blank texts have an
     empty set, size 0, and are linked with nothing. Texts of fewer than k words have one
@@ -240,7 +240,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     only the rows of an equal set. kept: doc_id equals component_id (null-safe). An empty table
     gives an empty result.
     """
-    rows = keep(documents.select("doc_id", "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, n long, node long, check long, sig array<int>"), "signed")
+    rows = keep(documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, text_key long, n long, node long, check long, sig array<int>"), "signed")
     classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.first("sig").alias("sig")), "classes")
     postings = _postings(classes)
     heads = postings.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("head"), F.count("*").alias("nodes")).where("nodes > 1").select("token", "head")
@@ -254,6 +254,29 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     named = classes.select("node", "check", "n", "pick").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("pick").alias("component_id"))
     named = named.join(smallest, "root").select("node", "check", "n", "component_id")
-    own = rows.select("doc_id", "n", "node", "check")
+    own = rows.select("doc_id", "text_key", "n", "node", "check")
     out = own.where("n > 0").join(named, ["node", "check", "n"]).unionByName(own.where("n = 0").withColumn("component_id", F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "node", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "text_key", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """documents without near-duplicates: of each component the document with the smallest id.
+
+    Rows that repeat an id and its text stay once. A row without doc_id stays unless a document
+    with an id has an equal set. Columns are those of documents.
+    """
+    key = ["doc_id", "text_key"]
+    near = keep(near_duplicates(documents, k, percent).select(*key, "kept"), "near")
+    gone = keep(near.where("not kept").select(*key).distinct(), "gone")
+    twice = keep(near.where("kept").groupBy(*key).count().where("count > 1").select(*key), "twice")
+    rows = documents.withColumn("_key", F.xxhash64("text"))
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.toDF("_id", "_text")
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_key").eqNullSafe(F.col("_text")), how)
+
+    rows = among(rows, gone, "left_anti")
+    if not twice.isEmpty():
+        rows = among(rows, twice, "left_anti").unionByName(among(rows, twice, "left_semi").dropDuplicates(["doc_id", "_key"]))
+    return rows.drop("_key")
