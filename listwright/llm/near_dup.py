@@ -29,7 +29,7 @@ from .words import Words, grams, mix, slices, within_rows
 COORDS, MATCHES = 128, 82  # at similarity 0.8 a pair agrees on fewer than 82 with probability 5e-6
 SHARED = 8  # of a pair's equal coordinates, so many are in both prefixes
 PREFIX = COORDS - MATCHES + SHARED
-SLOTS, SHINGLE_SLOTS = 1 << 16, 1 << 20
+SLOTS = 1 << 16
 BROADCAST_IDS = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -105,37 +105,37 @@ def _tokens(batch: pa.RecordBatch) -> np.ndarray:
     return mix(flat.astype(np.uint64) | (np.arange(COORDS, dtype=np.uint64) << np.uint64(32)))
 
 
-def _loads(rows: DataFrame, values: Callable[[pa.RecordBatch], np.ndarray], slots: int) -> np.ndarray:
-    """How often values fall in each of slots slots: a sketch of bounded size over all rows."""
+def _loads(rows: DataFrame, values: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """How often values fall in each of SLOTS slots: a sketch of bounded size over all rows."""
 
     def count(batches):
-        total = np.zeros(slots, np.int64)
+        total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            total += np.bincount((values(batch).ravel() & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+            total += np.bincount((values(batch).ravel() & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], names=["slot", "load"])
 
-    found = rows.mapInArrow(count, "slot int, load long").groupBy("slot").agg(F.sum("load").alias("load")).toPandas()
-    loads = np.zeros(slots, np.uint64)
-    loads[found["slot"]] = np.minimum(found["load"], 2**24 - 1)
+    found = rows.mapInArrow(count, "slot int, load long").groupBy("slot").agg(F.sum("load").alias("load")).toArrow()
+    loads = np.zeros(SLOTS, np.uint32)
+    loads[found["slot"].to_numpy()] = np.minimum(found["load"].to_numpy(), 2**24 - 1)
     return loads
 
 
 def _ranks(values: np.ndarray, loads: np.ndarray) -> np.ndarray:
     """Rarest first; equal values have equal ranks everywhere."""
-    return (loads[(values & np.uint64(len(loads) - 1)).astype(np.int64)] << np.uint64(40)) | (values >> np.uint64(24))
+    return (loads[(values & np.uint64(len(loads) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (values >> np.uint64(24))
 
 
 def _postings(classes: DataFrame) -> DataFrame:
     """(token, node, n, common): each node under its PREFIX least loaded pairs."""
-    loads = _loads(classes.select("sig"), _tokens, SLOTS)
+    loads = _loads(classes.select("sig"), _tokens)
 
     def post(batches):
         for batch in batches:
             if batch.num_rows:
                 token = _tokens(batch)
                 prefix = np.take_along_axis(token, np.argpartition(_ranks(token, loads), PREFIX - 1, axis=1)[:, :PREFIX], axis=1)
-                common = loads[(token & np.uint64(SLOTS - 1)).astype(np.int64)].sum(axis=1).astype(np.int64)
+                common = loads[(token & np.uint64(SLOTS - 1)).astype(np.int64)].sum(axis=1, dtype=np.int64)
                 rows = np.repeat(np.arange(batch.num_rows), PREFIX)
                 yield pa.RecordBatch.from_arrays([pa.array(prefix.ravel().view(np.int64)), batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows)), pa.array(common[rows])], names=["token", "node", "n", "common"])
 
@@ -146,7 +146,7 @@ def _shingle_postings(sets: DataFrame, percent: int) -> DataFrame:
     """(shingle, node, root, n, place): each node under its rarest shingles, n - need + 1 of them,
     where need is the least overlap with any set over the threshold."""
     flat = lambda batch: batch.column("shingles").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    loads = _loads(sets.select("shingles"), flat, SHINGLE_SLOTS)
+    loads = _loads(sets.select("shingles"), flat)
 
     def post(batches):
         for batch in batches:
