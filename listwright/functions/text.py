@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listwright.config import DEFAULT, CompanyRules, Rules, TitleRules
@@ -119,10 +119,9 @@ def earliest(text: Column, markers: Sequence[str], start: Column | None = None)
 
 def requirement_section(text: Column, rules: Rules = DEFAULT) -> Column:
     """From the earliest start marker to the nearest end marker; null if there is none."""
-    start = earliest(text, rules.requirement_start)
-    end = F.coalesce(earliest(text, rules.requirement_end, start + 1), F.length(text) + 1)
-    section = F.substring(text, start, F.least(end - start, F.lit(rules.requirement_chars)))
-    return F.when(strip(section) != "", section)
+    upto = lambda start: F.coalesce(earliest(text, rules.requirement_end, start + 1), F.length(text) + 1)
+    section = let(earliest(text, rules.requirement_start), lambda start: F.substring(text, start, F.least(upto(start) - start, F.lit(rules.requirement_chars))))
+    return let(section, lambda s: F.when(strip(s) != "", s))
 
 
 def without_tail(text: Column, rules: Rules = DEFAULT) -> Column:
@@ -130,6 +129,11 @@ def without_tail(text: Column, rules: Rules = DEFAULT) -> Column:
     return F.when(cut.isNotNull(), F.substring(text, F.lit(1), cut - 1)).otherwise(text)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def years(low: Column, high: Column) -> Column:
     return F.struct(low.cast("int").alias("min_years"), high.cast("int").alias("max_years"))
 
@@ -142,41 +146,45 @@ def experience_phrase(text: Column, bare_range: bool = False, rules: Rules = DEF
     """struct(min_years, max_years) of the first rule met in a text without blanks, else null."""
 
     def between(pattern: str) -> Column:
-        low, high = _number(text, pattern, 1), _number(text, pattern, 2)
-        return F.when((low <= high) & (high <= rules.most_years), years(low, high))
+        pair = F.struct(_number(text, pattern, 1).alias("low"), _number(text, pattern, 2).alias("high"))
+        return let(pair, lambda p: F.when((p["low"] <= p["high"]) & (p["high"] <= rules.most_years), years(p["low"], p["high"])))
+
+    def one(pattern: str, of: Callable[[Column], Column]) -> Column:
+        return let(_number(text, pattern), lambda n: F.when(n.isNotNull(), of(n)))
 
-    one = lambda tail: _number(text, rf"(\d+){year}(?:{tail})")
     out = [
         F.when(has_any(text, none), years(F.lit(0), F.lit(None))),
         between(rf"(\d+){year}[~-](\d+){year}"),
         between(rf"(\d+)[~-](\d+){nth}"),
         between(rf"{anchor}[^\d]{{0,3}}(\d+)[~-](\d+){year}"),
         *([between(rf"(\d+)[~-](\d+){year}")] if bare_range else []),
-        F.when(one(over).isNotNull(), years(one(over), F.lit(None))),
-        F.when(one(under).isNotNull(), years(F.lit(0), one(under))),
-        F.when(one(about).isNotNull(), years(F.greatest(F.lit(0), one(about) - 1), one(about) + 1)),
-        F.when(_number(text, rf"{anchor}(\d+){year}").isNotNull(), years(_number(text, rf"{anchor}(\d+){year}"), F.lit(None))),
+        one(rf"(\d+){year}(?:{over})", lambda n: years(n, F.lit(None))),
+        one(rf"(\d+){year}(?:{under})", lambda n: years(F.lit(0), n)),
+        one(rf"(\d+){year}(?:{about})", lambda n: years(F.greatest(F.lit(0), n - 1), n + 1)),
+        one(rf"{anchor}(\d+){year}", lambda n: years(n, F.lit(None))),
     ]
     return F.coalesce(*out)
 
 
-def experience(text: Column, title: Column, rules: Rules = DEFAULT) -> Column:
-    """Years asked for, from the narrowest scope that names any: title, label, section, body, rank."""
+def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules = DEFAULT, name: str = "experience") -> DataFrame:
+    """rows with struct(min_years, max_years), from the narrowest scope that names any: title,
+    label, body if it is for newcomers, requirement section, body, rank; else (0, null).
+
+    Each scope is a column of its own first, so that no plan repeats the work on a scope.
+    """
     tight = lambda c: F.replace(c, F.lit(" "), F.lit(""))
-    newcomer = lambda c: c.contains("신입") & ~c.contains("경력")
-    label = tight(found(text, r"경력[\s|]*경력[\s]*([^\n|]{1,24})"))
-    ranks = [F.when(matches(text, rf"{r}\s?급(?!여)|{r}\s?이상"), years(F.lit(n), F.lit(None))) for r, n in rules.ranks]
-    return F.coalesce(
-        F.when(newcomer(tight(title)), years(F.lit(0), F.lit(1))),
-        experience_phrase(tight(title), True, rules),
-        experience_phrase(label, True, rules),
-        F.when(label.contains("무관"), years(F.lit(0), F.lit(None))),
-        F.when(newcomer(tight(text)), years(F.lit(0), F.lit(1))),
-        experience_phrase(tight(requirement_section(text, rules)), False, rules),
-        experience_phrase(tight(text), False, rules),
-        *ranks,
-        years(F.lit(0), F.lit(None)),
-    )
+    newcomer = lambda c: F.col(c).contains("신입") & ~F.col(c).contains("경력")
+    rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(found(text, r"경력[\s|]*경력[\s]*([^\n|]{1,24})"))})
+    rows = rows.withColumns({"_section": tight(requirement_section(F.col("_text"), rules)), "_body": tight(F.col("_text"))})
+    rows = rows.withColumns({f"_in{c}": experience_phrase(F.col(c), c in ("_titled", "_label"), rules) for c in ("_titled", "_label", "_section", "_body")})
+    ranks = [F.when(matches(F.col("_text"), rf"{r}\s?급(?!여)|{r}\s?이상"), years(F.lit(n), F.lit(None))) for r, n in rules.ranks]
+    entry, open_ = years(F.lit(0), F.lit(1)), years(F.lit(0), F.lit(None))
+    asked = F.coalesce(
+        F.when(newcomer("_titled"), entry), F.col("_in_titled"), F.col("_in_label"), F.when(F.col("_label").contains("무관"), open_),
+        F.when(newcomer("_body"), entry), F.col("_in_section"), F.col("_in_body"), *ranks, open_,
+    )
+    scopes = ("_text", "_titled", "_label", "_section", "_body")
+    return rows.withColumn(name, asked).drop(*scopes, *[f"_in{c}" for c in scopes])
 
 
 def salary(text: Column, unit: str = "만원", over: str = "이상") -> Column:
