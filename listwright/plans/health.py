@@ -116,7 +116,7 @@ def source_sets(spark, sf_dir):
     return failed.subtract(ok).withColumn("kind", F.lit("failed")).union(failed.intersect(ok).withColumn("kind", F.lit("recovered")))
 
 
-@query("SELECT d AS run_date, n_new, n_modified, n_closed, sum(n_new) OVER () AS total_new, sum(n_closed) OVER () AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 7)")
+@query("SELECT d AS run_date, n_new, n_modified, n_closed, (sum(n_new) OVER ())::BIGINT AS total_new, (sum(n_closed) OVER ())::BIGINT AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 7)")
 def weekly_trend(spark, sf_dir):
     n = lambda s: F.count_if(F.col("o_orderstatus") == s)
     days = table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").groupBy(F.to_date("o_orderdate").alias("run_date")).agg(n("O").alias("n_new"), n("P").alias("n_modified"), n("F").alias("n_closed"))

@@ -1,18 +1,11 @@
-"""Schemas of the engine's tables; nothing is inferred."""
+"""Schemas of the engine's tables and payloads as DDL; nothing is inferred."""
 
-from pyspark.sql import types as T
+POSTING = "id string, source string, company_name string, title string, origin_url string, location string, posted_at date, status string, raw_html string, first_seen_at timestamp_ntz, last_updated_at timestamp_ntz, deadline date"
+MASTER = f"{POSTING}, last_seen_date date"
+CATEGORY = "job_id string, primary_category string, min_experience int, max_experience int, salary_min int, salary_max int, work_type string, company_revenue int, company_size int, key_requirements array<string>, preferred_skills array<string>, tools_used string, ai_summary string, preferred_certifications array<string>, preferred_skills_tags array<string>"
+RUN_LOG = "run_id bigint, run_date date, newly_added int, modified_count int, closed_count int, is_success boolean, error_log string, source_counts string, successful_sources string"
 
-
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-POSTING = _struct("id string, source string, company_name string, title string, origin_url string, location string, posted_at date, status string, raw_html string, first_seen_at timestamp_ntz, last_updated_at timestamp_ntz, deadline date")
-MASTER = _struct(POSTING.simpleString()[7:-1].replace(":", " ") + ", last_seen_date date")
-CATEGORY = _struct("job_id string, primary_category string, min_experience int, max_experience int, salary_min int, salary_max int, work_type string, company_revenue int, company_size int, key_requirements array<string>, preferred_skills array<string>, tools_used string, ai_summary string, preferred_certifications array<string>, preferred_skills_tags array<string>")
-RUN_LOG = _struct("run_id bigint, run_date date, newly_added int, modified_count int, closed_count int, is_success boolean, error_log string, source_counts string, successful_sources string")
-
-JOBS_BOARD = _struct("jobs array<struct<id:bigint, title:string, absolute_url:string, content:string, location:struct<name:string>, updated_at:string, first_published:string, application_deadline:string>>")
-LISTS_BOARD = _struct("id string, text string, hostedUrl string, descriptionPlain string, lists array<struct<text:string, content:string>>, categories struct<location:string>, createdAt bigint")
-DATAS_BOARD = _struct("data struct<datas:array<struct<id:bigint, title:string, openingDate:string, dueDate:string, place:string, detail:string>>>")
-COMPANY_API = _struct("list array<struct<seq:bigint, subject:string, content1:string, content2:string, wdate:string>>")
+JOBS_BOARD = "jobs array<struct<id: bigint, title: string, absolute_url: string, content: string, location: struct<name: string>, updated_at: string, first_published: string>>"
+LISTS_BOARD = "array<struct<id: string, text: string, hostedUrl: string, descriptionPlain: string, lists: array<struct<text: string, content: string>>, categories: struct<location: string>, createdAt: bigint>>"
+DATAS_BOARD = "data struct<datas: array<struct<id: bigint, title: string, openingDate: string, dueDate: string, place: string>>>"
+COMPANY_API = "list array<struct<seq: bigint, subject: string, content1: string, content2: string, wdate: string>>"

@@ -49,7 +49,7 @@ def jobs_board(payloads: DataFrame, source: str, company: str, run_ts: Column, j
 
 def lists_board(payloads: DataFrame, source: str, company: str, run_ts: Column, json: str = "payload") -> DataFrame:
     """A root array: the body is the description and each list's heading and content, by lines."""
-    job = payloads.select(F.explode(F.from_json(json, f"array<{LISTS_BOARD.simpleString()}>")).alias("j"))
+    job = payloads.select(F.explode(F.from_json(json, LISTS_BOARD)).alias("j"))
     parts = F.flatten(F.transform(F.coalesce("j.lists", F.array()), lambda x: F.array(x["text"], html_to_text(x["content"]))))
     body = F.array_join(F.filter(F.concat(F.array("j.descriptionPlain"), parts), lambda x: x.isNotNull() & (x != "")), "\n")
     day = F.to_date(F.timestamp_millis("j.createdAt"))
