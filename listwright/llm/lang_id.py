@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -151,18 +150,17 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     rows = documents.drop("lang_pred", "score")
     held = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang string, score double>")
-    def guess(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang string, score double>")
+    def guess(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
         for texts in column:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-            found = []
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            langs, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
             for part in slices(batch, "text"):
                 bits = own.bits(part.column("text"))
-                best = bits.argmin(axis=1)
-                score = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
-                found.append(pd.DataFrame({"lang": np.array(own.langs, object)[best], "score": score}))
-            yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang": pd.Series([], dtype=object), "score": pd.Series([], dtype=float)})
+                langs.append(bits.argmin(axis=1))
+                scores.append(1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1))
+            yield pa.StructArray.from_arrays([pa.array(own.langs, pa.string()).take(pa.array(np.concatenate(langs))), pa.array(np.concatenate(scores))], names=["lang", "score"])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if not model.langs:
