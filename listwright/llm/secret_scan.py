@@ -28,7 +28,7 @@ CLASSES = 28  # a-z, digits, the rest
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)"
     r"|(?:(?<=[=:])|(?<=[=:][ \"'])|(?<=[=:][ ][\"']))(?<![A-Za-z0-9])[A-Za-z0-9_+/=.!@#$%^&*-]{8,}"
-    r"|(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]{0,64}[0-9])[A-Za-z0-9_+/=-][A-Za-z0-9_+/=.-]{14,}[A-Za-z0-9_+/=-]",
+    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,64}[0-9])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{14,}[A-Za-z0-9_+/-]={0,2}",
     re.S,
 )
 #: Words beside a candidate.
