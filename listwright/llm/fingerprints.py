@@ -21,16 +21,16 @@ from .words import mix, window_min
 
 K, W = 8, 16
 ROWS_EACH, MAX_PARTS = 2000, 4096
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 _POINT = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def rolling(points: np.ndarray, k: int = K) -> np.ndarray:
     """32-bit hashes of points[i:i+k], k a power of two, by doubling."""
-    h, step, size = (points.astype(np.uint64) + np.uint64(1)) * _POINT, _BASE, 1
+    h, size = (points.astype(np.uint64) + np.uint64(1)) * _POINT, 1
     while size < k:
-        h = h[: len(h) - size] * step + h[size:]
-        step, size = step * step, size * 2
+        h = h[: len(h) - size] * np.uint64(pow(_BASE, size, 2**64)) + h[size:]
+        size *= 2
     return mix(h) >> np.uint64(32)
 
 
@@ -42,8 +42,7 @@ def winnow(text: str, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if len(points) < k:
         points = np.concatenate([points, np.zeros(k - len(points), np.uint32)])
-    with np.errstate(over="ignore"):
-        h = rolling(points, k)
+    h = rolling(points, k)
     last = np.uint64(2**32 - 1)
     keys = h << np.uint64(32) | (last - np.arange(len(h), dtype=np.uint64))  # equal hashes: rightmost is smallest
     chosen = window_min(keys, min(w, len(keys)))
