@@ -16,8 +16,16 @@ from listwright.sources.payloads import union_sources as union_all
 from .registry import query
 from .views import LATIN, RUN_DAY, posts, previous, runs, table, today, with_views
 
-TS = F.to_timestamp_ntz(F.lit(f"{RUN_DAY} 09:00:00"))
-DAY = F.to_date(F.lit(RUN_DAY))
+
+
+def _ts():
+    return F.to_timestamp_ntz(F.lit(f"{RUN_DAY} 09:00:00"))
+
+
+def _day():
+    return F.to_date(F.lit(RUN_DAY))
+
+
 ACTIVE = "status = 'ACTIVE'"
 MARK = "regexp_matches(regexp_replace({c}, '\\s+', '', 'g'), 'licensed|andthe|delala')"
 NORM = r"trim(regexp_replace(regexp_replace(regexp_replace({c}, '\s+', ' ', 'g'), '\d{{4}}[-.]\d{{1,2}}[-.]\d{{1,2}}', '', 'g'), '\b\d{{1,2}}:\d{{2}}\b', '', 'g'))"
@@ -32,7 +40,7 @@ m AS (SELECT coalesce(pid, tid) AS id, coalesce(psource, tsource) AS source, gua
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.merge_batch(previous(spark, sf_dir), today(spark, sf_dir), TS, LATIN)
+    return C.merge_batch(previous(spark, sf_dir), today(spark, sf_dir), _ts(), LATIN)
 
 
 @query(with_views("SELECT id, source, change_type, guarded, deadline, last_seen_date, CASE WHEN change_type IN ('unchanged', 'absent') THEN old_len ELSE new_len END AS body_len FROM m", "v_prev", "v_today", more=MERGE))
@@ -69,7 +77,7 @@ def category_upsert(spark, sf_dir):
 
 @query(with_views(f"SELECT id, CASE WHEN id IN (SELECT id FROM v_today) THEN DATE '{RUN_DAY}' ELSE last_seen_date END AS last_seen_date FROM v_prev", "v_prev", "v_today"))
 def stamp_seen(spark, sf_dir):
-    return C.stamp_seen(previous(spark, sf_dir).select("id", "last_seen_date"), today(spark, sf_dir).select("id"), DAY)
+    return C.stamp_seen(previous(spark, sf_dir).select("id", "last_seen_date"), today(spark, sf_dir).select("id"), _day())
 
 
 @query(with_views(f"SELECT t.id, NOT {MARK.format(c='t.raw_html')} AND coalesce({MARK.format(c='p.raw_html')}, false) AS reused, CASE WHEN NOT {MARK.format(c='t.raw_html')} AND coalesce({MARK.format(c='p.raw_html')}, false) THEN length(p.raw_html) ELSE length(t.raw_html) END AS body_len FROM v_today t LEFT JOIN v_prev p ON t.id = p.id", "v_prev", "v_today"))
@@ -106,7 +114,7 @@ d AS (SELECT a.id, a.source, CASE WHEN a.id IN (SELECT id FROM b) THEN 'seen' WH
 def _decisions(spark, sf_dir):
     batch = today(spark, sf_dir).where("source <> 'src4'")
     counts = batch.groupBy("source").agg(F.count("*").alias("n"))
-    return K.close_decisions(previous(spark, sf_dir).where(ACTIVE), batch.select("id"), _health(spark, sf_dir), _doc_runs(spark, sf_dir), counts, DAY, LATIN)
+    return K.close_decisions(previous(spark, sf_dir).where(ACTIVE), batch.select("id"), _health(spark, sf_dir), _doc_runs(spark, sf_dir), counts, _day(), LATIN)
 
 
 @query(with_views("SELECT id, source, decision FROM d", "v_prev", "v_today", more=CLOSE))
@@ -148,7 +156,7 @@ def mart_json(spark, sf_dir):
 @query(with_views("SELECT id, source, company AS company_name, title, 'u/' || id AS origin_url, '' AS location, posted_at, 'ACTIVE' AS status, length(CASE WHEN id % 3 = 0 THEN title ELSE raw END) AS body_len, deadline FROM v_post", "v_post"))
 def standardize(spark, sf_dir):
     p = posts(spark, sf_dir).select("id", "source", F.col("company").alias("company_name"), "title", F.concat(F.lit("u/"), "id").alias("origin_url"), "posted_at", F.when(F.col("id") % 3 != 0, F.col("raw")).alias("raw_html"), "deadline")
-    return standard_rows(p, TS).select("id", "source", "company_name", "title", "origin_url", "location", "posted_at", "status", F.length("raw_html").alias("body_len"), "deadline")
+    return standard_rows(p, _ts()).select("id", "source", "company_name", "title", "origin_url", "location", "posted_at", "status", F.length("raw_html").alias("body_len"), "deadline")
 
 
 @query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")

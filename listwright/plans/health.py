@@ -11,12 +11,15 @@ from .registry import query
 from .views import LATIN, last_day, run_log as logged, runs, table, with_views
 
 BEFORE = "2024-01-30"
-DAY = F.to_date(F.lit(BEFORE))
 TYPES = ("click", "error", "purchase", "signup", "view")
 PLATFORMS = "p AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS source)"
 BASE = f"b AS (SELECT source, run_date AS day, max(n) AS n FROM v_runs WHERE is_success AND run_date >= DATE '{BEFORE}' - 7 AND run_date < DATE '{BEFORE}' GROUP BY ALL)"
 
 
+def _day():
+    return F.to_date(F.lit(BEFORE))
+
+
 def _platforms(spark):
     return spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in TYPES])).alias("source"))
 
@@ -41,7 +44,7 @@ def source_counts(spark, sf_dir):
 
 @query(with_views("SELECT source, array_to_string(list(n ORDER BY day DESC), ',') AS counts FROM b GROUP BY source", "v_runs", more=BASE))
 def daily_baseline(spark, sf_dir):
-    return H.history(H.daily_baseline(_counts(spark, sf_dir), DAY)).select("source", F.array_join(F.transform("counts", lambda n: n.cast("string")), ",").alias("counts"))
+    return H.history(H.daily_baseline(_counts(spark, sf_dir), _day())).select("source", F.array_join(F.transform("counts", lambda n: n.cast("string")), ",").alias("counts"))
 
 
 @query(
@@ -51,7 +54,7 @@ def daily_baseline(spark, sf_dir):
     )
 )
 def drop_alerts(spark, sf_dir):
-    return H.drop_alerts(H.daily_baseline(_counts(spark, sf_dir), DAY), _today(spark, sf_dir), _platforms(spark), LATIN)
+    return H.drop_alerts(H.daily_baseline(_counts(spark, sf_dir), _day()), _today(spark, sf_dir), _platforms(spark), LATIN)
 
 
 @query("SELECT user_id AS source, CASE WHEN bool_or(event_type <> 'error') AND bool_or(event_type = 'error') THEN 'partial' WHEN bool_or(event_type <> 'error') THEN 'success' ELSE 'failed' END AS state FROM events GROUP BY user_id")
@@ -93,7 +96,7 @@ def _blocks(spark):
 
 @query(with_views("SELECT source, last_date FROM (SELECT source, max(run_date) AS last_date FROM v_runs GROUP BY source) WHERE source IN ('click', 'gone', 'late') AND last_date = DATE '2024-01-30'", "v_runs"))
 def recovered_blocks(spark, sf_dir):
-    return H.recovered_blocks(_blocks(spark), H.last_collected(_counts(spark, sf_dir)), DAY)
+    return H.recovered_blocks(_blocks(spark), H.last_collected(_counts(spark, sf_dir)), _day())
 
 
 @query("SELECT event_type AS source, event_type IN ('click', 'gone', 'late') AS known, CASE WHEN event_type = 'click' THEN 'refused' END AS summary FROM (SELECT DISTINCT event_type FROM events)")
@@ -137,7 +140,7 @@ def health_report(spark, sf_dir):
     drops = drop_alerts(spark, sf_dir).where("verdict = 'drop'")
     active = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("n_active"))
     stale = H.stale_blocks(_blocks(spark), last, active, F.to_date(F.lit("2024-02-10")), LATIN)
-    return H.health_report(failed, zero, drops, stale, H.recovered_blocks(_blocks(spark), last, DAY))
+    return H.health_report(failed, zero, drops, stale, H.recovered_blocks(_blocks(spark), last, _day()))
 
 
 @query("SELECT weekday, business, count(*) AS n FROM (SELECT (isodow(o_orderdate) - 1)::INT AS weekday, isodow(o_orderdate) < 6 AND o_orderdate::DATE NOT IN (DATE '1998-01-01', DATE '1998-12-25') AS business FROM orders) GROUP BY ALL")

@@ -10,7 +10,6 @@ from listwright.sources import pages as P
 from .registry import query
 from .views import LATIN, table
 
-DAY = F.to_date(F.lit("2024-01-15"))
 CLEAN = "regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g')"
 PLAIN = "trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
 TEXT = f"regexp_replace({CLEAN}, '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g')"
@@ -31,7 +30,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY page_id, native_no ORDER BY pos)
 SELECT page_id, 'ok' AS state, pos, native_no, title, CASE WHEN own = title THEN '' ELSE own END AS company FROM o WHERE k = 1
 UNION ALL SELECT page_id, CASE WHEN there THEN 'empty' ELSE 'failed' END, NULL, NULL, NULL, NULL FROM b WHERE page_id NOT IN (SELECT page_id FROM o)""")
 def listing_rows(spark, sf_dir):
-    out = P.listing_rows(table(spark, sf_dir, "pages"), "<article>", r"(?is)<p>(.*?)</p>", r"(th[a-z]{3,})", r"^([^,.]*)", r"^(.{0,12})", DAY)
+    out = P.listing_rows(table(spark, sf_dir, "pages"), "<article>", r"(?is)<p>(.*?)</p>", r"(th[a-z]{3,})", r"^([^,.]*)", r"^(.{0,12})", F.to_date(F.lit("2024-01-15")))
     return out.select("page_id", "state", "pos", "native_no", "title", "company")
 
 
@@ -39,7 +38,7 @@ def listing_rows(spark, sf_dir):
 n AS (SELECT page_id, pos, nullif(regexp_extract(regexp_extract(a, '(?i)href="([^"]*)"', 1), '^/([a-z]+)', 1), '') AS native_no, {PLAIN.format(x="a")} AS title FROM a)
 SELECT page_id, pos, native_no, title FROM (SELECT *, row_number() OVER (PARTITION BY page_id, native_no ORDER BY pos) AS k FROM n WHERE native_no IS NOT NULL) WHERE k = 1""")
 def anchor_rows(spark, sf_dir):
-    return P.anchor_rows(table(spark, sf_dir, "pages"), r"^/([a-z]+)", DAY, LATIN).select("page_id", "pos", "native_no", "title")
+    return P.anchor_rows(table(spark, sf_dir, "pages"), r"^/([a-z]+)", F.to_date(F.lit("2024-01-15")), LATIN).select("page_id", "pos", "native_no", "title")
 
 
 @query()
