@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .words import slices
 
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS, CONTEXT_WORDS = 1500, 40
 TREES, DEPTH = 31, 9
 KEEP_SCORE = 0.5
 CLASSES = 28  # a-z, digits, the rest
@@ -155,11 +155,14 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
 def labelled_findings(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 11) -> list[tuple[str, int, int, bool]]:
     """(text, start, end, label): planted in about sample_docs documents, four in each.
 
-    The sample is chosen by a hash of doc_id and holds at most 2 * sample_docs rows of 200
-    characters; it trains the classifier and does nothing else.
+    The sample is chosen by a hash of doc_id and holds at most 2 * sample_docs rows, each
+    CONTEXT_WORDS words from a place in the text that a hash chooses: neighbours of the findings.
+    It trains the classifier and does nothing else.
     """
     total = documents.count()
-    rows = documents.select("doc_id", F.substring("text", 1, 200).alias("text")).where(F.col("text").isNotNull())
+    words = F.split("text", r"[\x20\x09-\x0D]+")
+    at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), F.size(words) - (CONTEXT_WORDS - 1))).cast("int") + 1
+    rows = documents.where(F.col("text").isNotNull()).select("doc_id", F.array_join(F.slice(words, at, CONTEXT_WORDS), " ").alias("text"))
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, sample_docs / max(1, total))))
     # Rows of one doc_id hash alike, so the limit bounds a table of repeated ids.
     out = []
