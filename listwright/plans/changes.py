@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listwright.functions.dates import days_left_label
-from listwright.functions.text import body_degraded, for_diff, has_body, has_markers
+from listwright.functions.text import body_degraded, for_diff, has_markers
+from listwright.functions.text import has_body as longer_than_title
 from listwright.operators import changes as C
 from listwright.operators import closing as K
 from listwright.operators.health import source_health
@@ -43,7 +44,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.merge_batch(previous(spark, sf_dir), today(spark, sf_dir), _ts(), LATIN)
 
 
-@query(with_views("SELECT id, source, change_type, guarded, deadline, last_seen_date, CASE WHEN change_type IN ('unchanged', 'absent') THEN old_len ELSE new_len END AS body_len FROM m", "v_prev", "v_today", more=MERGE))
+@query(with_views("SELECT id, source, change_type, guarded, deadline, last_seen_date, CASE WHEN change_type IN ('unchanged', 'absent') THEN old_len ELSE new_len END AS body_len FROM m", "v_prev", "v_today", more=MERGE), dates="deadline last_seen_date")
 def upsert_merge(spark, sf_dir):
     return _merged(spark, sf_dir).select("id", "source", "change_type", "guarded", "deadline", "last_seen_date", F.length("raw_html").alias("body_len"))
 
@@ -53,7 +54,7 @@ def change_counts(spark, sf_dir):
     return C.change_counts(_merged(spark, sf_dir))
 
 
-@query(with_views("SELECT id, old_deadline AS old, deadline AS new, CASE WHEN deadline > old_deadline THEN 'extended' ELSE 'shortened' END AS verdict FROM m WHERE old_deadline IS NOT NULL AND deadline <> old_deadline", "v_prev", "v_today", more=MERGE))
+@query(with_views("SELECT id, old_deadline AS old, deadline AS new, CASE WHEN deadline > old_deadline THEN 'extended' ELSE 'shortened' END AS verdict FROM m WHERE old_deadline IS NOT NULL AND deadline <> old_deadline", "v_prev", "v_today", more=MERGE), dates="old new")
 def deadline_changes(spark, sf_dir):
     return C.deadline_changes(_merged(spark, sf_dir))
 
@@ -75,7 +76,7 @@ def category_upsert(spark, sf_dir):
     return C.category_upsert(old, today(spark, sf_dir).select(F.col("id").alias("job_id"), F.length("title").alias("n")))
 
 
-@query(with_views(f"SELECT id, CASE WHEN id IN (SELECT id FROM v_today) THEN DATE '{RUN_DAY}' ELSE last_seen_date END AS last_seen_date FROM v_prev", "v_prev", "v_today"))
+@query(with_views(f"SELECT id, CASE WHEN id IN (SELECT id FROM v_today) THEN DATE '{RUN_DAY}' ELSE last_seen_date END AS last_seen_date FROM v_prev", "v_prev", "v_today"), dates="last_seen_date")
 def stamp_seen(spark, sf_dir):
     return C.stamp_seen(previous(spark, sf_dir).select("id", "last_seen_date"), today(spark, sf_dir).select("id"), _day())
 
@@ -133,13 +134,13 @@ def mass_close_sources(spark, sf_dir):
     return K.mass_close_sources(previous(spark, sf_dir).where(ACTIVE), batch, _health(spark, sf_dir).where("state <> 'failed'"), LATIN)
 
 
-@query(with_views("SELECT x.source, x.last_seen, count(DISTINCT r.run_date) AS fair_days FROM (SELECT DISTINCT event_type AS source, ts::DATE AS last_seen FROM events WHERE event_id % 50 = 0) x LEFT JOIN (SELECT DISTINCT source, run_date FROM v_runs WHERE is_success AND n > 0) r ON r.source = x.source AND r.run_date > x.last_seen AND r.run_date < DATE '2024-01-25' GROUP BY ALL", "v_runs"))
+@query(with_views("SELECT x.source, x.last_seen, count(DISTINCT r.run_date) AS fair_days FROM (SELECT DISTINCT event_type AS source, ts::DATE AS last_seen FROM events WHERE event_id % 50 = 0) x LEFT JOIN (SELECT DISTINCT source, run_date FROM v_runs WHERE is_success AND n > 0) r ON r.source = x.source AND r.run_date > x.last_seen AND r.run_date < DATE '2024-01-25' GROUP BY ALL", "v_runs"), dates="last_seen")
 def fair_miss_days(spark, sf_dir):
     pairs = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.col("event_type").alias("source"), F.to_date("ts").alias("last_seen"))
     return K.fair_miss_days(pairs, runs(spark, sf_dir), F.to_date(F.lit("2024-01-25")))
 
 
-@query(with_views("SELECT p.id, p.source, p.title, p.posted_at, length(p.raw) AS raw_len, l.quality, l.toxic FROM v_post p LEFT JOIN labels l ON p.id = l.doc_id WHERE p.id % 17 <> 0", "v_post"))
+@query(with_views("SELECT p.id, p.source, p.title, p.posted_at, length(p.raw) AS raw_len, l.quality, l.toxic FROM v_post p LEFT JOIN labels l ON p.id = l.doc_id WHERE p.id % 17 <> 0", "v_post"), dates="posted_at")
 def active_mart(spark, sf_dir):
     p = posts(spark, sf_dir).where("id % 17 <> 0")
     labels = table(spark, sf_dir, "labels")
@@ -153,7 +154,7 @@ def mart_json(spark, sf_dir):
     return posts(spark, sf_dir).select("id", shown.alias("shown"), F.replace(row, F.lit("</"), F.lit("<\\/")).alias("doc"))
 
 
-@query(with_views("SELECT id, source, company AS company_name, title, 'u/' || id AS origin_url, '' AS location, posted_at, 'ACTIVE' AS status, length(CASE WHEN id % 3 = 0 THEN title ELSE raw END) AS body_len, deadline FROM v_post", "v_post"))
+@query(with_views("SELECT id, source, company AS company_name, title, 'u/' || id AS origin_url, '' AS location, posted_at, 'ACTIVE' AS status, length(CASE WHEN id % 3 = 0 THEN title ELSE raw END) AS body_len, deadline FROM v_post", "v_post"), dates="posted_at deadline")
 def standardize(spark, sf_dir):
     p = posts(spark, sf_dir).select("id", "source", F.col("company").alias("company_name"), "title", F.concat(F.lit("u/"), "id").alias("origin_url"), "posted_at", F.when(F.col("id") % 3 != 0, F.col("raw")).alias("raw_html"), "deadline")
     return standard_rows(p, _ts()).select("id", "source", "company_name", "title", "origin_url", "location", "posted_at", "status", F.length("raw_html").alias("body_len"), "deadline")
@@ -166,8 +167,8 @@ def union_sources(spark, sf_dir):
 
 
 @query(with_views("SELECT id, length(raw) > length(title) + 60 AS has_body FROM v_post", "v_post"))
-def has_body_flag(spark, sf_dir):
-    return posts(spark, sf_dir).select("id", has_body(F.col("title"), F.length("raw")).alias("has_body"))
+def has_body(spark, sf_dir):
+    return posts(spark, sf_dir).select("id", longer_than_title(F.col("title"), F.length("raw")).alias("has_body"))
 
 
 @query(with_views("SELECT source, count(*) AS n_active FROM v_prev WHERE status = 'ACTIVE' GROUP BY ALL", "v_prev"))

@@ -150,14 +150,14 @@ def summary_text(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", X.summary(F.col("p_brand"), F.col("p_type"), F.col("p_name"), F.lit("x"), s % 4, s % 7, F.when(s % 2 == 0, "SAP")).alias("summary"))
 
 
-@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN DATE '1998-06-15' + (o_custkey % 40)::INT WHEN 1 THEN DATE '1998-06-15' WHEN 2 THEN DATE '1998-06-16' WHEN 3 THEN CASE WHEN datediff('day', DATE '1998-06-15', make_date(1998, month(o_orderdate), least(day(o_orderdate), 28))) < -300 THEN make_date(1999, month(o_orderdate), least(day(o_orderdate), 28)) ELSE make_date(1998, month(o_orderdate), least(day(o_orderdate), 28)) END END AS deadline FROM orders")
+@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN DATE '1998-06-15' + (o_custkey % 40)::INT WHEN 1 THEN DATE '1998-06-15' WHEN 2 THEN DATE '1998-06-16' WHEN 3 THEN CASE WHEN datediff('day', DATE '1998-06-15', make_date(1998, month(o_orderdate), least(day(o_orderdate), 28))) < -300 THEN make_date(1999, month(o_orderdate), least(day(o_orderdate), 28)) ELSE make_date(1998, month(o_orderdate), least(day(o_orderdate), 28)) END END AS deadline FROM orders", dates="deadline")
 def badge_date(spark, sf_dir):
     k, d = F.col("o_orderkey") % 5, F.to_date("o_orderdate")
     badge = F.when(k == 0, F.concat(F.lit("D-"), F.col("o_custkey") % 40)).when(k == 1, "오늘마감").when(k == 2, "내일 마감").when(k == 3, F.concat(F.lit("~ "), F.lpad(F.month(d).cast("string"), 2, "0"), F.lit("/"), F.least(F.day(d), F.lit(28)), F.lit("(x)"))).otherwise("~13/45")
     return table(spark, sf_dir, "orders").select("o_orderkey", T.badge_date(badge, F.to_date(F.lit("1998-06-15"))).alias("deadline"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 17 <> 0 AND datediff('day', DATE '1998-06-15', o_orderdate::DATE) <= 365 THEN o_orderdate::DATE END AS due FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 17 <> 0 AND datediff('day', DATE '1998-06-15', o_orderdate::DATE) <= 365 THEN o_orderdate::DATE END AS due FROM orders", dates="due")
 def due_cap(spark, sf_dir):
     t = F.when(F.col("o_orderkey") % 17 == 0, "soon-ish!!").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
     return table(spark, sf_dir, "orders").select("o_orderkey", T.due_date(t, F.to_date(F.lit("1998-06-15"))).alias("due"))

@@ -32,7 +32,7 @@ def _today(spark, sf_dir):
     return last_day(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query(with_views("SELECT epoch(run_date)::BIGINT // 86400 * 2 + half AS run_id, run_date, is_success, '{' || string_agg('\"' || source || '\":' || n, ',' ORDER BY source) || '}' AS source_counts, count(*) > 0 AS any_source FROM v_runs GROUP BY run_date, half, is_success", "v_runs"))
+@query(with_views("SELECT epoch(run_date)::BIGINT // 86400 * 2 + half AS run_id, run_date, is_success, '{' || string_agg('\"' || source || '\":' || n, ',' ORDER BY source) || '}' AS source_counts, count(*) > 0 AS any_source FROM v_runs GROUP BY run_date, half, is_success", "v_runs"), dates="run_date")
 def run_log(spark, sf_dir):
     return logged(spark, sf_dir).select("run_id", "run_date", "is_success", "source_counts", (F.col("successful_sources").isNotNull()).alias("any_source"))
 
@@ -67,7 +67,7 @@ def first_success(spark, sf_dir):
     return H.first_success(table(spark, sf_dir, "events").select(F.col("user_id").alias("source"), F.col("event_id").alias("attempt"), F.col("value").alias("payload"), (F.col("event_type") != "error").alias("ok")))
 
 
-@query(with_views("SELECT source, max(run_date) AS last_date FROM v_runs WHERE n > 0 GROUP BY source", "v_runs"))
+@query(with_views("SELECT source, max(run_date) AS last_date FROM v_runs WHERE n > 0 GROUP BY source", "v_runs"), dates="last_date")
 def last_collected(spark, sf_dir):
     return H.last_collected(_counts(spark, sf_dir))
 
@@ -84,7 +84,7 @@ def ok_today(spark, sf_dir):
     return listed.union(H.log_counts(log).select("source")).distinct()
 
 
-@query(with_views("SELECT source, since::DATE AS since, last_date, datediff('day', coalesce(last_date, since::DATE), DATE '2024-02-10') AS days, n_active, datediff('day', coalesce(last_date, since::DATE), DATE '2024-02-10') >= 14 AND coalesce(n_active, 1) <> 0 AS escalate FROM (VALUES ('click', '2024-01-16'), ('gone', '2024-01-16'), ('late', '2024-02-05')) t(source, since) LEFT JOIN (SELECT source, max(run_date) AS last_date FROM v_runs GROUP BY source) USING (source) LEFT JOIN (SELECT event_type AS source, count(*) AS n_active FROM events GROUP BY 1) USING (source)", "v_runs"))
+@query(with_views("SELECT source, since::DATE AS since, last_date, datediff('day', coalesce(last_date, since::DATE), DATE '2024-02-10') AS days, n_active, datediff('day', coalesce(last_date, since::DATE), DATE '2024-02-10') >= 14 AND coalesce(n_active, 1) <> 0 AS escalate FROM (VALUES ('click', '2024-01-16'), ('gone', '2024-01-16'), ('late', '2024-02-05')) t(source, since) LEFT JOIN (SELECT source, max(run_date) AS last_date FROM v_runs GROUP BY source) USING (source) LEFT JOIN (SELECT event_type AS source, count(*) AS n_active FROM events GROUP BY 1) USING (source)", "v_runs"), dates="since last_date")
 def stale_blocks(spark, sf_dir):
     return H.stale_blocks(_blocks(spark), H.last_collected(_counts(spark, sf_dir)), table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("n_active")), F.to_date(F.lit("2024-02-10")), LATIN)
 
@@ -94,7 +94,7 @@ def _blocks(spark):
     return spark.createDataFrame(rows, "source string, since string").withColumn("since", F.to_date("since"))
 
 
-@query(with_views("SELECT source, last_date FROM (SELECT source, max(run_date) AS last_date FROM v_runs GROUP BY source) WHERE source IN ('click', 'gone', 'late') AND last_date = DATE '2024-01-30'", "v_runs"))
+@query(with_views("SELECT source, last_date FROM (SELECT source, max(run_date) AS last_date FROM v_runs GROUP BY source) WHERE source IN ('click', 'gone', 'late') AND last_date = DATE '2024-01-30'", "v_runs"), dates="last_date")
 def recovered_blocks(spark, sf_dir):
     return H.recovered_blocks(_blocks(spark), H.last_collected(_counts(spark, sf_dir)), _day())
 
@@ -119,7 +119,7 @@ def source_sets(spark, sf_dir):
     return failed.subtract(ok).withColumn("kind", F.lit("failed")).union(failed.intersect(ok).withColumn("kind", F.lit("recovered")))
 
 
-@query("SELECT d AS run_date, n_new, n_modified, n_closed, (sum(n_new) OVER ())::BIGINT AS total_new, (sum(n_closed) OVER ())::BIGINT AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 7)")
+@query("SELECT d AS run_date, n_new, n_modified, n_closed, (sum(n_new) OVER ())::BIGINT AS total_new, (sum(n_closed) OVER ())::BIGINT AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 7)", dates="run_date")
 def weekly_trend(spark, sf_dir):
     n = lambda s: F.count_if(F.col("o_orderstatus") == s)
     days = table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").groupBy(F.to_date("o_orderdate").alias("run_date")).agg(n("O").alias("n_new"), n("P").alias("n_modified"), n("F").alias("n_closed"))

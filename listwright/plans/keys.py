@@ -76,13 +76,13 @@ def _jobs(spark, sf_dir, where, name):
     return table(spark, sf_dir, "orders").where(where).select(F.concat(F.lit("co "), F.col("o_custkey") % 40).alias("company_name"), F.concat(F.lit("job "), F.col("o_orderkey") % 30).alias("title"), F.col("o_orderdate").alias(name))
 
 
-@query(with_views("SELECT replace(company, ' ', '') AS company_key, replace(title, ' ', '') AS title_key, max(c.seen)::DATE AS closed_on FROM c JOIN (SELECT company, title, min(seen) AS first FROM a GROUP BY ALL) f USING (company, title) GROUP BY company, title, first HAVING max(c.seen) < first AND datediff('day', max(c.seen)::DATE, first::DATE) >= 2", more=CLOSED))
+@query(with_views("SELECT replace(company, ' ', '') AS company_key, replace(title, ' ', '') AS title_key, max(c.seen)::DATE AS closed_on FROM c JOIN (SELECT company, title, min(seen) AS first FROM a GROUP BY ALL) f USING (company, title) GROUP BY company, title, first HAVING max(c.seen) < first AND datediff('day', max(c.seen)::DATE, first::DATE) >= 2", more=CLOSED), dates="closed_on")
 def repost_flags(spark, sf_dir):
     r = D.repost_flags(_jobs(spark, sf_dir, "o_orderstatus <> 'F' and o_orderdate >= timestamp'1995-12-01'", "first_seen_at"), _jobs(spark, sf_dir, "o_orderstatus = 'F' and o_orderdate < timestamp'1996-01-01'", "closed_at"), LATIN)
     return r.select(F.col("key.company").alias("company_key"), F.col("key.title").alias("title_key"), "closed_on")
 
 
-@query(with_views("SELECT company AS company_name, title, max(seen)::DATE AS closed_on FROM c GROUP BY ALL", more=CLOSED))
+@query(with_views("SELECT company AS company_name, title, max(seen)::DATE AS closed_on FROM c GROUP BY ALL", more=CLOSED), dates="closed_on")
 def closed_history(spark, sf_dir):
     return _jobs(spark, sf_dir, "o_orderstatus = 'F' and o_orderdate < timestamp'1996-01-01'", "closed_at").groupBy("company_name", "title").agg(F.to_date(F.max("closed_at")).alias("closed_on"))
 

@@ -12,10 +12,18 @@ from .views import LATIN, table
 
 CLEAN = "regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g')"
 PLAIN = "trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
-TEXT = f"regexp_replace({CLEAN}, '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g')"
-for _e, _c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-    TEXT = f"replace({TEXT}, '{_e}', '{_c}')"
-TEXT = f"regexp_replace(regexp_replace(regexp_replace({TEXT}, '[ \\t]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
+
+
+def _text(html: str) -> str:
+    """SQL of html_to_text for html without scripts."""
+    out = f"regexp_replace({html}, '(?s)<!--.*?-->|<[^>]*>', chr(10), 'g')"
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return f"regexp_replace(regexp_replace(regexp_replace({out}, '[ \\t]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
+
+
+TEXT = _text(CLEAN)
+BLOCK = '(?is)<(?:div|section|article)\\b[^>]*class="[^"]*ad[^"]*"[^>]*>(.*?)</(?:div|section|article)>'
 
 
 @query(f"SELECT page_id, md5({TEXT}) AS text_md5 FROM pages")
@@ -41,7 +49,7 @@ def anchor_rows(spark, sf_dir):
     return P.anchor_rows(table(spark, sf_dir, "pages"), r"^/([a-z]+)", F.to_date(F.lit("2024-01-15")), LATIN).select("page_id", "pos", "native_no", "title")
 
 
-@query()
+@query(f"WITH b AS (SELECT page_id, unnest(regexp_extract_all({CLEAN}, '{BLOCK}', 1)) AS block FROM pages), t AS (SELECT page_id, {_text('block')} AS t FROM b), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(t) DESC, t DESC) AS k FROM t) SELECT p.page_id, CASE WHEN length(r.t) > 40 THEN r.t ELSE '' END AS body FROM pages p LEFT JOIN r ON p.page_id = r.page_id AND r.k = 1")
 def largest_block(spark, sf_dir):
     return P.largest_block(table(spark, sf_dir, "pages"), "ad", 40)
 
