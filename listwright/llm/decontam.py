@@ -78,7 +78,7 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = [*short, WINDOW]
     spans = texts.select("text_key", folded_words(F.col("text")).alias("words"))
     spans = spans.select("text_key", F.explode(F.flatten(F.array(*[_windows(F.col("words"), n) for n in lengths]))).alias("w")).select("text_key", "w.place", "w.n", "w.window")
-    known = windows.select("n", "window").distinct()
+    known = keep(windows.select("n", "window").distinct(), "windows")  # a plain side, so that a hot window can be split
     hits = keep(spans.join(known, ["n", "window"]), "hits")
     merged = F.aggregate(
         F.array_sort(F.collect_list(F.struct("place", (F.col("place") + F.col("n") - 1).alias("end")))),
