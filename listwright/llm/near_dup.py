@@ -30,6 +30,7 @@ COORDS, MATCHES = 128, 82  # at similarity 0.8 a pair agrees on fewer than 82 wi
 SHARED = 8  # of a pair's equal coordinates, so many are in both prefixes
 PREFIX = COORDS - MATCHES + SHARED
 SLOTS = 1 << 16
+FIRST = 16
 BROADCAST_IDS = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -197,11 +198,18 @@ def _across(lists: DataFrame, roots: DataFrame, classes: DataFrame, documents: D
     rest = open_lists.join(several, "token").groupBy("node", "root").count().where(f"count >= {SHARED}")
     rest = keep(rest.select("node", "root"), "rest")
     sets = keep(_sets_of(rest.select("node"), classes, documents, k).join(rest, "node"), "sets")
-    posts = _shingle_postings(sets, percent)
+    posts = keep(_shingle_postings(sets, percent), "posts")
+    mixed = posts.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("shingle")
+    posts = keep(posts.join(mixed, "shingle"), "posts")
+    # Each node's first FIRST postings: two nodes meet under the first that they share, not under all.
+    firsts = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "shingle"))), 1, FIRST)["shingle"].alias("first"))
+    posts = keep(posts.join(firsts, "node"), "posts")
     x, y = posts.alias("x"), posts.alias("y")
     need = F.expr(f"{percent} * (x.n + y.n)")
     reach = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # overlap, if this shingle is the first shared
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (reach * (100 + percent) >= need))
+    shared = F.array_intersect("x.first", "y.first")
+    here = (F.size(shared) == 0) | (F.col("x.shingle") == F.get(shared, 0))
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (reach * (100 + percent) >= need) & here)
     pairs = keep(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "across")
     return keep(_alike(pairs, sets.select("node", "shingles"), percent), "links")
 
