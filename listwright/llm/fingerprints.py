@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, small_batches
 from .words import mix, window_min
 
 K, W = 8, 16
@@ -124,6 +124,7 @@ def fingerprint_documents(documents: DataFrame, k: int = K, w: int = W) -> DataF
             if out:
                 yield _rows(out)
 
+    small_batches(documents.sparkSession)
     return with_next_text(documents).select("part", "halo", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>")
 
 

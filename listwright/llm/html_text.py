@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
+
 WINDOW = 3
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _SPACE = re.compile(r"\s+")
@@ -133,6 +135,8 @@ def extract_main_text(pages: DataFrame, window: int = WINDOW) -> DataFrame:
     rows give equal texts.
     """
 
+    small_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def extract(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages_ in column:

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
 from .words import slices
 
 ORDER = 2
@@ -108,6 +109,7 @@ def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG) ->
     are fewer): the bound of the training sample. Counting is distributed; what comes to the
     driver are counts of distinct contexts, at most base ** (order + 1) for each language.
     """
+    small_batches(documents.sparkSession)
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     share = labelled.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
     chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(share), "lang")  # one row per language
@@ -147,6 +149,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     without a letter, and all texts if no language was learned, are 'und' with score 0. Equal
     code lengths go to the language first in code-point order. Repeated rows are scored alike.
     """
+    small_batches(documents.sparkSession)
     rows = documents.drop("lang_pred", "score")
     held = documents.sparkSession.sparkContext.broadcast(model)
 

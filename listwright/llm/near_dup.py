@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop_kept, keep
+from .store import drop_kept, keep, small_batches
 from .words import Words, grams, mix, slices, within_rows
 
 COORDS, MATCHES = 128, 82  # at similarity 0.8 a pair agrees on fewer than 82 with probability 5e-6
@@ -248,6 +248,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     only the rows of an equal set. kept: doc_id equals component_id (null-safe). An empty table
     gives an empty result.
     """
+    small_batches(documents.sparkSession)
     rows = keep(documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, text_key long, n long, node long, check long, sig array<int>"), "signed")
     classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.first("sig").alias("sig")), "classes")
     postings = _postings(classes)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, small_batches
 from .words import Words, grams, slices, window_min, within_rows
 
 WINDOW, K = 50, 8
@@ -157,6 +157,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, k: int = K, with_
     and short texts lose nothing. Rows without doc_id come after all others and are not before
     one another; repeated rows are not before one another either. kept: null if nothing went.
     """
+    small_batches(documents.sparkSession)
     keyed = documents.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.xxhash64("text").alias("tkey"), F.xxhash64(F.lit(1), "text").alias("tcheck"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "text")
     base = keep(keyed.mapInArrow(lambda b: _survey(b, window, k), "doc_id long, id long, tkey long, tcheck long, n_chars long, n_words long, all_sha256 string, anchors array<long>"), "survey")
     texts = keep(base.groupBy("tkey", "tcheck").agg(F.min("id").alias("rep"), F.first("n_chars").alias("n_chars"), F.first("anchors").alias("anchors")), "texts")

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
 from .words import slices
 
 SAMPLE_DOCS, CONTEXT_WORDS = 1500, 40
@@ -236,6 +237,7 @@ def scan_secrets(documents: DataFrame, labelled: list[tuple[str, int, int, bool]
     points. redacted is the whole text with each secret replaced by mask. Null texts have no
     candidates and stay null; empty texts stay empty; repeated rows are scanned alike.
     """
+    small_batches(documents.sparkSession)
     rows = documents.drop("n_candidates", "secrets", "redacted")
     held = documents.sparkSession.sparkContext.broadcast(train(documents, labelled))
 

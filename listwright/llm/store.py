@@ -17,6 +17,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long rows: Arrow batches of BATCH_ROWS, unless the session has its own number."""
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts the lineage."""
     spark = df.sparkSession

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import small_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how byte-level BPE splits a text before merging.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -48,6 +50,7 @@ def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY, split: str
 
     A clashing n_tokens column is replaced. Strings of special tokens are ordinary text.
     """
+    small_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     @F.pandas_udf("long")
