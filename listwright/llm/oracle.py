@@ -71,8 +71,8 @@ s AS (
   SELECT DISTINCT doc_id, array_to_string(words[k:k + 3], ' ') AS shingle FROM d, unnest(range(1, len(words) - 2)) AS t(k) WHERE len(words) >= 4
   UNION SELECT doc_id, array_to_string(words, ' ') || chr(10) FROM d WHERE len(words) BETWEEN 1 AND 3),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
-e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * both >= 80 * (x.n + y.n - both)),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * common >= 80 * (x.n + y.n - common)),
 r AS (SELECT doc_id AS a, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON r.a = e.a WHERE r.root < e.b)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, q.root AS component_id, q.root = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(root) AS root FROM r GROUP BY a) q ON q.a = d.doc_id
