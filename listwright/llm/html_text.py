@@ -1,9 +1,11 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped into lines, one per block element. Lines of menus, adverts and the like
-count as empty. The text lengths over sliding windows of lines then show one or more stretches
-of text; the heaviest, from its surge to its dive, is kept with all its lines, and so is each
-other stretch under the same article.
+Markup is stripped into lines, one per block element. The lines of a part of the page (the body,
+an article or main element, a block named like a menu or an advert) are one sequence; parts
+within it are left out of it and are no gap. Text lengths, without link text, are summed over
+sliding windows of its lines. A stretch surges where a window is high and runs, both ways, to
+where windows dive. Lengths weigh more in articles and less in named blocks; the part with the
+heaviest stretch gives the text.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +22,9 @@ from pyspark.sql import functions as F
 from .store import small_batches
 
 WINDOW = 3
+SURGE, DIVE = 80, 12  # characters in a window; on pages of short lines a half and an eighth of the highest
+PENALTY, BOOST = 0.1, 2.0  # weight of lengths in a named block, and in an article
+RIVAL = 0.25  # stretches of one part, and like articles, with this share of the heaviest are text too
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _SPACE = re.compile(r"\s+")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -29,61 +35,86 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidd
 RAW = frozenset("script style noscript template textarea iframe title svg xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("nav header footer aside form menu select button dialog head object canvas".split())
-#: Words of class, id and role names that mark a block as not the article.
+DROPPED = frozenset("nav footer aside menu select button dialog head object canvas".split())
+ARTICLES = frozenset(("article", "main"))
+#: Words of class, id and role names that make a block unlikely to be the article.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs topbar toolbar header masthead footer sidebar side aside widget comment comments disqus reply replies respond discussion reactions notice notices cookie cookies consent gdpr popup modal overlay alert share sharing social related recommended recommendations newsletter subscribe subscription signup login search searchbox form pagination pager copyright skip complementary contentinfo dialog".split()
 )
 
 
-def _not_text(name: str, attributes: str, in_article: bool) -> bool:
-    if name in DROPPED:
-        return not (name == "header" and in_article)
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(not NOT_TEXT.isdisjoint(_WORD.findall((a or b or c).lower())) for a, b, c in _NAMED.findall(attributes))
+#: Words by which a name tells of a layout or a state, not of the block itself.
+LAYOUT = frozenset("no not without with has hide category tag open closed enabled disabled off".split())
+OF_ARTICLE = frozenset("article entry post story content text title".split())
 
 
-def lines_of(page: str) -> list[tuple[str, bool]]:
-    """(text, of an article or main element) per line in page order; '' for a dropped block."""
-    out: list[tuple[str, bool]] = []
-    text: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements, with whether they start a dropped part
-    dropped = articles = at = 0
+@dataclass
+class Part:
+    """A part of the page: its enclosing part, its article or main element if it is one, and its weight."""
+
+    parent: int
+    kind: str
+    in_article: bool
+    weight: float
+
+
+def _named(attributes: str) -> bool:
+    """Whether a name calls the block something other than the article: 'sidebar', not 'no-sidebar' or 'article-header'."""
+    for a, b, c in _NAMED.findall(attributes):
+        for name in (a or b or c).lower().split():
+            words = _WORD.findall(name)
+            found = NOT_TEXT.intersection(words)
+            if found and LAYOUT.isdisjoint(words) and not (found == {"header"} and not OF_ARTICLE.isdisjoint(words)):
+                return True
+    return False
+
+
+def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
+    """(text, characters outside links, part) per line in page order, and the parts."""
+    out: list[tuple[str, int, int]] = []
+    parts = [Part(-1, "", False, 1.0)]
+    text: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, int]] = []  # open elements, with whether they start a dropped block, and the part around them
+    dropped = links = part = at = 0
+
+    def squeezed(pieces) -> str:
+        return _SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
 
     def flush() -> None:
-        line = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
-        text.clear()
+        line = squeezed(x for x, _ in text)
         if line:
-            out.append((line, articles > 0))
+            size = len(squeezed(x for x, linked in text if not linked)) if any(linked for _, linked in text) else len(line)
+            out.append((line, size, part))
+        text.clear()
+
+    def leave(opened: tuple[str, bool, int]) -> None:
+        nonlocal dropped, links, part
+        name, skips, around = opened
+        if around != part:
+            flush()
+        dropped, links, part = dropped - skips, links - (name == "a"), around
 
     while at < len(page):
         mark = _MARK.search(page, at)
         if not dropped:
-            text.append(page[at : mark.start() if mark else len(page)])
+            text.append((page[at : mark.start() if mark else len(page)], links > 0))
         if not mark:
             break
         at = mark.end()
         if mark[1] and not dropped:
-            text.append(entities.escape(mark[1], False))
+            text.append((entities.escape(mark[1], False), links > 0))
         if not mark[3]:
             continue
         close, name, attributes = mark[2], mark[3].lower(), mark[4]
         if name == "br" and not dropped:
-            text.append(" ")
+            text.append((" ", links > 0))
         if name in BLOCKS and not dropped:
             flush()
         if close:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None and (not dropped or name in BLOCKS or depth == len(stack) - 1):
-                for open_name, skips in stack[depth:]:
-                    dropped -= skips
-                    articles -= open_name in ("article", "main")
-                    if skips and not dropped:
-                        out.append(("", False))
-                del stack[depth:]
+                while len(stack) > depth:
+                    leave(stack.pop())
             continue
         if name in RAW and not attributes.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
@@ -93,38 +124,83 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             continue
         if name == "p" or name in BLOCKS and stack and stack[-1][0] == "p":
             while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "a", "span", "u", "font"):  # a block ends an open paragraph
-                dropped -= stack.pop()[1]
-        skips = not dropped and _not_text(name, attributes, articles > 0)
+                leave(stack.pop())
+        skips = not dropped and (name in DROPPED or bool(_HIDDEN.search(attributes)) and name not in ("html", "body"))
+        around = parts[part]
+        aside = name == "form" or name == "header" and not around.in_article or name not in ("html", "body") and _named(attributes)
+        stack.append((name, skips, part))
+        links += name == "a"
         if skips:
             flush()
-        dropped += bool(skips)
-        articles += name in ("article", "main")
-        stack.append((name, bool(skips)))
+        elif not dropped and (aside or name in ARTICLES):
+            flush()
+            inside = around.in_article or name in ARTICLES
+            weight = PENALTY if aside else BOOST if inside and not around.in_article else 1.0
+            parts.append(Part(part, "" if aside else name, inside, around.weight * weight))
+            part = len(parts) - 1
+        dropped += skips
     if not dropped:
         flush()
+    return out, parts
+
+
+def _joined(lines: list[tuple[str, int, int]], parts: list[Part]) -> list[int]:
+    """Part that each part is read with: the main element's for its only article, if that has the most text."""
+    sizes = [0] * len(parts)
+    for _, size, part in lines:
+        sizes[part] += size
+    with_ = list(range(len(parts)))
+    for i, part in enumerate(parts):
+        around = parts[part.parent].kind if i else ""
+        if part.kind and around and part.kind != around:
+            alone = sum(x.parent == part.parent and x.kind == part.kind for x in parts) == 1
+            if alone and sizes[i] >= sizes[part.parent]:
+                with_[i] = with_[part.parent]
+    return with_
+
+
+def _stretches(sizes: list[int], window: int) -> list[tuple[int, int]]:
+    """[surge, dive) over the lines of one part."""
+    blocks = [sum(sizes[i : i + window]) for i in range(max(1, len(sizes) - window + 1))]
+    top = max(blocks)
+    surge, dive = min(SURGE, top / 2), min(DIVE, top / 8)
+    out, i = [], 0
+    while i < len(blocks):
+        begin = i
+        while i < len(blocks) and blocks[i] and blocks[i] >= dive:
+            i += 1
+        if begin < i and max(blocks[begin:i]) >= surge:
+            out.append((begin, min(i - 1 + window, len(sizes))))
+        i += begin == i
     return out
 
 
 def main_text(page: str, window: int = WINDOW) -> str:
     """Lines of the article joined by newlines; '' if the page has no text."""
-    lines = lines_of(page)
-    if any(inside for _, inside in lines):  # an article element is a stretch by itself
-        lines = [(text if inside else "", inside) for text, inside in lines]
-    sizes = [len(text) for text, _ in lines]
-    blocks = [sum(sizes[i : i + window]) for i in range(len(sizes))]
-    best, best_size, i = (0, 0), 0, 0
-    while i < len(blocks):
-        if not blocks[i]:
-            i += 1
+    lines, parts = lines_of(page)
+    with_ = _joined(lines, parts)
+    places: dict[int, list[int]] = {}
+    for i, (_, _, part) in enumerate(lines):
+        places.setdefault(with_[part], []).append(i)
+    found: list[tuple[float, int, int, int]] = []  # weight of the text, part, first and last line
+    for part, own in places.items():
+        sizes = [lines[i][1] for i in own]
+        if not any(sizes):  # nothing but links
+            sizes = [1] * len(own) if len(places) == 1 else sizes
+        runs = _stretches(sizes, window)
+        if not runs:
             continue
-        surge = i  # from here to the dive the windows hold text
-        while i < len(blocks) and blocks[i]:
-            i += 1
-        if (size := sum(sizes[surge:i])) > best_size:
-            best, best_size = (surge, i), size
-    if any(inside for _, inside in lines):
-        best = (0, len(lines))
-    return "\n".join(text for text, _ in lines[best[0] : best[1]] if text)
+        heavy = max(sum(sizes[a:b]) for a, b in runs)
+        # An article is not divided: it runs from the first surge to the last dive.
+        runs = [r for r in runs if parts[part].kind or sum(sizes[r[0] : r[1]]) >= RIVAL * heavy]
+        begin, end = runs[0][0], runs[-1][1]
+        found.append((heavy * parts[part].weight, part, own[begin], own[end - 1]))
+    if not found:
+        return ""
+    best, chosen, _, _ = max(found, key=lambda x: x[0])
+    like = parts[chosen]
+    kept = [(part, begin, end) for weight, part, begin, end in found if part == chosen or like.kind and weight >= RIVAL * best and (parts[part].kind, parts[part].parent, parts[part].weight) == (like.kind, like.parent, like.weight)]
+    return "\n".join(lines[i][0] for part, begin, end in kept for i in places[part] if begin <= i <= end)
 
 
 def extract_main_text(pages: DataFrame, window: int = WINDOW) -> DataFrame:

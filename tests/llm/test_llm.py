@@ -172,6 +172,24 @@ def test_html():
     assert [html_text.main_text(x) for x in ("", "<nav>a</nav>", "just text", "<p>cut <b", "<script>x")] == ["", "", "just text", "cut", ""]
 
 
+def paragraphs(*names, n=4):
+    return [f"{x} {i} " + "some words of a longer line of text " * 3 for x in names for i in range(n)]
+
+
+def marked(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+def test_html_windows_choose_the_lines():
+    lines = [x.strip() for x in paragraphs("body")]
+    menu = "".join(f"<li><a href=/{i}>Go {i}</a></li>" for i in range(12))
+    words = "".join(f"<div>{x}</div>" for x in ("Home", "News", "Us", "Top", "In", "Me", "Go", "Up"))
+    for tag in ("div", "article", "main"):  # short lines and links go without a name, and in an article too
+        inner = f"<{tag}><ul>{menu}</ul>{words}{marked(lines)}{words}<ul>{menu}</ul></{tag}>"
+        got = html_text.main_text(f"<body>{inner}</body>").split("\n")
+        assert [x for x in got if x in lines] == lines and "Go 3" not in got and len(got) <= len(lines) + 4, tag
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<p>é日</p>", "t"), (3, "<p>é日</p>", "t")], "page_id int, html string, text string")
     assert [(r.text, r.n_chars) for r in html_text.extract_main_text(df).orderBy("page_id").collect()] == [("", 0), ("", 0), ("é日", 2), ("é日", 2)]
