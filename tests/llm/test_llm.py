@@ -190,6 +190,34 @@ def test_html_windows_choose_the_lines():
         assert [x for x in got if x in lines] == lines and "Go 3" not in got and len(got) <= len(lines) + 4, tag
 
 
+def test_html_names_are_a_penalty():
+    text = [x.strip() for x in paragraphs("body")]
+    page = marked(text)
+    whole = "\n".join(text)
+    for name in ("content no-sidebar", "with-sidebar", "sidebar", "post comments-open"):
+        assert html_text.main_text(f"<body><div class='{name}'>{page}<div class='menu'>a menu</div></div></body>") == whole
+    assert html_text.main_text(f"<form><div>{page}</div></form>") == whole
+    assert html_text.main_text(f"<article><div class='article-header'><h1>Title</h1></div>{page}</article>") == f"Title\n{whole}"
+
+
+def test_html_articles_that_are_not_the_text():
+    text = [x.strip() for x in paragraphs("body")]
+    page, whole = marked(text), "\n".join(text)
+    comment = "<article class='comment'><p>a reader says this and that about the text</p></article>"
+    teaser = "<article><p>read more about it</p></article>"
+    for more in (comment, comment * 3, teaser, teaser * 3):
+        assert html_text.main_text(f"<body><div>{page}</div>{more}</body>") == whole
+        assert html_text.main_text(f"<body><article>{page}{more}</article></body>") == whole
+    assert html_text.main_text(f"<main><h1>Title</h1><article>{page}</article></main>") == f"Title\n{whole}"
+
+
+def test_html_dropped_blocks_are_no_gap():
+    text = [x.strip() for x in paragraphs("body", n=9)]
+    adverts = "<div class='advert'>buy</div><aside>see</aside><div class='promo'>now</div>" * 2
+    page = f"<body><div>{marked(text[:6])}{adverts}{marked(text[6:])}</div></body>"
+    assert html_text.main_text(page) == "\n".join(text)
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<p>é日</p>", "t"), (3, "<p>é日</p>", "t")], "page_id int, html string, text string")
     assert [(r.text, r.n_chars) for r in html_text.extract_main_text(df).orderBy("page_id").collect()] == [("", 0), ("", 0), ("é日", 2), ("é日", 2)]
