@@ -5,7 +5,8 @@ is its anchor, so equal windows have equal anchors. Phrases that are anchors in
 more recur; they are compiled, in shards of the texts that have them, into Aho-Corasick
 automata, and every such text is streamed through its shard's automaton to locate every
 occurrence. Windows anchored there are compared by hash: first inside the shard, where all but
-the first of equal windows are settled, then the shards' firsts in one sorted pass by anchor.
+the first of equal windows are settled, then the shards' firsts as rows, by the smallest id of
+each hash.
 """
 
 from __future__ import annotations
@@ -61,11 +62,11 @@ def _survey(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[
             )
 
 
-_SPOTS = "anchor long, id long, tkey long, starts array<int>, hashes array<long>"
+_SPOTS = "id long, tkey long, settled array<int>, starts array<int>, hashes array<long>"
 
 
 def _locate(texts: pa.Table, phrases: pa.Table, window: int, k: int) -> pa.Table:
-    """Windows of one shard: settled repeats (anchor 0, no hashes), and the first of each kind."""
+    """Windows of one shard by text: starts of settled repeats; starts and hashes of the first of each kind."""
     order = sorted({key: i for i, key in enumerate(texts.column("tkey").to_pylist())}.values())
     texts = texts.take(pa.array(order, pa.int64())).sort_by([("id", "ascending"), ("tkey", "ascending")]).combine_chunks()
     known = np.sort(phrases.column("anchor").to_numpy().view(np.uint64))
@@ -109,29 +110,18 @@ def _locate(texts: pa.Table, phrases: pa.Table, window: int, k: int) -> pa.Table
             earlier = np.fromiter((first.setdefault(x, ids[i]) for x in hashes), np.int64, len(hashes))
             settled = earlier < ids[i]
             local = (s - words.first[i]).astype(np.int32)
-            if settled.any():
-                out.append((0, ids[i], keys[i], local[settled], np.zeros(0, np.int64)))
-            s, p, local, hashes = s[~settled], p[~settled], local[~settled], h[s[~settled]].view(np.int64)
-            for place in np.unique(p).tolist():
-                own = p == place
-                out.append((int(g[place : place + 1].view(np.int64)[0]), ids[i], keys[i], local[own], hashes[own]))
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=["anchor", "id", "tkey", "starts", "hashes"])
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, id): windows that a smaller id has. State is one anchor's windows."""
-    anchor, first = None, {}
-    for batch in batches:
-        keys, out = [], []
-        for a, own, key, starts, hashes in zip(*(batch.column(c).to_pylist() for c in ("anchor", "id", "tkey", "starts", "hashes")), strict=True):
-            if a != anchor:
-                anchor, first = a, {}
-            gone = [s for s, x in zip(starts, hashes, strict=True) if first.setdefault(x, own) < own]
-            if gone:
-                keys.append(key)
-                out.append(gone)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.list_(pa.int32()))], names=["tkey", "starts"])
+            out.append((ids[i], keys[i], local[settled], local[~settled], h[s[~settled]].view(np.int64)))
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=["id", "tkey", "settled", "starts", "hashes"])
+
+
+def _repeats(spots: DataFrame) -> DataFrame:
+    """Per text: starts of all windows that a smaller id has."""
+    opened = spots.select("id", "tkey", F.inline(F.arrays_zip("starts", "hashes")))
+    firsts = opened.groupBy("hashes").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    later = opened.join(firsts, "hashes").where("id > first").groupBy("tkey").agg(F.collect_list("starts").alias("starts"))
+    every = later.unionByName(spots.where(F.size("settled") > 0).select("tkey", F.col("settled").alias("starts")))
+    return every.groupBy("tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def _strip(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -173,9 +163,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, k: int = K, with_
     phrases = met.select(shard, "anchor").distinct()
     spots = chosen.groupBy("shard").cogroup(phrases.groupBy("shard")).applyInArrow(lambda x, y: _locate(x, y, window, k), _SPOTS)
     spots = keep(spots, "spots")
-    later = spots.where("anchor <> 0").repartition("anchor").sortWithinPartitions("anchor", "id").mapInArrow(_settle, "tkey long, starts array<int>")
-    gone = later.unionByName(spots.where("anchor = 0").select("tkey", "starts")).groupBy("tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    gone = keep(gone, "gone")
+    gone = keep(_repeats(spots), "gone")
     hit = _only(found, gone.join(texts.select("tkey", F.col("rep").alias("id")), "tkey").select("id").distinct()).dropDuplicates(["tkey"])
     stripped = hit.join(gone, "tkey").mapInArrow(lambda b: _strip(b, window), "tkey long, n_removed long, kept_sha256 string, kept string")
     stripped = keep(stripped if with_text else stripped.drop("kept"), "stripped")

@@ -334,6 +334,24 @@ def test_repeats(spark, seed):
     assert got == brute_repeats(list(enumerate(texts)))
 
 
+def test_repeats_of_a_hot_passage_are_settled_by_window(spark, monkeypatch):
+    monkeypatch.setattr(passages, "SHARD_CHARS", 4000)
+    rng = random.Random(3)
+    hot = prose(rng, 70)
+    texts = [" ".join([prose(rng, 40, 10**6), hot, prose(rng, 40, 10**6)]) for _ in range(120)]
+    plans = {}
+
+    def kept(df, name, keep=passages.keep):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(passages, "keep", kept)
+    rows = passages.remove_repeats(frame(spark, texts)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in rows) == brute_repeats(list(enumerate(texts)))
+    dealt = set(re.findall(r"hashpartitioning\((\w+)#", plans["gone"]))
+    assert dealt == {"hashes", "tkey"}  # not by anchor, which is one for all documents with a passage
+
+
 def test_repeats_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in passages.remove_repeats(odd(spark)).collect())
     assert got == [(-1, 2, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, 0), (4, 2, 0), (6, 30000, 0), (7, 3, 0)]
