@@ -28,7 +28,8 @@ KEEP_SCORE = 0.5
 CLASSES = 28  # a-z, digits, the rest
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)"
-    r"|(?:(?<=[=:])|(?<=[=:][ \"'])|(?<=[=:][ ][\"']))(?<![A-Za-z0-9])[A-Za-z0-9_+/=.!@#$%^&*-]{8,}"
+    r"|(?:(?<=[=:])|[=:])[^\S\r\n]*[\"']?(?!(?i:bearer|basic)[^\S\r\n])(?P<assigned>[A-Za-z0-9_+/=.!@#$%^&*-]{4,})"
+    r"|(?<![A-Za-z0-9])(?i:bearer|basic)[^\S\r\n]+[\"']?(?P<bearer>[A-Za-z0-9_+/=.-]{8,})"
     r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,64}[0-9])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{14,}[A-Za-z0-9_+/-]={0,2}",
     re.S,
 )
@@ -77,31 +78,30 @@ def _coverage(word: str) -> float:
 
 def _features(text: str, start: int, end: int, transitions: np.ndarray) -> list[float]:
     own = text[start:end]
-    head = own[:400]
-    raw = np.frombuffer(head.encode(), np.uint8)
+    raw = np.frombuffer(own.encode(), np.uint8)
     c = _CLASS[raw]
     likely = float(transitions[c[:-1], c[1:]].mean()) if len(c) > 1 else 0.0
     counts = np.unique(raw, return_counts=True)[1] / max(1, len(raw))
     before = text[max(0, start - 60) : start]
     near = re.findall(r"[a-z0-9_-]+", (before + " " + text[end : end + 30]).lower())
     last = re.findall(r"[a-z0-9_-]+", before.lower())[-3:]
-    n = max(1, len(head))
+    n = max(1, len(own))
     return [
-        float(min(end - start, 400)),
+        float(end - start),
         likely,
-        _coverage(head),
-        sum(x.isdigit() for x in head) / n,
-        sum(x.isupper() for x in head) / n,
+        _coverage(own),
+        sum(x.isdigit() for x in own) / n,
+        sum(x.isupper() for x in own) / n,
         float(-(counts * np.log2(counts)).sum()),
-        sum(not x.isalnum() for x in head) / n,
-        float(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", head) is not None),
-        float(head.count("/") + head.count("\\") + (re.search(r"\w/$|://\S*$", before) is not None)),
-        float("@" in before[-1:] or text[end : end + 1] == "@" or "@" in head or re.fullmatch(r"[0-9.-]+", head) is not None),
+        sum(not x.isalnum() for x in own) / n,
+        float(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", own) is not None),
+        float(own.count("/") + own.count("\\") + (re.search(r"\w/$|://\S*$", before) is not None)),
+        float("@" in before[-1:] or text[end : end + 1] == "@" or "@" in own or re.fullmatch(r"[0-9.-]+", own) is not None),
         float(re.search(r"[=:]\s*[\"']?$", before) is not None),
         float(before[-1:] in ("\"", "'") and before[-1:] != ""),
         float(sum(any(w == s or w.endswith("_" + s) or w.endswith("-" + s) for s in SECRET_WORDS) for w in last)),
         float(sum(w in HARMLESS_WORDS for w in near)),
-        float(head.startswith("-----BEGIN")),
+        float(own.startswith("-----BEGIN")),
     ]
 
 
@@ -112,6 +112,16 @@ def _random(rng: random.Random, letters: str, n: int) -> str:
 def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
     """(passage, the finding in it, whether it is a secret): one labelled finding."""
     hexa, alnum, digits = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789"
+    letters = alnum[:52]
+    if rng.random() < 0.1:  # key blocks, with a placeholder as the look-alike
+        kind, secret = rng.choice(("", "RSA ", "EC ", "OPENSSH ")), rng.random() < 0.7
+        body = "\n".join(base64.b64encode(rng.randbytes(48)).decode() for _ in range(rng.randint(3, 26))) if secret else rng.choice(("YOUR KEY HERE", "...", "<key>", "insert your private key here"))
+        value = f"-----BEGIN {kind}PRIVATE KEY-----\n{body}\n-----END {kind}PRIVATE KEY-----"
+        return value, value, secret
+    if rng.random() < 0.1:  # tokens after their scheme
+        secret = rng.random() < 0.6
+        value = _random(rng, rng.choice((letters, letters[:26], alnum)), rng.randint(12, 48)) if secret else rng.choice(("YOUR_TOKEN", "your_token_here", "authentication", *3 * ((re.sub(r"\W", "", neighbour) * 8)[: max(8, len(neighbour))] or "neighbour",)))
+        return rng.choice(("the bearer {v}", "a bearer {v}", "Bearer {v}") if not secret and rng.random() < 0.7 else ("Authorization: Bearer {v}", "Bearer {v}", "authorization: bearer {v}", "Authorization: Basic {v}")).format(v=value), value, secret
     if rng.random() < 0.5:
         value = rng.choice(
             [
@@ -123,13 +133,16 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
                 lambda: base64.b64encode(rng.randbytes(rng.choice((24, 30, 48)))).decode(),
                 lambda: "eyJ" + _random(rng, alnum, 33) + "." + _random(rng, alnum, 60) + "." + _random(rng, alnum, 43),
                 lambda: _random(rng, alnum + "!@#$%^&*", rng.randint(12, 20)),
+                lambda: _random(rng, alnum, rng.randint(4, 11)),
+                lambda: _random(rng, letters[:26], rng.randint(4, 7)) + _random(rng, digits, rng.randint(1, 3)),
+                lambda: _random(rng, letters, rng.randint(10, 24)),
             ]
         )()
         name = rng.choice(SECRET_WORDS[:16])
-        form = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n} = '{v}'", 'NAME_{n}="{v}"', '"{n}": "{v}"'])
+        form = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n}:  {v}", "{n} =   {v}", "{n} = '{v}'", 'NAME_{n}="{v}"', '"{n}": "{v}"'])
         name = name.upper() if rng.random() < 0.3 else name
         return form.format(n=name, v=value), value, True
-    kind = rng.randrange(11)
+    kind = rng.randrange(14)
     word = re.sub(r"\W", "", neighbour) or "word"
     value = [
         lambda: f"{word}.{rng.randint(1, 99)}@mail{rng.randint(1, 9)}.example.com",
@@ -143,10 +156,15 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
         lambda: rng.choice(("YOUR_TOKEN_HERE", "your_api_key_here", "changeme_changeme1", "example_token_value", "<insert_token_here>", "xxxxxxxxxxxxxxxx1111")),
         lambda: f"www.{word}.example.com/{word}{rng.randint(1, 999)}",
         lambda: (word * 12)[:18] + str(rng.randint(1, 99)),
+        lambda: (word * 4)[: max(4, len(word))],
+        lambda: _random(rng, digits, rng.randint(4, 9)),
+        lambda: rng.choice(("none", "null", "true", "required", "example", "changeme", "password", "your_password", "xxxx", "test")),
     ][kind]()
     if kind in (4, 3):
         form = rng.choice(("commit {v}", "sha1 {v}", "checksum: {v}", "md5: {v}", "uuid {v}", "id={v}", "sha256: {v}", "digest = \"{v}\""))
-    elif kind == 8:
+    elif kind in (11, 12):
+        form = rng.choice(("note: {v}", "title:  {v}", "name = {v}", "id={v}", "build: {v}", f"{word}: {{v}}", f"{word} = {{v}}"))
+    elif kind in (8, 13):
         form = rng.choice(('token = "{v}"', "password={v}", "api_key: {v}"))
     else:
         form = rng.choice(("{v}", "{v}", "{v}", "{v},", "({v})", "ref: {v}", "id={v}"))
@@ -225,7 +243,7 @@ def train(documents: DataFrame, labelled: list[tuple[str, int, int, bool]] | Non
 
 def find_secrets(text: str, transitions: np.ndarray, forest: Forest, keep_score: float = KEEP_SCORE) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of candidates, and (start, end, score) of those that are secrets."""
-    found = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+    found = [m.span(m.lastgroup or 0) for m in CANDIDATE.finditer(text)]
     scored = [(a, b, forest.score(_features(text, a, b, transitions))) for a, b in found]
     return len(found), [s for s in scored if s[2] >= keep_score]
 

@@ -251,6 +251,24 @@ def test_secrets(spark):
     assert secret_scan.scan_secrets(odd(spark).limit(0)).count() == 0
 
 
+def test_secrets_in_forms_that_are_not_planted(spark):
+    rng = random.Random(4)
+    pem = "\n".join("".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(64)) for _ in range(12))
+    secrets = ["hunter22x", "Tr0ub4dorq", "qwhzkjxvbnmplkjtrw", "ZkQwXvJhPzRtKbNm", "s3cr3t", "zq8Kf", f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{pem}\n-----END ENCRYPTED PRIVATE KEY-----"]
+    passages_ = ["password:\t{v}", "DB_PWD =  \t{v}", "curl -H 'Authorization: Bearer {v}'", "Authorization:  bearer\t{v}", "export DB_PASSWORD={v}", "'secret' :   '{v}'", "{v}"]
+    clean = ["note:  something", "title:\tchapter", "the bearer mentioned", "password: required"]
+    texts = [f"{prose(rng, 20)} {p.format(v=v)} {prose(rng, 10)}" for p, v in zip(passages_, secrets, strict=True)] + [f"{prose(rng, 20)} {x} {prose(rng, 10)}" for x in clean]
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = frame(spark, texts).unionByName(real.withColumn("doc_id", F.col("doc_id") + 10000))
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.secrets] for r in secret_scan.scan_secrets(docs).where(f"doc_id < {len(texts)}").collect()}
+    assert [found[i] for i in range(len(texts))] == [[v] for v in secrets] + [[] for _ in clean]
+    for seed in range(40):  # every planted finding is a candidate
+        rng = random.Random(seed)
+        passage, value, secret = secret_scan.planted(rng, "neighbour")
+        spans = [m.span(m.lastgroup or 0) for m in secret_scan.CANDIDATE.finditer(f"a {passage} b")]
+        assert not secret or value in [f"a {passage} b"[a:b] for a, b in spans]
+
+
 def brute_ppm(texts, order, alphabet):
     """Counts by context, and bits of a byte string by the definition."""
     counts = collections.defaultdict(collections.Counter)
