@@ -169,9 +169,14 @@ def _close(n: str, m: str, percent: int) -> Column:
 
 
 def _sets_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of nodes, from one text each; nodes without any doc_id are left out."""
-    picks = keep(nodes.join(classes.select("node", "pick"), "node").where("pick is not null").select(F.col("pick").alias("doc_id")).distinct(), "picks")
-    texts = documents.select("doc_id", "text").join(F.broadcast(picks) if picks.count() <= BROADCAST_IDS else picks, "doc_id", "left_semi").select("text")
+    """(node, shingles) of nodes, from one text each: by doc_id, or by text_key where no row of a node has one."""
+    wanted = keep(nodes.join(classes.select("node", "pick", "lead"), "node").select("pick", F.when(F.col("pick").isNull(), F.col("lead")).alias("lead")).distinct(), "picks")
+    short = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+    texts = documents.select("doc_id", "text").join(short(wanted.where("pick is not null").select(F.col("pick").alias("doc_id")).distinct()), "doc_id", "left_semi").select("text")
+    unnamed = wanted.where("pick is null").select(F.col("lead").alias("text_key")).distinct()
+    if not unnamed.isEmpty():
+        rows = documents.where("doc_id is null").select(F.xxhash64("text").alias("text_key"), "text")
+        texts = texts.unionByName(rows.join(short(unnamed), "text_key", "left_semi").dropDuplicates(["text_key"]).select("text"))
     return texts.mapInArrow(lambda batches: _sets(batches, k), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
@@ -244,13 +249,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     documents needs doc_id and text; other columns are ignored. Null and blank texts have an
     empty set, size 0, and are linked with nothing. Texts of fewer than k words have one
     shingle, the whole sequence. Rows with equal sets share a component, repeated rows too.
-    component_id is the smallest non-null doc_id of the component; a row without doc_id joins
-    only the rows of an equal set. kept: doc_id equals component_id (null-safe). An empty table
-    gives an empty result.
+    component_id is the smallest non-null doc_id of the component; rows without doc_id are linked
+    like others. kept: doc_id equals component_id; in a component without any doc_id, the rows of
+    the text with the smallest text_key. An empty table gives an empty result.
     """
     small_batches(documents.sparkSession)
     rows = keep(documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, text_key long, n long, node long, check long, sig array<int>"), "signed")
-    classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.first("sig").alias("sig")), "classes")
+    classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.min("text_key").alias("lead"), F.first("sig").alias("sig")), "classes")
     postings = _postings(classes)
     heads = postings.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("head"), F.count("*").alias("nodes")).where("nodes > 1").select("token", "head")
     lists = keep(postings.join(heads, "token").select("token", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "lists")
@@ -260,19 +265,19 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     more = _across(lists, roots, classes, documents, k, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
-    named = classes.select("node", "check", "n", "pick").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = named.groupBy("root").agg(F.min("pick").alias("component_id"))
-    named = named.join(smallest, "root").select("node", "check", "n", "component_id")
+    named = classes.select("node", "check", "n", "pick", "lead").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = named.groupBy("root").agg(F.min("pick").alias("component_id"), F.min("lead").alias("lead"))
+    named = named.drop("lead").join(smallest, "root").select("node", "check", "n", "component_id", "lead")
     own = rows.select("doc_id", "text_key", "n", "node", "check")
-    out = own.where("n > 0").join(named, ["node", "check", "n"]).unionByName(own.where("n = 0").withColumn("component_id", F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "text_key", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = own.where("n > 0").join(named, ["node", "check", "n"]).unionByName(own.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("lead", F.col("text_key")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "text_key", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("component_id").isNotNull() | F.col("text_key").eqNullSafe(F.col("lead")))).alias("kept"))
 
 
 def drop_near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """documents without near-duplicates: of each component the document with the smallest id.
 
-    Rows that repeat an id and its text stay once. A row without doc_id stays unless a document
-    with an id has an equal set. Columns are those of documents.
+    Rows that repeat an id and its text stay once. Of a component
+    without any doc_id one row stays. Columns are those of documents.
     """
     key = ["doc_id", "text_key"]
     near = keep(near_duplicates(documents, k, percent).select(*key, "kept"), "near")

@@ -94,6 +94,19 @@ def test_near_duplicates_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 7] and kept.columns == odd(spark).columns
 
 
+def test_near_duplicates_without_ids_are_linked(spark):
+    rng = random.Random(8)
+    a, b = (prose(rng, 100, 10**6) for _ in range(2))
+    rows = [(7, a), (None, a + " more"), (None, b), (None, b + " more"), (None, b + " more"), (9, prose(rng, 100, 10**6)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text_key): (r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+    keys = {r.text: r.k for r in docs.select("text", F.xxhash64("text").alias("k")).collect()}
+    assert got[None, keys[a + " more"]] == (7, False)
+    assert sorted(got[None, keys[t]][1] for t in (b, b + " more")) == [False, True]
+    left = [(r.doc_id, r.text) for r in near_dup.drop_near_duplicates(docs).collect()]
+    assert len(left) == 4 and (7, a) in left and sum(t in (b, b + " more") for _, t in left) == 1
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5001)]
