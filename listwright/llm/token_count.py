@@ -8,6 +8,7 @@ how many tokens truncation leaves.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,6 +21,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how byte-level BPE splits a text before merging.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 MAX_VOCABULARY = 64 << 20
+#: White space as SPLIT means it. A run of LONG_RUN of them before other text makes SPLIT backtrack, one
+#: frame of the stack for each, so such runs are cut where SPLIT cuts them: before their last character.
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 4096
 
 _encodings: dict[bytes, object] = {}
 
@@ -45,10 +50,22 @@ def encoding(ranks: bytes, split: str = SPLIT):
     return _encodings[key]
 
 
+def tokens_in(own, text: str, split: str = SPLIT, long_run: int = LONG_RUN) -> int:
+    """Number of tokens of the whole text."""
+    total = at = 0
+    if split == SPLIT:
+        for run in re.finditer(f"[{BLANK}]{{{long_run},}}", text):
+            if run.end() < len(text):
+                total += len(own.encode_ordinary(text[at : run.start()])) + len(own.encode_ordinary(text[run.start() : run.end() - 1]))
+                at = run.end() - 1
+    return total + len(own.encode_ordinary(text[at:]))
+
+
 def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY, split: str = SPLIT) -> DataFrame:
     """documents with n_tokens of the whole text; null and empty texts have 0.
 
-    A clashing n_tokens column is replaced. Strings of special tokens are ordinary text.
+    A clashing n_tokens column is replaced. Strings of special tokens are ordinary text. A text
+    of any length is encoded whole, one at a time; repeated rows are counted alike.
     """
     small_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
@@ -57,7 +74,7 @@ def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY, split: str
     def count(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = encoding(held.value, split)
         for texts in column:
-            yield texts.map(lambda text: len(own.encode_ordinary(text)) if text else 0).astype("int64")
+            yield texts.map(lambda text: tokens_in(own, text, split) if text else 0).astype("int64")
 
     return documents.drop("n_tokens").withColumn("n_tokens", count("text"))
 

@@ -454,6 +454,26 @@ def test_token_counts(spark):
     assert token_count.length_histogram(token_count.count_tokens(odd(spark).limit(0))).count() == 0
 
 
+def test_token_counts_of_long_runs(spark):
+    own = token_count.encoding(token_count.read_vocabulary(token_count.VOCABULARY))
+    n = lambda text: len(own.encode_ordinary(text))
+    rng = random.Random(2)
+    for _ in range(300):  # cut runs of two or more: equal to the encoder on the whole text
+        text = "".join(rng.choice([" ", " ", "\n", "\t", "\u3000", "\x85", "\x1c", "a", "7", "!", "'s", "é"]) for _ in range(rng.randint(0, 40)))
+        assert token_count.tokens_in(own, text, long_run=2) == n(text)
+    texts, want = [], []
+    for size in (10**6, 10**7):
+        for run in (" ", "\n"):
+            texts.append("see" + run * size + "x")
+            want.append(n("see") + n(run * (size - 1)) + n(run + "x"))
+    for run in ("a", "1", " ", "!"):
+        texts += [run * 10**6] * 2  # repeated rows
+        want += [n(run * 10**6)] * 2
+    counted = token_count.count_tokens(frame(spark, texts).repartition(4).withColumn("n_tokens", F.lit("clash")))
+    assert {r.doc_id: r.n_tokens for r in counted.select("doc_id", "n_tokens").collect()} == dict(enumerate(want))
+    assert sum(r.n_docs for r in token_count.length_histogram(counted).collect()) == len(texts)
+
+
 def brute_contamination(docs, items):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = collections.defaultdict(set)
@@ -474,6 +494,18 @@ def brute_contamination(docs, items):
     return sorted(out)
 
 
+def test_contamination_by_a_window_that_many_items_share(spark):
+    rng = random.Random(12)
+    head = prose(rng, 12, 10**6)
+    items = [f"{head} {prose(rng, 6, 10**6)}" for _ in range(50)]
+    texts = [f"{prose(rng, 5)} {head} {prose(rng, 5)}" for _ in range(40)] + items[:3] + [f"{prose(rng, 9)} {i}" for i in items[:3]]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontam.find_contamination(frame(spark, texts), bench).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows) == brute_contamination(list(enumerate(texts)), list(enumerate(items)))
+    hits = decontam._hits(frame(spark, texts), decontam._item_windows(bench))
+    assert hits.count() <= 12 * len(texts)  # not a row for each item
+
+
 def test_contamination(spark):
     rng = random.Random(10)
     items = [prose(rng, n, 5000) for n in (10, 11, 35, 60, 9, 3)] + ["", None, "unique-Word"]
@@ -483,10 +515,12 @@ def test_contamination(spark):
         w = (rng.choice([i for i in items if i]) + " tail").split()
         a, n = rng.randrange(len(w)), rng.choice([5, 9, 10, 12, 60])
         texts.append(f"{prose(rng, 20, 5000)} {', '.join(w[a : a + n]).upper()}; {prose(rng, 10, 5000)} É")
-    texts += ["", None, items[2], items[2]]
+    texts += ["", None, items[2], items[2], "unique\x7fword", "unique-word\x80", "\U0001d400unique word", "a unique\nWORD\x00", "\U0001f600 unique, word \x7e"]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("words", F.lit("clash"))
     got = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontam.find_contamination(frame(spark, texts), bench).collect())
     assert got == brute_contamination(list(enumerate(texts)), list(enumerate(items)))
+    left = {r.doc_id for r in decontam.drop_contaminated(frame(spark, texts), bench).collect()}
+    assert left == {i for i, *_, bad in brute_contamination(list(enumerate(texts)), list(enumerate(items))) if not bad}
     assert decontam.find_contamination(odd(spark), bench).count() == 8
     assert decontam.find_contamination(odd(spark), bench.limit(0)).where("contaminated").count() == 0
     assert decontam.find_contamination(odd(spark).limit(0), bench).count() == 0
