@@ -146,8 +146,9 @@ def experience_phrase(text: Column, bare_range: bool = False, rules: Rules = DEF
     """struct(min_years, max_years) of the first rule met in a text without blanks, else null."""
 
     def between(pattern: str) -> Column:
-        pair = F.struct(_number(text, pattern, 1).alias("low"), _number(text, pattern, 2).alias("high"))
-        return let(pair, lambda p: F.when((p["low"] <= p["high"]) & (p["high"] <= rules.most_years), years(p["low"], p["high"])))
+        # The text is searched once; both numbers are taken from the short match.
+        pair = lambda m: F.struct(_number(m, pattern, 1).alias("low"), _number(m, pattern, 2).alias("high"))
+        return let(let(found(text, pattern, 0), pair), lambda p: F.when((p["low"] <= p["high"]) & (p["high"] <= rules.most_years), years(p["low"], p["high"])))
 
     def one(pattern: str, of: Callable[[Column], Column]) -> Column:
         return let(_number(text, pattern), lambda n: F.when(n.isNotNull(), of(n)))
@@ -176,15 +177,18 @@ def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules =
     newcomer = lambda c: F.col(c).contains("신입") & ~F.col(c).contains("경력")
     rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(found(text, r"경력[\s|]*경력[\s]*([^\n|]{1,24})"))})
     rows = rows.withColumns({"_section": tight(requirement_section(F.col("_text"), rules)), "_body": tight(F.col("_text"))})
-    rows = rows.withColumns({f"_in{c}": experience_phrase(F.col(c), c in ("_titled", "_label"), rules) for c in ("_titled", "_label", "_section", "_body")})
     ranks = [F.when(matches(F.col("_text"), rf"{r}\s?급(?!여)|{r}\s?이상"), years(F.lit(n), F.lit(None))) for r, n in rules.ranks]
     entry, open_ = years(F.lit(0), F.lit(1)), years(F.lit(0), F.lit(None))
-    asked = F.coalesce(
-        F.when(newcomer("_titled"), entry), F.col("_in_titled"), F.col("_in_label"), F.when(F.col("_label").contains("무관"), open_),
-        F.when(newcomer("_body"), entry), F.col("_in_section"), F.col("_in_body"), *ranks, open_,
-    )
-    scopes = ("_text", "_titled", "_label", "_section", "_body")
-    return rows.withColumn(name, asked).drop(*scopes, *[f"_in{c}" for c in scopes])
+    phrase = lambda c, bare: experience_phrase(F.col(c), bare, rules)
+    steps = [
+        F.coalesce(F.when(newcomer("_titled"), entry), phrase("_titled", True)),
+        F.coalesce(phrase("_label", True), F.when(F.col("_label").contains("무관"), open_), F.when(newcomer("_body"), entry)),
+        phrase("_section", False), phrase("_body", False), F.coalesce(*ranks, open_),
+    ]
+    rows = rows.withColumn("_asked", steps[0])
+    for step in steps[1:]:  # a wider scope is searched only where the narrower ones name nothing
+        rows = rows.withColumn("_asked", F.when(F.col("_asked").isNotNull(), F.col("_asked")).otherwise(step))
+    return rows.withColumn(name, F.col("_asked")).drop("_asked", "_text", "_titled", "_label", "_section", "_body")
 
 
 def salary(text: Column, unit: str = "만원", over: str = "이상") -> Column:

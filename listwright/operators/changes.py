@@ -25,7 +25,7 @@ def merge_batch(master: DataFrame, batch: DataFrame, run_ts: Column, rules: Rule
     body = F.when(F.col("_guarded") | ~here, old("raw_html")).otherwise(new("raw_html"))
     deadline = F.coalesce(new("deadline"), old("deadline"))
     differs = (
-        (~F.col("_guarded") & (for_diff(old("raw_html")) != for_diff(new("raw_html"))))
+        (~F.col("_guarded") & F.when(old("raw_html").eqNullSafe(new("raw_html")), False).otherwise(for_diff(old("raw_html")) != for_diff(new("raw_html"))))
         | ~F.coalesce(old("title"), F.lit("")).eqNullSafe(F.coalesce(new("title"), F.lit("")))
         | (new("deadline").isNotNull() & ~new("deadline").eqNullSafe(old("deadline")))
         | (old("status") != "ACTIVE")

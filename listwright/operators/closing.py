@@ -56,3 +56,18 @@ def close_decisions(active: DataFrame, batch_ids: DataFrame, health: DataFrame,
         .otherwise("CLOSED")
     )
     return a.select("id", "source", "company_name", "title", "last_seen_date", decision.alias("decision"))
+
+
+def apply_decisions(master: DataFrame, decisions: DataFrame, run_ts: Column) -> DataFrame:
+    """The master after close detection: CLOSED rows get the status and run_ts as last_updated_at;
+    rows whose last_seen_date could not be used are stamped with the run's date. Others stay as they are.
+
+    decisions (id, decision) has one row per active listing; listings without one stay."""
+    d = decisions.select(F.col("id").alias("_id"), "decision")
+    closed, restamp = F.col("decision").eqNullSafe("CLOSED"), F.col("decision").eqNullSafe("restamp")
+    rows = master.join(d, F.col("id") == F.col("_id"), "left")
+    return rows.withColumns({
+        "status": F.when(closed, "CLOSED").otherwise(F.col("status")),
+        "last_updated_at": F.when(closed, run_ts).otherwise(F.col("last_updated_at")),
+        "last_seen_date": F.when(restamp, F.to_date(run_ts)).otherwise(F.col("last_seen_date")),
+    }).select(*master.columns)

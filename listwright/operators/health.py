@@ -13,11 +13,18 @@ def log_counts(log: DataFrame) -> DataFrame:
 
     Values that are booleans or strings, and JSON that is no object, give no row.
     """
-    log.createOrReplaceTempView("_log")
-    rows = log.sparkSession.sql("SELECT l.run_id, l.run_date, l.is_success, lower(e.key) AS source, schema_of_variant(e.value) AS kind, try_variant_get(e.value, '$', 'double') AS n FROM _log l, LATERAL variant_explode(CASE WHEN schema_of_variant(try_parse_json(l.source_counts)) LIKE 'OBJECT%' THEN try_parse_json(l.source_counts) END) e")
+    rows = log.sparkSession.sql("SELECT l.run_id, l.run_date, l.is_success, lower(e.key) AS source, schema_of_variant(e.value) AS kind, try_variant_get(e.value, '$', 'double') AS n FROM {log} l, LATERAL variant_explode(CASE WHEN schema_of_variant(try_parse_json(l.source_counts)) LIKE 'OBJECT%' THEN try_parse_json(l.source_counts) END) e", log=log)
     return rows.where((F.col("kind").isin("BIGINT", "DOUBLE") | F.col("kind").startswith("DECIMAL")) & (F.col("n") > 0)).drop("kind").withColumn("n", F.col("n").cast("long"))
 
 
+def run_row(runs: DataFrame) -> DataFrame:
+    """(run_id, run_date, is_success, error_log, source_counts, successful_sources) of runs (run_id,
+    run_date, counts map, ok array of sources, errors array of texts): a run succeeded if any source
+    did; its error text is what there is of errors, joined; counts and sources are JSON."""
+    told = F.array_join(F.filter("errors", lambda e: e != ""), "; ")
+    return runs.select("run_id", "run_date", (F.size("ok") > 0).alias("is_success"), told.alias("error_log"), F.to_json("counts").alias("source_counts"), F.to_json("ok").alias("successful_sources"))
+
+
 def daily_baseline(counts: DataFrame, before: Column, days: int = DEFAULT.baseline_days) -> DataFrame:
     """(source, day, n): the best successful run of each day in [before - days, before)."""
     d = F.col("run_date")

@@ -14,6 +14,7 @@ from listwright.operators.health import source_health
 from listwright.sources.payloads import standardize as standard_rows
 from listwright.sources.payloads import union_sources as union_all
 
+from .daily import mart_rows, run_day
 from .registry import query
 from .views import LATIN, RUN_DAY, posts, previous, runs, table, today, with_views
 
@@ -128,15 +129,41 @@ def close_summary(spark, sf_dir):
     return _decisions(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("n"))
 
 
+@query(with_views(f"SELECT p.id, CASE WHEN d.decision = 'CLOSED' THEN 'CLOSED' ELSE p.status END AS status, CASE WHEN d.decision = 'restamp' THEN DATE '{RUN_DAY}' ELSE p.last_seen_date END AS last_seen_date, CASE WHEN d.decision = 'CLOSED' THEN '{RUN_DAY} 09:00:00' ELSE '2024-01-31 09:00:00' END AS last_updated_at FROM v_prev p LEFT JOIN d ON p.id = d.id", "v_prev", "v_today", more=CLOSE), dates="last_seen_date")
+def closed_master(spark, sf_dir):
+    """The master after the decisions: closed rows and stamps are written."""
+    out = K.apply_decisions(previous(spark, sf_dir), _decisions(spark, sf_dir), _ts())
+    return out.select("id", "status", "last_seen_date", F.date_format("last_updated_at", "yyyy-MM-dd HH:mm:ss").alias("last_updated_at"))
+
+
+DAILY = f"{MERGE}, " + CLOSE.replace(" WHERE source <> 'src4'", "").replace("a AS (SELECT * FROM v_prev WHERE status = 'ACTIVE')", "a AS (SELECT id, source, last_seen_date FROM m WHERE change_type <> 'absent' OR id IN (SELECT id FROM v_prev WHERE status = 'ACTIVE'))")
+
+
+@query(
+    with_views(
+        "SELECT 'change' AS step, source, change_type AS kind, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'close', source, decision, count(*) FROM d GROUP BY ALL UNION ALL SELECT 'health', source, state, 1 FROM h UNION ALL SELECT 'active', source, 'ACTIVE', count(*) FROM d WHERE decision <> 'CLOSED' GROUP BY ALL "
+        "UNION ALL SELECT 'category', source, CASE WHEN regexp_matches(lower(title), 'tax|eau') THEN 'tax' WHEN regexp_matches(lower(title), 'tion|treasury') THEN 'treasury' ELSE 'accounting' END, count(*) FROM (SELECT t.source, t.title FROM v_today t JOIN m ON t.id = m.id WHERE m.change_type IN ('new', 'modified')) GROUP BY ALL",
+        "v_prev", "v_today", more=DAILY,
+    )
+)
+def daily_run(spark, sf_dir):
+    """A whole day: native dedup, merge, classification of what changed, close detection, health."""
+    batch = today(spark, sf_dir)
+    again = batch.where("id % 13 = 0").withColumns({"seq": F.lit(2), "search": F.lit(True)})  # arrives once more, from a search
+    batch = batch.withColumns({"seq": F.lit(1), "search": F.lit(False)}).unionByName(again)
+    day = run_day(previous(spark, sf_dir), batch, _health(spark, sf_dir), _doc_runs(spark, sf_dir), _ts(), "id", F.col("search"), "seq", LATIN)
+    return day.report()
+
+
 @query(with_views("SELECT source, n_active, (SELECT count(*) FROM z) AS zeroed, n_active >= 2 OR (SELECT count(*) FROM z) >= 4 AS hold FROM z", "v_prev", "v_today", more=CLOSE))
 def mass_close_sources(spark, sf_dir):
     batch = today(spark, sf_dir).where("source <> 'src4'").groupBy("source").agg(F.count("*").alias("n"))
     return K.mass_close_sources(previous(spark, sf_dir).where(ACTIVE), batch, _health(spark, sf_dir).where("state <> 'failed'"), LATIN)
 
 
-@query(with_views("SELECT x.source, x.last_seen, count(DISTINCT r.run_date) AS fair_days FROM (SELECT DISTINCT event_type AS source, ts::DATE AS last_seen FROM events WHERE event_id % 50 = 0) x LEFT JOIN (SELECT DISTINCT source, run_date FROM v_runs WHERE is_success AND n > 0) r ON r.source = x.source AND r.run_date > x.last_seen AND r.run_date < DATE '2024-01-25' GROUP BY ALL", "v_runs"), dates="last_seen")
+@query(with_views("SELECT x.source, x.last_seen, count(DISTINCT r.run_date) AS fair_days FROM (SELECT DISTINCT event_type AS source, ts::DATE AS last_seen FROM events) x LEFT JOIN (SELECT DISTINCT source, run_date FROM v_runs WHERE is_success AND n > 0) r ON r.source = x.source AND r.run_date > x.last_seen AND r.run_date < DATE '2024-01-25' GROUP BY ALL", "v_runs"), dates="last_seen")
 def fair_miss_days(spark, sf_dir):
-    pairs = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.col("event_type").alias("source"), F.to_date("ts").alias("last_seen"))
+    pairs = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("last_seen"))
     return K.fair_miss_days(pairs, runs(spark, sf_dir), F.to_date(F.lit("2024-01-25")))
 
 
@@ -147,11 +174,13 @@ def active_mart(spark, sf_dir):
     return p.join(labels, p["id"] == labels["doc_id"], "left").select("id", "source", "title", "posted_at", F.length("raw").alias("raw_len"), "quality", "toxic").orderBy(F.desc("posted_at"), F.desc("id"))
 
 
-@query(with_views("SELECT id, replace(replace(title, '<', '&lt;'), '>', '&gt;') AS shown, replace('{\"id\":' || id || ',\"source\":\"' || source || '\",\"min_experience\":0}', '</', '<\\/') AS doc FROM v_post", "v_post"))
+STORED = "CASE id % 4 WHEN 0 THEN '[\"ledger\",\"a</b>\"]' WHEN 1 THEN 'broken' WHEN 2 THEN '[]' END"
+
+
+@query(with_views(f"SELECT id, replace(replace(title, '<', '&lt;'), '>', '&gt;') AS shown, replace('{{\"id\":' || id || ',\"source\":\"' || source || '\",\"min_experience\":' || coalesce(CASE WHEN id % 3 = 0 THEN id % 9 END, 0) || ',\"key_requirements\":' || CASE WHEN id % 4 = 0 THEN '[\"ledger\",\"a</b>\"]' ELSE '[]' END || ',\"is_new\":' || (posted_at = DATE '2024-01-11')::VARCHAR || ',\"has_body\":' || (length(raw) > length(title) + 60)::VARCHAR || '}}', '</', '<\\/') AS doc FROM v_post", "v_post"))
 def mart_json(spark, sf_dir):
-    row = F.to_json(F.struct("id", "source", F.coalesce(F.lit(None).cast("int"), F.lit(0)).alias("min_experience")))
-    shown = F.replace(F.replace("title", F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    return posts(spark, sf_dir).select("id", shown.alias("shown"), F.replace(row, F.lit("</"), F.lit("<\\/")).alias("doc"))
+    p = posts(spark, sf_dir).withColumns({"key_requirements": F.expr(STORED), "min_experience": F.when(F.col("id") % 3 == 0, F.col("id") % 9).cast("int")})
+    return mart_rows(p, F.to_date(F.lit("2024-01-11"))).select("id", "shown", "doc")
 
 
 @query(with_views("SELECT id, source, company AS company_name, title, 'u/' || id AS origin_url, '' AS location, posted_at, 'ACTIVE' AS status, length(CASE WHEN id % 3 = 0 THEN title ELSE raw END) AS body_len, deadline FROM v_post", "v_post"), dates="posted_at deadline")

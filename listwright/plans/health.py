@@ -32,9 +32,16 @@ def _today(spark, sf_dir):
     return last_day(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query(with_views("SELECT epoch(run_date)::BIGINT // 86400 * 2 + half AS run_id, run_date, is_success, '{' || string_agg('\"' || source || '\":' || n, ',' ORDER BY source) || '}' AS source_counts, count(*) > 0 AS any_source FROM v_runs GROUP BY run_date, half, is_success", "v_runs"), dates="run_date")
+@query(with_views("SELECT epoch(run_date)::BIGINT // 86400 * 2 + half AS run_id, run_date, '{' || string_agg('\"' || source || '\":' || n, ',' ORDER BY source) || '}' AS source_counts, coalesce(string_agg(source, ',' ORDER BY source) FILTER (n > 5), '') AS successful, count(*) FILTER (n > 5) > 0 AS is_success, concat_ws('; ', CASE WHEN NOT is_success THEN 'publishing failed' END, 'failed: ' || string_agg(source, ',' ORDER BY source) FILTER (n <= 5)) AS error_log FROM v_runs GROUP BY run_date, half, is_success", "v_runs"), dates="run_date")
 def run_log(spark, sf_dir):
-    return logged(spark, sf_dir).select("run_id", "run_date", "is_success", "source_counts", (F.col("successful_sources").isNotNull()).alias("any_source"))
+    """A run's row: sources with more than five rows count as successes, the others as failures."""
+    entries = F.array_sort(F.collect_list(F.struct("source", "n")))
+    some = lambda ok: F.array_sort(F.collect_list(F.when(ok, F.col("source"))))
+    day = F.unix_date("run_date").cast("long") * 2 + F.col("half")
+    run = runs(spark, sf_dir).groupBy("run_date", "half", "is_success").agg(entries.alias("counts"), some(F.col("n") > 5).alias("ok"), some(F.col("n") <= 5).alias("bad"))
+    errors = F.array(F.when(~F.col("is_success"), "publishing failed"), F.when(F.size("bad") > 0, F.concat(F.lit("failed: "), F.array_join("bad", ","))))
+    row = H.run_row(run.select(day.alias("run_id"), "run_date", F.map_from_entries("counts").alias("counts"), "ok", errors.alias("errors")))
+    return row.select("run_id", "run_date", "source_counts", F.array_join(F.from_json("successful_sources", "array<string>"), ",").alias("successful"), "is_success", "error_log")
 
 
 @query(with_views("SELECT p.source, (SELECT count(*) FROM v_last l WHERE l.source = p.source) AS n FROM p", "v_last", more=PLATFORMS))
@@ -119,10 +126,10 @@ def source_sets(spark, sf_dir):
     return failed.subtract(ok).withColumn("kind", F.lit("failed")).union(failed.intersect(ok).withColumn("kind", F.lit("recovered")))
 
 
-@query("SELECT d AS run_date, n_new, n_modified, n_closed, (sum(n_new) OVER ())::BIGINT AS total_new, (sum(n_closed) OVER ())::BIGINT AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 7)", dates="run_date")
+@query("SELECT d AS run_date, n_new, n_modified, n_closed, (sum(n_new) OVER ())::BIGINT AS total_new, (sum(n_closed) OVER ())::BIGINT AS total_closed FROM (SELECT o_orderdate::DATE AS d, count(*) FILTER (o_orderstatus = 'O') AS n_new, count(*) FILTER (o_orderstatus = 'P') AS n_modified, count(*) FILTER (o_orderstatus = 'F') AS n_closed FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 7)", dates="run_date")
 def weekly_trend(spark, sf_dir):
     n = lambda s: F.count_if(F.col("o_orderstatus") == s)
-    days = table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").groupBy(F.to_date("o_orderdate").alias("run_date")).agg(n("O").alias("n_new"), n("P").alias("n_modified"), n("F").alias("n_closed"))
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("run_date")).agg(n("O").alias("n_new"), n("P").alias("n_modified"), n("F").alias("n_closed"))
     days = days.orderBy(F.desc("run_date")).limit(LATIN.baseline_days)
     return days.crossJoin(F.broadcast(days.agg(F.sum("n_new").alias("total_new"), F.sum("n_closed").alias("total_closed"))))
 

@@ -12,14 +12,14 @@ from .registry import query
 from .views import LATIN, posts, table, with_views
 
 RANK = "CASE WHEN lower(source) IN ('src1', 'src3', 'src5') THEN 1 ELSE 0 END"
-TITLED = "t AS (SELECT id, source, company, CASE WHEN id % 3 = 0 THEN '[co ' || (id % 50) || ' plus] ' || left(title, 20) WHEN id % 3 = 1 THEN '[new] ' || left(title, 20) ELSE left(title, 20) END AS title, 'u/' || id AS url FROM v_post)"
+TITLED = "t AS (SELECT id, source, company, CASE WHEN id % 3 = 0 THEN '[co ' || (id % 50) || ' plus] ' || title WHEN id % 3 = 1 THEN '[new] ' || title ELSE title END AS title, 'u/' || id AS url FROM v_post)"
 KEYED = f"""{TITLED}, k0 AS (SELECT *, replace(lower(company), ' ', '') AS own, regexp_extract(title, '^\\[([^\\[\\]]{{1,30}})\\]\\s*', 1) AS h0, trim(regexp_replace(title, '^\\[([^\\[\\]]{{1,30}})\\]\\s*', '')) AS rest FROM t),
 k1 AS (SELECT *, replace(lower(h0), ' ', '') AS hint FROM k0), k2 AS (SELECT *, length(hint) >= 2 AND (contains(hint, own) OR contains(own, hint)) AS fits FROM k1),
 k AS (SELECT id, source, url, title, CASE WHEN fits AND length(hint) > length(own) THEN hint ELSE own END AS company_key, lower(regexp_replace(translate(CASE WHEN fits AND rest <> '' THEN rest ELSE trim(title) END, '[]', '  '), '\\s+', '', 'g')) AS title_key FROM k2)"""
 
 
 def _titled(spark, sf_dir):
-    short = F.left("title", F.lit(20))
+    short = F.col("title")
     title = F.when(F.col("id") % 3 == 0, F.concat(F.lit("[co "), F.col("id") % 50, F.lit(" plus] "), short)).when(F.col("id") % 3 == 1, F.concat(F.lit("[new] "), short)).otherwise(short)
     return posts(spark, sf_dir).select("id", "source", F.col("company").alias("company_name"), title.alias("title"), F.concat(F.lit("u/"), "id").alias("origin_url"), F.col("id").alias("ingest_seq"))
 
@@ -42,7 +42,7 @@ def source_ranks(spark, sf_dir):
     return posts(spark, sf_dir).select("id", "source", source_rank(F.col("source"), LATIN).alias("rank"))
 
 
-@query(with_views("SELECT id, CASE WHEN id % 3 = 1 THEN title WHEN trim(left(title, 20)) = '' THEN title WHEN id % 3 = 0 AND 'co' || (id % 50) || 'plus' = replace(lower(company), ' ', '') THEN left(title, 20) ELSE title END AS shown FROM (SELECT id, company, trim(title) AS title FROM t)", "v_post", more=TITLED))
+@query(with_views("SELECT id, CASE WHEN id % 3 = 1 THEN title WHEN trim(title) = '' THEN title WHEN id % 3 = 0 AND 'co' || (id % 50) || 'plus' = replace(lower(company), ' ', '') THEN title ELSE title END AS shown FROM (SELECT id, company, trim(title) AS title FROM t)", "v_post", more=TITLED))
 def display_title(spark, sf_dir):
     return _titled(spark, sf_dir).select("id", shown(F.col("company_name"), F.col("title"), LATIN).alias("shown"))
 

@@ -20,7 +20,6 @@ LATIN = Rules(
     tail_markers=("Licensed", "license", "token", "the of", "de la"),
     requirement_start=("and the", "the and", "de la", "und der"),
     requirement_end=(" of ", " que ", " zu "),
-    requirement_chars=200,
     section_requirements=("Requirements",),
     section_preferences=("Preferences",),
     section_other=("Other",),
