@@ -11,19 +11,31 @@ from listwright.functions.keys import preset_key
 MOST_DIMENSION_ROWS = 100_000
 
 
+def _pieces(key: str) -> Column:
+    """All distinct substrings of a short text."""
+    size = F.length(key)
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col(key), i, n)))))
+
+
 def tiered_lookup(names: DataFrame, presets: DataFrame, fallbacks: DataFrame | None = None, rules: Rules = DEFAULT) -> DataFrame:
     """(name, preset, tier): exact, then normalised, then containment either way in order, then keyword.
 
     names (name), presets (ord, preset), fallbacks (ord, keyword, preset). Only distinct names are
-    compared. presets must be a small dimension; its size is checked before it is broadcast. An
-    empty normalised name matches nothing. Names without a match are left out.
+    compared. Containment is tested against a broadcast of presets if they are at most
+    MOST_DIMENSION_ROWS, else by a join on all pieces of both sides' keys. An empty normalised
+    name matches nothing. Names without a match are left out.
     """
-    if presets.count() > MOST_DIMENSION_ROWS:
-        raise ValueError(f"a dimension of over {MOST_DIMENSION_ROWS} rows can't be compared by containment")
     n = names.where("name is not null").select("name").distinct().withColumn("key", preset_key(F.col("name"), rules))
     p = presets.withColumn("pkey", preset_key(F.col("preset"), rules))
-    tier = F.when(F.col("name") == F.col("preset"), 1).when((F.col("key") != "") & (F.col("key") == F.col("pkey")), 2).when((F.col("key") != "") & (F.col("pkey") != "") & (F.contains("key", "pkey") | F.contains("pkey", "key")), 3)
-    hits = n.join(F.broadcast(p), tier.isNotNull()).select("name", F.struct(tier.alias("tier"), "ord", "preset").alias("hit"))
+    hit = lambda rows, tier: rows.select("name", F.struct(F.lit(tier).alias("tier"), "ord", "preset").alias("hit"))
+    keyed, named = n.where("key <> ''"), p.where("pkey <> ''")
+    hits = hit(n.join(p, F.col("name") == F.col("preset")), 1).unionByName(hit(keyed.join(named, F.col("key") == F.col("pkey")), 2))
+    if named.count() <= MOST_DIMENSION_ROWS:
+        hits = hits.unionByName(hit(keyed.join(F.broadcast(named), F.contains("key", "pkey") | F.contains("pkey", "key")), 3))
+    else:
+        within = lambda rows, key: rows.withColumn("piece", F.explode(_pieces(key)))
+        hits = hits.unionByName(hit(within(keyed, "key").join(named, F.col("piece") == F.col("pkey")), 3))
+        hits = hits.unionByName(hit(within(named, "pkey").join(keyed, F.col("piece") == F.col("key")), 3))
     if fallbacks is not None:
         low = F.lower("key")
         more = n.join(F.broadcast(fallbacks), (F.col("key") != "") & F.contains(low, "keyword")).select("name", F.struct(F.lit(4).alias("tier"), "ord", "preset").alias("hit"))

@@ -129,11 +129,13 @@ def test_sections(spark):
     assert got == {"req": ["회계 결산 경험자", "더존 사용 가능자"], "pref": ["공인회계사 우대합니다"]}
 
 
-def test_lookup_tiers(spark):
+def test_lookup_tiers(spark, monkeypatch):
     names = spark.createDataFrame([("넥슨",), ("㈜ 넥슨",), ("넥슨코리아서비스",), ("hybe im",), ("(주)",), ("없는회사",)], "name string")
     presets = spark.createDataFrame([(i, p[0]) for i, p in enumerate(DEFAULT.presets)], "ord long, preset string")
     fallbacks = spark.createDataFrame([(i, *f) for i, f in enumerate(DEFAULT.preset_fallbacks)], "ord long, keyword string, preset string")
     got = {r.name: (r.preset, r.tier) for r in lookups.tiered_lookup(names, presets, fallbacks).collect()}
+    monkeypatch.setattr(lookups, "MOST_DIMENSION_ROWS", 0)  # by pieces instead of a broadcast
+    assert got == {r.name: (r.preset, r.tier) for r in lookups.tiered_lookup(names, presets, fallbacks).collect()}
     assert got == {"넥슨": ("넥슨", 1), "㈜ 넥슨": ("넥슨", 2), "넥슨코리아서비스": ("넥슨", 3), "hybe im": ("NHN", 4)}
 
 
