@@ -20,7 +20,8 @@ from .store import keep, small_batches
 from .words import mix, window_min
 
 K, W = 8, 16
-ROWS_EACH, MAX_PARTS = 2000, 4096
+PART_BYTES = 8 << 20  # of text in a sorted part, about
+SLICES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _POINT = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -68,42 +69,57 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def with_next_text(documents: DataFrame, rows_each: int = ROWS_EACH) -> DataFrame:
+def with_next_text(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(part, halo, doc_id, text) in sorted partitions where the next text is in the row below.
 
-    Rows are dealt into at most MAX_PARTS parts of doc_id, by quantiles of all ids, and sorted in
-    descending order inside each. Every part also gets, as a halo row at its end, the first row
-    of the part that follows it; the last part gets the first row of all.
+    Rows are dealt into parts of doc_id, by quantiles of all ids, and sorted in descending order
+    inside each; the number of parts grows with the bytes. An id with more than part_bytes of text
+    (or null) has parts of its own, by ranges of a hash of the text. Every part also gets, as a
+    halo row at its end, the first row of the part that follows it; the last part gets the first
+    row of all. What comes to the driver is a number or two for each part.
     """
-    ids = documents.select("doc_id")
-    parts = min(MAX_PARTS, max(1, ids.count() // rows_each))
-    edges = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10 * MAX_PARTS)).first()[0]
-    held = documents.sparkSession.sparkContext.broadcast(np.unique(np.array(edges or [], np.int64)))  # MAX_PARTS numbers at most
-
-    @F.pandas_udf("int")
-    def part(doc_id: pd.Series) -> pd.Series:
+    sized = documents.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    by_id = sized.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"))
+    parts = max(1, (sized.agg(F.sum("bytes")).first()[0] or 0) // part_bytes)
+    edges = sized.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 4 * parts))).first()[0]
+    heavy = {r.doc_id: min(SLICES, -(-r.bytes // part_bytes)) for r in by_id.where(F.col("bytes") > part_bytes).collect()}  # at most parts rows
+    own = sorted(x for x in heavy if x is not None)
+    bounds = np.unique(np.array([*(edges or []), *own, *(x - 1 for x in own)], np.int64))
+    held = documents.sparkSession.sparkContext.broadcast((bounds, np.array(own, np.int64), np.array([heavy[x] for x in own], np.int64), heavy.get(None, 1)))
+
+    @F.pandas_udf("long")
+    def part(doc_id: pd.Series, tie: pd.Series) -> pd.Series:
+        bounds, own, slices, unnamed = held.value
         known = doc_id.notna().to_numpy()
-        return pd.Series(np.where(known, np.searchsorted(held.value, doc_id.fillna(0).to_numpy(np.int64)), -1).astype(np.int32))
-
-    rows = documents.select(part("doc_id").alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    greatest = keep(rows.groupBy("part").agg(F.max("doc_id").alias("top")), "tops")  # a row per part
-    first = rows.join(F.broadcast(greatest.withColumnRenamed("part", "p")), (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("top")))
-    first = first.groupBy("part").agg(F.max(F.struct(F.xxhash64("text").alias("tie"), "text", "doc_id")).alias("head"))
+        ids = doc_id.fillna(0).to_numpy(np.int64)
+        number = np.where(known, np.searchsorted(bounds, ids), -1)
+        at = np.minimum(np.searchsorted(own, ids), max(len(own) - 1, 0))
+        many = np.where(known, np.where(own[at] == ids, slices[at], 1) if len(own) else 1, unnamed)
+        share = (tie.to_numpy(np.int64).astype(np.float64) + 2.0**63) / 2.0**64  # greater hashes come first, in greater parts
+        return pd.Series(number * SLICES + np.minimum((share * many).astype(np.int64), many - 1))
+
+    tie = F.xxhash64("text")
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(part("doc_id", tie).alias("part"), "doc_id", "text")
+    tops = keep(rows.groupBy("part").agg(F.max(F.struct("doc_id", tie.alias("tie"))).alias("top")), "tops")  # a row per part
     upward = Window.orderBy("part")
     lowest = F.min("part").over(upward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    halo = first.select(F.coalesce(F.lead("part").over(upward), lowest).alias("part"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"))
-    both = rows.withColumn("halo", F.lit(False)).unionByName(keep(halo.withColumn("halo", F.lit(True)), "halo"))
+    to = tops.select(F.col("part").alias("p"), "top", F.coalesce(F.lead("part").over(upward), lowest).alias("to"))
+    first = rows.join(to, (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (tie == F.col("top.tie")))
+    first = first.groupBy("to").agg(F.max(F.struct("text", "doc_id")).alias("head"))
+    halo = keep(first.select(F.col("to").alias("part"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.lit(True).alias("halo")), "halo")
+    both = rows.withColumn("halo", F.lit(False)).unionByName(halo)
     return both.repartition("part").sortWithinPartitions("part", "halo", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), F.col("text").desc())
 
 
-def fingerprint_documents(documents: DataFrame, k: int = K, w: int = W) -> DataFrame:
+def fingerprint_documents(documents: DataFrame, k: int = K, w: int = W, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, positions.
 
     documents needs doc_id and text; other columns are ignored. Null counts as the empty text, of
     which the fingerprint is empty. The next document is the one below in descending order of
     doc_id (null ids last, equal ids by text); after the last comes the first, so a single document
-    follows itself. Repeated rows follow one another. Likeness is that of sets of hashes.
+    follows itself. Repeated rows follow one another. Likeness is that of sets of hashes. A worker
+    holds two texts at a time, a few dozen bytes for each code point; none is cut.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +141,7 @@ def fingerprint_documents(documents: DataFrame, k: int = K, w: int = W) -> DataF
                 yield _rows(out)
 
     small_batches(documents.sparkSession)
-    return with_next_text(documents).select("part", "halo", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>")
+    return with_next_text(documents, part_bytes).select("part", "halo", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>")
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:

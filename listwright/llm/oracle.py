@@ -10,7 +10,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 MIX = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
-    -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / {float(1 << 48)!r})
+    -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '#' || md5(coalesce(text, '')))), 1, 12))::BIGINT::DOUBLE + 0.5) / {float(1 << 48)!r})
       / CASE WHEN n_chars >= 500 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS key
   FROM documents),
 s AS (
