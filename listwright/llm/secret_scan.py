@@ -2,27 +2,31 @@
 
 Features of a candidate: its length, how likely its character transitions are in the corpus,
 its coverage by dictionary words, whether it is part of a path, address or URL, and the words
-beside it. The forest is trained from labelled findings; by default these are made by planting
-secrets and look-alikes into sampled documents, so that neighbours are real.
+beside it. The dictionary is the corpus's most frequent words; what a neighbouring word tells is
+learned from the labelled findings, as the log of its odds beside secrets. By default findings are
+made by planting secrets and look-alikes into sampled documents, so that neighbours are real.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import small_batches
+from .store import keep, small_batches
 from .words import slices
 
-SAMPLE_DOCS, CONTEXT_WORDS = 1500, 40
+SAMPLE_DOCS, CONTEXT_WORDS = 2000, 40
 TREES, DEPTH = 31, 9
 KEEP_SCORE = 0.5
 CLASSES = 28  # a-z, digits, the rest
@@ -30,81 +34,130 @@ CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)"
     r"|(?:(?<=[=:])|[=:])[^\S\r\n]*[\"']?(?!(?i:bearer|basic)[^\S\r\n])(?P<assigned>[A-Za-z0-9_+/=.!@#$%^&*-]{4,})"
     r"|(?<![A-Za-z0-9])(?i:bearer|basic)[^\S\r\n]+[\"']?(?P<bearer>[A-Za-z0-9_+/=.-]{8,})"
-    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,64}[0-9])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{14,}[A-Za-z0-9_+/-]={0,2}",
+    r"|(?<![A-Za-z0-9])(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key)[^\S\r\n]+(?:(?i:is)[^\S\r\n]+)?[\"']?(?P<named>[A-Za-z0-9_+/=.!@#$%^&*-]{6,})"
+    r"|(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{14,}[A-Za-z0-9_+/-]={0,2}",
     re.S,
 )
-#: Words beside a candidate.
-SECRET_WORDS = "token secret password passwd pwd key apikey api_key api-key access_key secret_key client_secret auth authorization bearer credential credentials private aws_secret_access_key".split()
-HARMLESS_WORDS = "example sample test dummy placeholder commit sha sha1 sha256 md5 checksum hash digest uuid id version isbn order invoice phone call tel mail email ip address card date build file path ref".split()
-#: A small dictionary for coverage.
-DICTIONARY = "the and that with from this have not for was are you his but they will would there their what about which when make like time just know people into year your good some could them see other than then now look only come its over think also back after use two how our work first well way even new want because any these give day most test example sample dummy placeholder change changeme password token secret key your here insert value name user admin login mail www com org net http https html index page file path image static version build release commit hash order number data info null none true false default foo bar baz xxx abc content article main text code item list type class time date".split()
-_WORDS = frozenset(DICTIONARY)
+BEFORE, AFTER = 3, 2  # neighbouring words
+LEAST_SEEN = 8  # findings beside which a word must be before it tells anything
+DICTIONARY_WORDS, LEAST_COUNT = 5000, 3
+#: Names of secrets in planted findings.
+SECRET_WORDS = "token secret password passwd pwd key apikey api_key api-key access_key secret_key client_secret auth authorization bearer credential".split()
+#: Words of placeholders, which a corpus need not have.
+PLACEHOLDERS = "placeholder change changeme example sample test dummy your here insert value name user admin login mail www com org net http https html index null none true false default foo bar baz xxx abc password token secret key required".split()
 _CLASS = np.full(256, 27, np.uint8)
 _CLASS[97:123] = np.arange(26)
 _CLASS[65:91] = np.arange(26)
 _CLASS[48:58] = 26
-FEATURES = ("length", "transitions", "coverage", "digits", "upper", "entropy", "symbols", "hex", "path", "address", "assigned", "quoted", "secret_word", "harmless_word", "block")
+FEATURES = ("length", "transitions", "coverage", "digits", "upper", "entropy", "symbols", "hex", "path", "address", "assigned", "quoted", "word_before", "words_before", "words_after", "block")
+_NEAR, _ANY_CASE = re.compile(r"[a-z]+|[0-9]+"), re.compile(r"[A-Za-z]+|[0-9]+")
 
 
-def corpus_transitions(documents: DataFrame) -> np.ndarray:
-    """log2 probabilities of a character class after another, over all texts."""
+@dataclass(frozen=True)
+class Corpus:
+    """What is known before training: transitions between character classes, and frequent words."""
+
+    transitions: np.ndarray
+    words: frozenset[str]
+
+
+def corpus_statistics(documents: DataFrame, most_words: int = DICTIONARY_WORDS) -> Corpus:
+    """log2 probabilities of a character class after another and the most_words most frequent words of
+    3 to 12 letters that are there LEAST_COUNT times, both counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                data = np.frombuffer("\n".join(x or "" for x in part.column("text").to_pylist()).encode(), np.uint8)
+                texts = pc.fill_null(part.column("text"), "")
+                data = np.frombuffer("\n".join(texts.to_pylist()).encode(), np.uint8)
                 c = _CLASS[data].astype(np.int64)
                 total += np.bincount(c[:-1] * CLASSES + c[1:], minlength=CLASSES * CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["pair", "n"])
-
-    got = documents.select("text").mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # 784 rows
+                words = pc.list_flatten(pc.split_pattern_regex(pc.ascii_lower(texts), r"[^a-z0-9_+/=-]+"))
+                found = pc.value_counts(words.filter(pc.match_substring_regex(words, "^[a-z]{3,12}$")))
+                yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["item", "n"])
+        pairs = [str(i) for i in range(len(total))]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total)], names=["item", "n"])
+
+    got = keep(documents.select("text").mapInArrow(count, "item string, n long").groupBy("item").agg(F.sum("n").alias("n")), "statistics")
+    pairs = got.where(F.col("item").rlike("^[0-9]")).toPandas()  # 784 rows
     n = np.ones(CLASSES * CLASSES)
-    n[got["pair"]] += got["n"]
+    n[pairs["item"].astype(int)] += pairs["n"]
     n = n.reshape(CLASSES, CLASSES)
-    return np.log2(n / n.sum(axis=1, keepdims=True))
+    top = got.where(~F.col("item").rlike("^[0-9]") & (F.col("n") >= LEAST_COUNT)).orderBy(F.desc("n"), "item").limit(most_words).collect()
+    return Corpus(np.log2(n / n.sum(axis=1, keepdims=True)), frozenset([r["item"] for r in top] + PLACEHOLDERS))
 
 
-def _coverage(word: str) -> float:
+def _coverage(word: str, words: frozenset[str]) -> float:
     """Share of the characters under dictionary words of three letters or more, longest first."""
     covered = at = 0
     low = word.lower()
     while at < len(low):
-        size = next((k for k in range(min(12, len(low) - at), 2, -1) if low[at : at + k] in _WORDS), 0)
+        size = next((k for k in range(min(12, len(low) - at), 2, -1) if low[at : at + k] in words), 0)
         covered += size
         at += size or 1
     return covered / max(1, len(low))
 
 
-def _features(text: str, start: int, end: int, transitions: np.ndarray) -> list[float]:
+def _neighbours(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    """The BEFORE words before a candidate, nearest last, and the AFTER words after it, however long."""
+    reach, before = 64, []
+    while True:  # most often the first look is enough
+        at = max(0, start - reach)
+        before = list(_NEAR.finditer(text[at:start].lower()))
+        if at == 0 or len(before) > BEFORE:
+            break
+        reach *= 4
+    after = []
+    for word in _ANY_CASE.finditer(text, end):
+        after.append(word[0].lower())
+        if len(after) == AFTER:
+            break
+    return [w[0] for w in before[-BEFORE:]], after
+
+
+def _features(text: str, start: int, end: int, corpus: Corpus, odds: dict[str, float]) -> list[float]:
     own = text[start:end]
     raw = np.frombuffer(own.encode(), np.uint8)
     c = _CLASS[raw]
-    likely = float(transitions[c[:-1], c[1:]].mean()) if len(c) > 1 else 0.0
+    likely = float(corpus.transitions[c[:-1], c[1:]].mean()) if len(c) > 1 else 0.0
     counts = np.unique(raw, return_counts=True)[1] / max(1, len(raw))
-    before = text[max(0, start - 60) : start]
-    near = re.findall(r"[a-z0-9_-]+", (before + " " + text[end : end + 30]).lower())
-    last = re.findall(r"[a-z0-9_-]+", before.lower())[-3:]
+    before, after = _neighbours(text, start, end)
+    line = text[max(text.rfind("\n", 0, start), text.rfind(" ", 0, start)) + 1 : start]  # what is joined to it
+    lead = text[:start].rstrip(" \t\"'")[-1:] if start < 4096 else text[start - 4096 : start].rstrip(" \t\"'")[-1:]
+    told = [odds.get(w, 0.0) for w in before] or [0.0]
     n = max(1, len(own))
     return [
         float(end - start),
         likely,
-        _coverage(own),
+        _coverage(own, corpus.words),
         sum(x.isdigit() for x in own) / n,
         sum(x.isupper() for x in own) / n,
         float(-(counts * np.log2(counts)).sum()),
         sum(not x.isalnum() for x in own) / n,
         float(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", own) is not None),
-        float(own.count("/") + own.count("\\") + (re.search(r"\w/$|://\S*$", before) is not None)),
-        float("@" in before[-1:] or text[end : end + 1] == "@" or "@" in own or re.fullmatch(r"[0-9.-]+", own) is not None),
-        float(re.search(r"[=:]\s*[\"']?$", before) is not None),
-        float(before[-1:] in ("\"", "'") and before[-1:] != ""),
-        float(sum(any(w == s or w.endswith("_" + s) or w.endswith("-" + s) for s in SECRET_WORDS) for w in last)),
-        float(sum(w in HARMLESS_WORDS for w in near)),
+        float(own.count("/") + own.count("\\") + (re.search(r"\w/$|://\S*$", line) is not None)),
+        float(text[start - 1 : start] == "@" or text[end : end + 1] == "@" or "@" in own or re.fullmatch(r"[0-9.-]+", own) is not None),
+        float(lead in ("=", ":") and lead != ""),
+        float(text[start - 1 : start] in ("\"", "'") and start > 0),
+        told[-1],
+        max(told) + min(told),
+        sum(odds.get("> " + w, 0.0) for w in after),
         float(own.startswith("-----BEGIN")),
     ]
 
 
+def neighbour_odds(findings: list[tuple[str, int, int, bool]], least: int = LEAST_SEEN) -> dict[str, float]:
+    """log2 odds of a secret beside each word that least findings or more have; '> ' marks words after."""
+    seen: dict[str, list[int]] = {}
+    for text, a, b, secret in findings:
+        before, after = _neighbours(text, a, b)
+        for word in {*before, *("> " + w for w in after)}:
+            seen.setdefault(word, [0, 0])[secret] += 1
+    total = [max(1, sum(f[3] == bool(k) for f in findings)) for k in (0, 1)]
+    return {w: math.log2((n[1] + 2) / total[1]) - math.log2((n[0] + 2) / total[0]) for w, n in seen.items() if sum(n) >= least}
+
+
 def _random(rng: random.Random, letters: str, n: int) -> str:
     return "".join(rng.choice(letters) for _ in range(n))
 
@@ -120,8 +173,13 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
         return value, value, secret
     if rng.random() < 0.1:  # tokens after their scheme
         secret = rng.random() < 0.6
-        value = _random(rng, rng.choice((letters, letters[:26], alnum)), rng.randint(12, 48)) if secret else rng.choice(("YOUR_TOKEN", "your_token_here", "authentication", *3 * ((re.sub(r"\W", "", neighbour) * 8)[: max(8, len(neighbour))] or "neighbour",)))
+        value = _random(rng, rng.choice((letters, letters[:26], alnum)), rng.randint(12, 110)) if secret else rng.choice(("YOUR_TOKEN", "your_token_here", "authentication", *3 * ((re.sub(r"\W", "", neighbour) * 8)[: max(8, len(neighbour))] or "neighbour",)))
         return rng.choice(("the bearer {v}", "a bearer {v}", "Bearer {v}") if not secret and rng.random() < 0.7 else ("Authorization: Bearer {v}", "Bearer {v}", "authorization: bearer {v}", "Authorization: Basic {v}")).format(v=value), value, secret
+    if rng.random() < 0.12:  # named in prose, without a sign
+        secret, name = rng.random() < 0.5, rng.choice(("password", "secret", "token", "api key", "Password", "passphrase"))
+        word = re.sub(r"\W", "", neighbour) or "neighbour"
+        value = rng.choice((_random(rng, alnum, rng.randint(8, 24)), word + str(rng.randint(10, 9999)) + rng.choice(("", "secret", word[:4])), _random(rng, letters[:26], rng.randint(50, 90)) + _random(rng, alnum, 8))) if secret else rng.choice((word, "manager", "policy", "protected", "garden", "required", "economy"))
+        return rng.choice(("{n} {v}", "{n} is {v}", '{n} "{v}"') if secret else ("{n} {v}", "{n} is {v}")).format(n=name, v=value), value, secret
     if rng.random() < 0.5:
         value = rng.choice(
             [
@@ -138,7 +196,7 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
                 lambda: _random(rng, letters, rng.randint(10, 24)),
             ]
         )()
-        name = rng.choice(SECRET_WORDS[:16])
+        name = rng.choice(SECRET_WORDS)
         form = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n}:  {v}", "{n} =   {v}", "{n} = '{v}'", 'NAME_{n}="{v}"', '"{n}": "{v}"'])
         name = name.upper() if rng.random() < 0.3 else name
         return form.format(n=name, v=value), value, True
@@ -155,7 +213,7 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
         lambda: f"20{rng.randint(10, 30)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}Z".replace(":", "-"),
         lambda: rng.choice(("YOUR_TOKEN_HERE", "your_api_key_here", "changeme_changeme1", "example_token_value", "<insert_token_here>", "xxxxxxxxxxxxxxxx1111")),
         lambda: f"www.{word}.example.com/{word}{rng.randint(1, 999)}",
-        lambda: (word * 12)[:18] + str(rng.randint(1, 99)),
+        lambda: (word * 12)[:18] + str(rng.randint(1, 99)) * rng.randint(0, 1),
         lambda: (word * 4)[: max(4, len(word))],
         lambda: _random(rng, digits, rng.randint(4, 9)),
         lambda: rng.choice(("none", "null", "true", "required", "example", "changeme", "password", "your_password", "xxxx", "test")),
@@ -233,18 +291,28 @@ class Forest:
         return total / len(self.trees) if self.trees else 1.0
 
 
-def train(documents: DataFrame, labelled: list[tuple[str, int, int, bool]] | None = None) -> tuple[np.ndarray, Forest]:
-    """(transitions over all texts, forest from labelled findings)."""
-    transitions = corpus_transitions(documents)
+@dataclass(frozen=True)
+class Scanner:
+    corpus: Corpus
+    odds: dict[str, float]
+    forest: Forest
+
+
+def train(documents: DataFrame, labelled: list[tuple[str, int, int, bool]] | None = None) -> Scanner:
+    """Statistics over all texts, then odds of neighbours and a forest from labelled findings."""
+    corpus = corpus_statistics(documents)
     findings = labelled_findings(documents) if labelled is None else labelled
-    x = np.array([_features(text, a, b, transitions) for text, a, b, _ in findings]).reshape(-1, len(FEATURES))
-    return transitions, Forest(x, np.array([float(f[3]) for f in findings]))
+    # Odds and forest learn from different findings, or chance neighbours would tell the forest the labels.
+    half = len(findings) // 2
+    odds, rest = neighbour_odds(findings[:half]), findings[half:]
+    x = np.array([_features(text, a, b, corpus, odds) for text, a, b, _ in rest]).reshape(-1, len(FEATURES))
+    return Scanner(corpus, odds, Forest(x, np.array([float(f[3]) for f in rest])))
 
 
-def find_secrets(text: str, transitions: np.ndarray, forest: Forest, keep_score: float = KEEP_SCORE) -> tuple[int, list[tuple[int, int, float]]]:
+def find_secrets(text: str, scanner: Scanner, keep_score: float = KEEP_SCORE) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of candidates, and (start, end, score) of those that are secrets."""
     found = [m.span(m.lastgroup or 0) for m in CANDIDATE.finditer(text)]
-    scored = [(a, b, forest.score(_features(text, a, b, transitions))) for a, b in found]
+    scored = [(a, b, scanner.forest.score(_features(text, a, b, scanner.corpus, scanner.odds))) for a, b in found]
     return len(found), [s for s in scored if s[2] >= keep_score]
 
 
@@ -253,7 +321,8 @@ def scan_secrets(documents: DataFrame, labelled: list[tuple[str, int, int, bool]
 
     documents needs doc_id and text; clashing result columns are replaced. Offsets are code
     points. redacted is the whole text with each secret replaced by mask. Null texts have no
-    candidates and stay null; empty texts stay empty; repeated rows are scanned alike.
+    candidates and stay null; empty texts stay empty; repeated rows are scanned alike. A worker
+    holds one text of any length and its masked copy; candidates of any length are judged whole.
     """
     small_batches(documents.sparkSession)
     rows = documents.drop("n_candidates", "secrets", "redacted")
@@ -261,11 +330,11 @@ def scan_secrets(documents: DataFrame, labelled: list[tuple[str, int, int, bool]
 
     @F.pandas_udf("struct<n_candidates long, secrets array<struct<start: int, end: int, score: double>>, redacted string>")
     def scan(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        transitions, forest = held.value
+        scanner = held.value
         for texts in column:
             out = []
             for text in texts:
-                n, secrets = find_secrets(text or "", transitions, forest)
+                n, secrets = find_secrets(text or "", scanner)
                 clean, at = [], 0
                 for a, b, _ in secrets:
                     clean += [text[at:a], mask]
