@@ -5,8 +5,9 @@ texts and then frozen. A text's code length under a language is the sum over its
 -log2 p: the longest context that the tree knows predicts the byte (method C: count /
 (count of the context + its distinct bytes)), or is left by an escape to the next shorter one,
 in which the bytes of the longer one are excluded; below order 0 all bytes are alike. The
-language with the shortest code wins. Code lengths are tabulated for all contexts once, so
-scoring is a gather and a sum over each whole text.
+language with the shortest code wins. Trees are sparse: sorted arrays of the contexts and the
+(context, byte) pairs that were met. Each distinct run of ORDER + 1 bytes of a slice of texts is
+coded once for each language and counts as often as it is there.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 from .store import small_batches
 from .words import slices
 
-ORDER = 2
-PER_LANG = 800
+ORDER = 4
+PER_LANG, LANG_BYTES = 800, 8 << 20  # rows and bytes of a language that training takes, about
+MOST_BYTES = 256 << 20  # of a model that is sent to the executors; a larger one loses its longest contexts
+SLICE = 1 << 20  # bytes of text whose distinct runs are coded at once
 START = 10  # the byte that stands before a text
 
 
@@ -61,15 +64,73 @@ def _contexts(symbols: np.ndarray, offsets: np.ndarray, start: int, base: int, o
     return out
 
 
+@dataclass(frozen=True)
+class Tree:
+    """One language. By context length k: sorted pairs (k + 1 bytes) with their counts; sorted contexts
+    with their total, distinct bytes, and the count in the next shorter context of those bytes."""
+
+    pairs: list[np.ndarray]
+    counts: list[np.ndarray]
+    contexts: list[np.ndarray]
+    totals: list[np.ndarray]
+    distinct: list[np.ndarray]
+    shadowed: list[np.ndarray]
+
+    @staticmethod
+    def of(grams: np.ndarray, n: np.ndarray, order: int) -> Tree:
+        pairs, counts, contexts, totals, distinct, shadowed = [], [], [], [], [], []
+        for k in range(order + 1):
+            pair, at = np.unique(grams % 256 ** (k + 1), return_inverse=True)
+            count = np.bincount(at, weights=n, minlength=len(pair)).astype(np.int64)
+            context, at = np.unique(pair // 256, return_inverse=True)
+            pairs.append(pair)
+            counts.append(count)
+            contexts.append(context)
+            totals.append(np.bincount(at, weights=count, minlength=len(context)))
+            distinct.append(np.bincount(at, minlength=len(context)))
+            below = counts[k - 1][np.searchsorted(pairs[k - 1], pair % 256**k)] if k else np.zeros(len(pair))
+            shadowed.append(np.bincount(at, weights=below, minlength=len(context)))
+        return Tree(pairs, counts, contexts, totals, distinct, shadowed)
+
+    def bits(self, grams: np.ndarray, base: int) -> np.ndarray:
+        """Code length of the last byte of each gram after the bytes before it."""
+        cost = np.zeros(len(grams))
+        left = np.arange(len(grams))  # not coded yet
+        gone_n, gone_q = np.zeros(len(grams)), np.zeros(len(grams), np.int64)  # counts and number of excluded bytes
+        for k in range(len(self.pairs) - 1, -1, -1):
+            if not len(left) or not len(self.pairs[k]):
+                continue
+            own = grams[left] % 256 ** (k + 1)
+            at = np.minimum(np.searchsorted(self.contexts[k], own // 256), len(self.contexts[k]) - 1)
+            known = self.contexts[k][at] == own // 256
+            i, at, own = left[known], at[known], own[known]
+            n, q = self.totals[k][at] - gone_n[i], self.distinct[k][at] - gone_q[i]
+            escape = np.where(gone_q[i] + q < base, q, 0)  # nothing is left to escape to if all bytes were met
+            place = np.minimum(np.searchsorted(self.pairs[k], own), len(self.pairs[k]) - 1)
+            met = self.pairs[k][place] == own
+            weight = np.where(met, self.counts[k][place], escape)
+            new = q > 0
+            cost[i[new]] += np.log2((n + escape)[new] / np.maximum(weight[new], 1))
+            gone_n[i], gone_q[i] = self.shadowed[k][at], self.distinct[k][at]
+            coded = np.zeros(len(grams), bool)
+            coded[i[met]] = True
+            left = left[~coded[left]]
+        cost[left] += np.log2(np.maximum(base - gone_q[left], 1))
+        return cost
+
+    def size(self) -> int:
+        return sum(x.nbytes for part in (self.pairs, self.counts, self.contexts, self.totals, self.distinct, self.shadowed) for x in part)
+
+
 @dataclass(frozen=True)
 class Model:
-    """cost[context, language]: bits of a byte after its context, ORDER bytes before it."""
+    """Trees by language; symbol maps a byte to itself, or to one byte for all that were not met."""
 
     langs: list[str]
-    symbol: np.ndarray  # of each byte
+    symbol: np.ndarray
     base: int
     order: int
-    cost: np.ndarray
+    trees: list[Tree]
 
     def bits(self, column: pa.Array) -> np.ndarray:
         """Code length of each text under each language."""
@@ -77,43 +138,27 @@ class Model:
         out = np.zeros((len(offsets) - 1, len(self.langs)))
         full = np.flatnonzero(np.diff(offsets))
         if len(full):
-            at = _contexts(self.symbol[data], offsets, int(self.symbol[START]), self.base, self.order)
-            out[full] = np.add.reduceat(self.cost[at], offsets[:-1][full], axis=0, dtype=np.float64)
+            grams, at = np.unique(_contexts(self.symbol[data], offsets, START, 256, self.order), return_inverse=True)
+            for i, tree in enumerate(self.trees):
+                out[full, i] = np.add.reduceat(tree.bits(grams, self.base)[at], offsets[:-1][full])
         return out
 
 
-def _tabulate(counts: np.ndarray) -> np.ndarray:
-    """Bits of every symbol in every context from counts[c_order, .., c_1, symbol]."""
-    base, order = counts.shape[-1], counts.ndim - 1
-    seen = np.zeros(counts.shape, bool)  # in a longer context
-    cost = np.zeros(counts.shape, np.float32)
-    escaped = np.zeros((*counts.shape[:-1], 1), np.float32)
-    for k in range(order, -1, -1):
-        own = counts.sum(axis=tuple(range(order - k))) if k < order else counts
-        own = np.where(seen, 0, np.broadcast_to(own, counts.shape))
-        n, q = own.sum(-1, keepdims=True), (own > 0).sum(-1, keepdims=True)
-        more = (q + seen.sum(-1, keepdims=True) < base) & (q > 0)  # something is left to escape to
-        total = np.where(q > 0, n + np.where(more, q, 0), 1)
-        with np.errstate(divide="ignore"):
-            cost = np.where(own > 0, escaped - np.log2(np.maximum(own, 1) / total), cost).astype(np.float32)
-            escaped = (escaped - np.where(more, np.log2(np.maximum(q, 1) / total), 0)).astype(np.float32)
-        seen |= own > 0
-    left = np.maximum((~seen).sum(-1, keepdims=True), 1)
-    return np.where(seen, cost, escaped + np.log2(left)).astype(np.float32).reshape(-1)
-
-
-def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG) -> Model:
+def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES, most_bytes: int = MOST_BYTES) -> Model:
     """A model from labelled documents outside the held-out part.
 
-    About per_lang rows of each language, chosen by a hash of doc_id, are counted (all, if there
-    are fewer): the bound of the training sample. Counting is distributed; what comes to the
-    driver are counts of distinct contexts, at most base ** (order + 1) for each language.
+    About per_lang rows of each language and at most about lang_bytes of text, chosen by a hash of
+    doc_id and text, are counted, equal texts once (all, if there are fewer): the bound of the
+    training sample. Counting is distributed; what comes to the driver are counts of distinct runs
+    of order + 1 bytes, no more than the sample has. A model of over most_bytes loses its longest
+    contexts.
     """
     small_batches(documents.sparkSession)
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    share = labelled.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
+    bytes_ = F.greatest(F.sum(F.octet_length("text")), F.lit(1))
+    share = labelled.groupBy("lang").agg(F.least(F.lit(float(per_lang)) / F.count("*"), F.lit(float(lang_bytes)) / bytes_).alias("share"))
     chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(share), "lang")  # one row per language
-    chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
+    chosen = chosen.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,19 +171,21 @@ def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG) ->
 
     grams = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(grams["lang"].unique())
-    gram = grams["gram"].to_numpy(np.int64)
-    parts = [(gram >> (8 * j)) & 255 for j in range(order, -1, -1)]
-    used = sorted({START, *np.unique(np.concatenate(parts)).tolist()})
-    symbol = np.full(256, len(used), np.int64)  # all bytes that were not met share one symbol
-    symbol[used] = np.arange(len(used))
-    base = len(used) + 1
-    cost = np.zeros((base ** (order + 1), len(langs)), np.float32)
-    for i, lang in enumerate(langs):
-        own = (grams["lang"] == lang).to_numpy()
-        counts = np.zeros((base,) * (order + 1), np.int64)
-        counts[tuple(symbol[p[own]] for p in parts)] = grams["n"].to_numpy()[own]
-        cost[:, i] = _tabulate(counts)
-    return Model(langs, symbol, base, order, cost)
+    gram, n = grams["gram"].to_numpy(np.int64), grams["n"].to_numpy()
+    used = np.zeros(256, bool)
+    used[START] = True
+    for back in range(order + 1):
+        used[(gram >> (8 * back)) & 255] = True
+    symbol = np.arange(256)
+    if not used.all():
+        symbol[~used] = np.flatnonzero(~used)[0]
+    base = int(used.sum()) + 1
+    rows = [(grams["lang"] == lang).to_numpy() for lang in langs]
+    while True:
+        trees = [Tree.of(gram[own] % 256 ** (order + 1), n[own], order) for own in rows]
+        if order == 1 or sum(t.size() for t in trees) <= most_bytes:
+            return Model(langs, symbol, base, order, trees)
+        order -= 1
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
@@ -147,7 +194,8 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     documents needs text; clashing lang_pred or score columns are replaced. score is the
     language's share of the probability that all languages give the text. Null texts, texts
     without a letter, and all texts if no language was learned, are 'und' with score 0. Equal
-    code lengths go to the language first in code-point order. Repeated rows are scored alike.
+    code lengths go to the language first in code-point order. Repeated rows are scored alike. A
+    slice of texts, or one text of any length, takes about 50 times its bytes in a worker.
     """
     small_batches(documents.sparkSession)
     rows = documents.drop("lang_pred", "score")
@@ -159,7 +207,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         for texts in column:
             batch = pa.RecordBatch.from_arrays([texts], names=["text"])
             langs, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 bits = own.bits(part.column("text"))
                 langs.append(bits.argmin(axis=1))
                 scores.append(1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1))

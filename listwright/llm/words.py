@@ -39,10 +39,10 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about size bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes) // size
     edges = np.flatnonzero(np.diff(part, prepend=-1))
     for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
         yield batch.slice(a, b - a)
