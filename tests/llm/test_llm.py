@@ -148,6 +148,19 @@ def test_mixing(spark):
     assert share(900) > share(100)
 
 
+def test_mixing_splits_the_cut_bin_again(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randint(1, 60)), "en", f"s{i % 2}", 1) for i in range(600)] + [(None, prose(rng, 9), "en", "s1", 1) for _ in range(200)] + [(7, prose(rng, 9), "en", "s1", 1) for _ in range(200)]
+    df = spark.createDataFrame(rows, DOCS)
+    mix = lambda: sorted((r.doc_id or -1, r.text, r.taken) for r in mixing.mix_sources(df, [3.0, 1.0]).collect())
+    whole = mix()
+    monkeypatch.setattr(mixing, "CUT_ROWS", 0)
+    split = mix()
+    assert [x[:2] for x in whole] == [x[:2] for x in split] and sum(x[2] for x in whole) == sum(x[2] for x in split)
+    assert sum(a != b for a, b in zip(whole, split, strict=True)) <= 400  # only rows with one key can change places
+    assert [x for x in whole if x[0] not in (-1, 7)] == [x for x in split if x[0] not in (-1, 7)]
+
+
 def test_mixing_odd_rows(spark):
     got = mixing.mix_sources(odd(spark), [3.0, 1.0, 2.0])
     assert got.count() == 8 and [r.taken for r in got.where("text is null or trim(text) = ''").collect()][:2] == [0, 0]
@@ -282,6 +295,36 @@ def test_secrets_in_forms_that_are_not_planted(spark):
         assert not secret or value in [f"a {passage} b"[a:b] for a, b in spans]
 
 
+def test_secrets_by_another_generator(spark):
+    """Hand-written passages around values that the training's generator does not make."""
+    rng = random.Random(77)
+    letters, mixed = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    some = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    secret_forms = [
+        lambda v: f"set DB_PASSWORD={v} before the start", lambda v: f"curl -H 'Authorization: Bearer {v}' host", lambda v: f'my_token: "{v}"', lambda v: f"the password is {v} for now", lambda v: f'"client_secret" : "{v}",',
+        lambda v: f"export API_KEY='{v}'", lambda v: f"login with password {v} please", lambda v: f"--token {v}", lambda v: f"secret = {v}",
+    ]
+    values = [lambda: some(mixed, 20), lambda: some(mixed, 40), lambda: some(letters, 4) + some("0123456789", 4) + "secret", lambda: some(mixed, 12) + "-" + some(mixed, 12), lambda: some(mixed, 64)]
+    clean = ["the password manager is here", "a secret garden of the town", "see docs/guide/chapter-12/index.html for it", "written 2024-05-06T10:11:12Z by us", "mail to anna.smith@mail.example.org today", "commit 3f2a9c8b7d6e5f4a3b2c1d0e9f8a7b6c5d4e3f2a", "password: required", "token economy of the street", "build: 20240506", "note: something else", "Donaudampfschifffahrtsgesellschaft", "isbn: 978-3-16-148410-0"]
+    texts = [f"{prose(rng, 25)} {rng.choice(secret_forms)(v)} {prose(rng, 10)}" for v in (rng.choice(values)() for _ in range(150))]
+    planted_values = len(texts)
+    texts += [f"{prose(rng, 25)} {x} {prose(rng, 10)}" for x in clean * 10]
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = frame(spark, texts).unionByName(real.withColumn("doc_id", F.col("doc_id") + 10000))
+    found = {r.doc_id: len(r.secrets) for r in secret_scan.scan_secrets(docs).where(f"doc_id < {len(texts)}").collect()}
+    hit, wrong = sum(found[i] > 0 for i in range(planted_values)), sum(found[i] > 0 for i in range(planted_values, len(texts)))
+    print("recall", hit / planted_values, "precision", hit / max(1, hit + wrong))
+    assert hit >= 0.9 * planted_values and hit >= 0.9 * (hit + wrong)
+
+
+def test_secret_candidates_of_any_length():
+    long = "qwertzuiop" * 11
+    for text, value in ((f"Bearer {long[:52]}", long[:52]), (f"Bearer {long[:104]}1", long[:104] + "1"), (f'token "{long[:70]}1b2c3d4e"', long[:70] + "1b2c3d4e"), ("password hunter2secret", "hunter2secret"), (f"x {long} y", long)):
+        assert value in [text[slice(*m.span(m.lastgroup or 0))] for m in secret_scan.CANDIDATE.finditer(text)]
+    word = "a" * 500
+    assert secret_scan._neighbours(f"first {word} = 'value' {word.upper()} last", 510, 515) == (["first", word], [word, "last"])
+
+
 def brute_ppm(texts, order, alphabet):
     """Counts by context, and bits of a byte string by the definition."""
     counts = collections.defaultdict(collections.Counter)
@@ -321,7 +364,8 @@ def test_ppm_code_lengths(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts * 3) if i not in ()], DOCS)
     used = [r.text for r in df.where(~lang_id.is_held_out(F.col("doc_id"))).collect()]
     model = lang_id.learn(df)
-    bits = brute_ppm(used, 2, model.base)
+    bits = brute_ppm(sorted(set(used)), 4, model.base)
+    assert lang_id.learn(df, most_bytes=1).order == 1
     for probe in ("the land", "zq!", "a", "Ünd"):
         assert abs(model.bits(pa.array([probe]))[0, 0] - bits(probe)) < 1e-3 * (1 + bits(probe))
 
@@ -383,6 +427,22 @@ def test_repeats_of_a_hot_passage_are_settled_by_window(spark, monkeypatch):
     assert dealt == {"hashes", "tkey"}  # not by anchor, which is one for all documents with a passage
 
 
+def test_repeats_come_from_the_automaton(spark):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    hot = prose(rng, 60)
+    texts = pa.table({"id": [1, 2], "tkey": [1, 2], "tcheck": [1, 2], "text": [f"{hot} one", f"two {hot}"]})
+    none = pa.table({"phrase": pa.array([], pa.string())})
+    assert passages._locate(texts, none, 50, 8).num_rows == 0
+    spelled = next(passages._spell(iter([pa.record_batch({"shard": [0, 0], "text": texts["text"].combine_chunks(), "anchors": pa.array([[], []], pa.list_(pa.int64()))})]), 50, 8))
+    assert spelled.num_rows == 0
+    words = f" {hot} ".split(" ")[1:-1]
+    every = pa.table({"phrase": [" " + " ".join(words[i : i + 8]) + " " for i in range(53)]})
+    got = passages._locate(texts, every, 50, 8).to_pylist()
+    assert len(got[1]["settled"]) == 11 and len(passages._locate(texts, every.slice(0, 1), 50, 8).to_pylist()) < 2
+
+
 def test_repeats_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in passages.remove_repeats(odd(spark)).collect())
     assert got == [(-1, 2, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, 0), (4, 2, 0), (6, 30000, 0), (7, 3, 0)]
@@ -418,12 +478,16 @@ def test_fingerprint_rows(spark):
     rng = random.Random(6)
     texts = [prose(rng, rng.randint(0, 80)) for _ in range(50)]
     df = frame(spark, texts).withColumn("doc_id", F.col("doc_id") * 7)
-    for rows_each in (2000, 6):
-        old = fingerprints.ROWS_EACH
-        fingerprints.with_next_text.__defaults__ = (rows_each,)
-        got = {r.doc_id // 7: r for r in fingerprints.fingerprint_documents(df).collect()}
-        fingerprints.with_next_text.__defaults__ = (old,)
+    like = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    kinds = lambda t: {h for h, _ in brute_winnow(t)}
+    for part_bytes in (fingerprints.PART_BYTES, 700):
+        got = {r.doc_id // 7: r for r in fingerprints.fingerprint_documents(df, part_bytes=part_bytes).collect()}
         assert len(got) == 50
+        for i, t in enumerate(texts):
+            following, n = texts[i - 1], len(t) // 3
+            changed = t[: len(t) - n] + following[:n]
+            assert got[i].fingerprint == "".join(f"{h:08x}" for h, _ in brute_winnow(t)) and got[i].edited_fingerprint == "".join(f"{h:08x}" for h, _ in brute_winnow(changed))
+            assert math.isclose(got[i].near_edited, like(kinds(t), kinds(changed))) and math.isclose(got[i].near_next, like(kinds(t), kinds(following)))
         for i, t in enumerate(texts):
             changed = fingerprints.edited(t, texts[i - 1])
             assert got[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest() and got[i].n_chars == len(t)
@@ -434,6 +498,19 @@ def test_fingerprint_rows(spark):
     assert [(r.near_edited, r.near_next) for r in fingerprints.fingerprint_documents(frame(spark, ["only one text here"])).collect()][0][1] == 1.0
 
 
+def test_fingerprints_of_many_rows_with_one_id(spark):
+    rng = random.Random(7)
+    rows = [(i, prose(rng, 40)) for i in range(20)] + [(10, prose(rng, 40)) for _ in range(60)] + [(None, prose(rng, 40)) for _ in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = fingerprints.with_next_text(df, 1500)
+    assert parts.where("not halo").groupBy("part").count().agg(F.max("count")).first()[0] <= 25
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.edited_sha256) for r in fingerprints.fingerprint_documents(df, part_bytes=1500).collect())
+    keys = {r.text: r.k for r in df.select("text", F.xxhash64("text").alias("k")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -keys[r[1]]))
+    want = [(i is None, i or 0, hashlib.sha256((t[: len(t) - len(t) // 3] + ordered[(j + 1) % len(ordered)][1][: len(t) // 3]).encode()).hexdigest()) for j, (i, t) in enumerate(ordered)]
+    assert got == sorted(want)
+
+
 def test_token_counts(spark):
     rng = random.Random(8)
     texts = [prose(rng, rng.randint(0, 30)) for _ in range(60)] + ["", None, "<|endoftext|> x"]
@@ -524,3 +601,44 @@ def test_contamination(spark):
     assert decontam.find_contamination(odd(spark), bench).count() == 8
     assert decontam.find_contamination(odd(spark), bench.limit(0)).where("contaminated").count() == 0
     assert decontam.find_contamination(odd(spark).limit(0), bench).count() == 0
+
+
+def test_a_dense_group_under_the_threshold_stays_linear(spark, monkeypatch):
+    rng = random.Random(21)
+    frame_, sizes = prose(rng, 250, 10**6).split(), {}
+    texts = []
+    for _ in range(300):  # templates: any two are alike by about 0.7
+        texts.append(" ".join([*frame_, *prose(rng, 50, 10**6).split()]))
+    texts += [t + " and more" for t in texts[:20]]  # links that only the second meeting can find
+
+    def kept(df, name, keep=near_dup.keep):
+        out = keep(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "keep", kept)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(frame(spark, texts), 4).collect()}
+    assert got == dict(enumerate(brute_components(texts)))
+    assert sizes["across"][0] <= 2 * len(texts) and sizes["likely"][0] <= len(texts)
+
+
+def test_near_duplicates_recall_at_the_threshold(spark):
+    rng, texts = random.Random(22), []
+    for i in range(300):
+        w = prose(rng, 120, 10**6).split()
+        texts.append(" ".join(w))
+        n = rng.randint(2, 4)
+        for j in range(n):
+            w[(j + 1) * 120 // (n + 1)] = f"z{i}x{j}"
+        texts.append(" ".join(w))
+    want = brute_components(texts)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(spark, texts), 4).collect()}
+    linked = [i for i, (_, c) in enumerate(want) if c != i]
+    assert len(linked) > 100 and sum(got[i] == want[i][1] for i in linked) >= 0.99 * len(linked)
+    assert all(got[i] == i for i, (_, c) in enumerate(want) if c == i)
+
+
+def test_sets_with_one_node_are_kept_apart(spark):
+    rows = spark.createDataFrame([(1, 5, 7), (2, 5, 8), (3, 6, 9), (4, 6, 9)], "doc_id long, node long, check long")
+    got = {r.doc_id: r.node for r in near_dup._apart(rows).collect()}
+    assert got[1] != got[2] and got[3] == got[4] == 6
