@@ -3,15 +3,16 @@
 Documents are sets of k-word shingles. Each distinct set is a node. A node's signature has
 COORDS minima; it is posted under its PREFIX rarest coordinate-value pairs only (two nodes with
 MATCHES equal coordinates share SHARED of them), so values that very many documents have are
-skipped. Colliding nodes whose signatures agree on MATCHES
+skipped; they are merged afterwards, for pairs that collide. Pairs that agree on MATCHES
 coordinates are confirmed on their full sets.
 
 Groups are never expanded into all pairs: every member of a posting list is first compared
 with the list's head, the node whose values are most common and which thus is in the middle of
 its group; components come from those links. Nodes of lists that still hold several
-components are then posted again, now under exact coordinates: the rarest of their shingles, as
-many as nodes over the threshold must share one of, with the place of each, and joined across
-components where the places still allow the threshold. Those pairs are confirmed likewise.
+components meet a second time, under exact coordinates: the rarest of their shingles, as many as
+nodes over the threshold must share one of, with the place of each. They are joined across
+components under the first shingle they share, where its places still allow the threshold, and
+confirmed likewise.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .store import drop_kept, keep, small_batches
 from .words import Words, grams, mix, slices, within_rows
 
-COORDS, MATCHES = 128, 82  # at similarity 0.8 a pair agrees on fewer than 82 with probability 5e-6
-SHARED = 8  # of a pair's equal coordinates, so many are in both prefixes
+COORDS, MATCHES = 96, 59  # at similarity 0.8 a pair agrees on fewer than 59 with probability 8e-6
+SHARED = 6  # of a pair's equal coordinates, so many are in both prefixes
 PREFIX = COORDS - MATCHES + SHARED
 SLOTS = 1 << 16
 FIRST = 16
@@ -181,19 +182,39 @@ def _sets_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame, k: int)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets are over the threshold."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+    """Of pairs (a, b), those whose full sets are over the threshold.
+
+    Sets travel as 31 bits of each shingle first, with as many shared ones allowed for as can have
+    become equal by that; the pairs that are left are compared on all bits.
+    """
+
+    def over(pairs: DataFrame, sets: DataFrame, slack: Column) -> DataFrame:
+        sets = sets.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi")
+        side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"), F.col("n").alias(f"n_{x}"))
+        both = F.size(F.array_intersect("set_a", "set_b")) + slack
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
+
+    n = F.size("shingles").cast("long").alias("n")
+    short = sets.select("node", n, F.expr("transform(shingles, x -> int(x & 2147483647))").alias("shingles"))
+    wide = F.greatest("n_a", "n_b").cast("double")
+    near = keep(over(pairs, short, 2 + F.ceil(wide * wide / float(1 << 29))), "near-sets")
+    return over(near, sets.select("node", n, "shingles"), F.lit(0))
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those that agree on MATCHES coordinates and then on full sets."""
+    """Of pairs (head, node), those that agree on MATCHES coordinates and then on full sets.
+
+    The coordinates that the postings skip are merged here, for colliding pairs alone.
+    """
     of = lambda x: classes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"))
     same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    likely = keep(pairs.join(of("a"), "a").join(of("b"), "b").where(same >= MATCHES).select("a", "b"), "likely")
+    agreed = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", same.alias("same")).where(f"same >= {MATCHES}")
+    likely = keep(agreed.select("a", "b"), "likely")
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    return _alike(likely, keep(_sets_of(nodes, classes, documents, k), "sets"), percent)
+    sets = keep(_sets_of(nodes, classes, documents, k), "sets")
+    links = keep(_alike(likely, sets, percent), "links")
+    drop_kept(likely, sets)
+    return links
 
 
 def _across(lists: DataFrame, roots: DataFrame, classes: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
@@ -203,20 +224,24 @@ def _across(lists: DataFrame, roots: DataFrame, classes: DataFrame, documents: D
     rest = open_lists.join(several, "token").groupBy("node", "root").count().where(f"count >= {SHARED}")
     rest = keep(rest.select("node", "root"), "rest")
     sets = keep(_sets_of(rest.select("node"), classes, documents, k).join(rest, "node"), "sets")
-    posts = keep(_shingle_postings(sets, percent), "posts")
-    mixed = posts.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("shingle")
-    posts = keep(posts.join(mixed, "shingle"), "posts")
-    # Each node's first FIRST postings: two nodes meet under the first that they share, not under all.
-    firsts = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "shingle"))), 1, FIRST)["shingle"].alias("first"))
-    posts = keep(posts.join(firsts, "node"), "posts")
+    every = keep(_shingle_postings(sets, percent), "posts")
+    mixed = every.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("shingle")
+    some = keep(every.join(mixed, "shingle"), "posts")
+    drop_kept(every, rest)
+    # With each posting its node's FIRST shared shingles: two nodes meet under the first common one, not under all.
+    firsts = some.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "shingle"))), 1, FIRST)["shingle"].alias("first"))
+    firsts = firsts.select("node", F.transform("first", lambda x: F.hash(x)).alias("first"))  # 32 bits tell FIRST values apart
+    posts = keep(some.join(firsts, "node"), "posts")
     x, y = posts.alias("x"), posts.alias("y")
     need = F.expr(f"{percent} * (x.n + y.n)")
     reach = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # overlap, if this shingle is the first shared
     shared = F.array_intersect("x.first", "y.first")
-    here = (F.size(shared) == 0) | (F.col("x.shingle") == F.get(shared, 0))
+    here = (F.size(shared) == 0) | (F.hash("x.shingle") == F.get(shared, 0))
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (reach * (100 + percent) >= need) & here)
     pairs = keep(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "across")
-    return keep(_alike(pairs, sets.select("node", "shingles"), percent), "links")
+    links = keep(_alike(pairs, sets.select("node", "shingles"), percent), "links")
+    drop_kept(some, posts, pairs, sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -243,6 +268,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node").union(edges.select("v", F.col("v").alias("root")).distinct())
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """rows with another node where sets with different check values have one; as good as none, even in 1e10 sets."""
+    narrow = rows.select("node", "check")
+    twice = keep(narrow.groupBy("node").agg(F.min("check").alias("c"), F.max("check").alias("d")).where("c < d").select("node"), "clashes")
+    if twice.isEmpty():
+        return rows
+    return rows.join(twice.withColumn("_twice", F.lit(True)), "node", "left").withColumn("node", F.when(F.col("_twice"), F.xxhash64("node", "check")).otherwise(F.col("node"))).drop("_twice")
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, text_key, component_id, kept.
 
@@ -255,14 +289,16 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     """
     small_batches(documents.sparkSession)
     rows = keep(documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(lambda batches: _sign(batches, k), "doc_id long, text_key long, n long, node long, check long, sig array<int>"), "signed")
+    rows = _apart(rows)
     classes = keep(rows.where("n > 0").groupBy("node", "check", "n").agg(F.min("doc_id").alias("pick"), F.min("text_key").alias("lead"), F.first("sig").alias("sig")), "classes")
     postings = _postings(classes)
     heads = postings.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("head"), F.count("*").alias("nodes")).where("nodes > 1").select("token", "head")
     lists = keep(postings.join(heads, "token").select("token", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "lists")
     stars = lists.where((F.col("node") != F.col("head")) & _close("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = keep(_confirm(stars, classes, documents, k, percent), "links")
+    links = _confirm(stars, classes, documents, k, percent)
     roots = keep(components(links), "roots")
     more = _across(lists, roots, classes, documents, k, percent)
+    drop_kept(lists)
     if not more.isEmpty():
         roots = components(links.union(more))
     named = classes.select("node", "check", "n", "pick", "lead").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
