@@ -177,8 +177,18 @@ def test_urls(spark):
     assert [(r.rule, r.verdict) for r in got] == [c[1:] for c in cases]
     assert (got[3].host, got[3].path, got[8].host, got[8].path) == ("x.example.net", "/de/81", "", "")
     assert url_filter.judge_urls(df.limit(0)).count() == 0
-    by_join = url_filter.judge_urls(df, max_bytes=0).orderBy("page_id").collect()
-    assert [r.verdict for r in by_join] == [r.verdict for r in got]
+    long = df.unionByName(df).unionByName(spark.createDataFrame([(99, "https://a.net/de/" + "x" * 2_000_000, None)], df.schema))
+    rows = url_filter.judge_urls(long).collect()
+    assert sorted((r.page_id, r.verdict) for r in rows if r.page_id < 99) == sorted((r.page_id, r.verdict) for r in got * 2)
+    assert [(r.rule, len(r.path)) for r in rows if r.page_id == 99] == [("net/de/", 2_000_004)]
+
+
+def test_urls_by_several_cascades(spark):
+    hosts = [f"{'spam' if i % 7 == 0 else 'fine'}-{i}.example.com" for i in range(600)]
+    df = spark.createDataFrame([(i, f"https://{h}/") for i, h in enumerate(hosts * 2)], "page_id int, url string")
+    rows = url_filter.judge_urls(df, max_bytes=100).collect()
+    assert sorted(r.page_id for r in rows) == list(range(1200))
+    assert all((r.verdict == "block") == (r.page_id % 600 % 7 == 0) for r in rows)
 
 
 def test_cascade_is_exact(spark):
