@@ -385,6 +385,8 @@ def test_language_id(spark):
     model = lang_id.learn(df)
     held = lang_id.predict(df, model).where(lang_id.is_held_out(F.col("doc_id")))
     assert held.where("lang_pred = lang").count() >= 0.98 * held.count()
+    assert held.agg(F.max("bits_per_byte")).first()[0] < 5
+    assert lang_id.predict(frame(spark, ["Привет мир, это русский текст о погоде. " * 5]), model).first().bits_per_byte > 8
     got = {(r.doc_id, r.text and r.text[:3]): (r.lang_pred, r.score) for r in lang_id.predict(odd(spark), model).collect()}
     assert got[(1, None)] == ("und", 0.0) and got[(2, "")] == ("und", 0.0) and got[(3, " \n\t")] == ("und", 0.0) and got[(7, "ÀÉ ")][0] in model.langs
     none = lang_id.learn(df.limit(0))
