@@ -15,11 +15,14 @@ from listwright.llm.store import keep
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
+PLAIN_BITS = 8.0  # of a byte of text as it stands
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts, texts without a letter, undecided ones."""
-    return predict(docs, learn(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    """Documents without a language go: null texts, texts without a letter, undecided ones, and
+    texts whose code under each learned language is not shorter than the text itself."""
+    known = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE) & (F.col("bits_per_byte") < PLAIN_BITS)
+    return predict(docs, learn(docs)).where(known).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
