@@ -14,7 +14,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(90001, None, "en", "s", 0), (90002, "123 !!", None, None, 6)], docs.schema))
+    foreign = ["Привет мир, это русский текст о погоде и природе. " * 5, "bxqzk vwtrp gkzzx qqjvb " * 3 + "zvkxw pqrtj"]
+    planted = [(90001, None, "en", "s", 0), (90002, "123 !!", None, None, 6)] + [(90003 + i, t, None, "s", len(t)) for i, t in enumerate(foreign)]
+    docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame(planted, docs.schema))
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     for name, stage in corpus_pipeline.STAGES:
         before = {r.doc_id: r.text for r in docs.collect()}
@@ -23,7 +25,7 @@ def test_stages(spark):
         if name != "mix":
             assert docs.columns == list(corpus_pipeline.COLUMNS)
         if name == "language_id":
-            assert set(before) - set(after) == {90001, 90002}
+            assert set(before) - set(after) == {90001, 90002, 90003, 90004}
         elif name == "near_dedup":
             ids = sorted(before)
             found = brute_components([before[i] for i in ids], 5)
