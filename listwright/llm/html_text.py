@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,6 +76,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
     parts = [Part(-1, "", False, 1.0)]
     text: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, int]] = []  # open elements, with whether they start a dropped block, and the part around them
+    opened_names: Counter[str] = Counter()  # of the stack: an end without a start is seen without a search
     dropped = links = part = at = 0
 
     def squeezed(pieces) -> str:
@@ -93,6 +95,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
         if around != part:
             flush()
         dropped, links, part = dropped - skips, links - (name == "a"), around
+        opened_names[name] -= 1
 
     while at < len(page):
         mark = _MARK.search(page, at)
@@ -111,7 +114,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
         if name in BLOCKS and not dropped:
             flush()
         if close:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name) if opened_names[name] else None
             if depth is not None and (not dropped or name in BLOCKS or depth == len(stack) - 1):
                 while len(stack) > depth:
                     leave(stack.pop())
@@ -129,6 +132,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
         around = parts[part]
         aside = name == "form" or name == "header" and not around.in_article or name not in ("html", "body") and _named(attributes)
         stack.append((name, skips, part))
+        opened_names[name] += 1
         links += name == "a"
         if skips:
             flush()
@@ -150,11 +154,11 @@ def _joined(lines: list[tuple[str, int, int]], parts: list[Part]) -> list[int]:
     for _, size, part in lines:
         sizes[part] += size
     with_ = list(range(len(parts)))
+    like = Counter((x.parent, x.kind) for x in parts)
     for i, part in enumerate(parts):
         around = parts[part.parent].kind if i else ""
         if part.kind and around and part.kind != around:
-            alone = sum(x.parent == part.parent and x.kind == part.kind for x in parts) == 1
-            if alone and sizes[i] >= sizes[part.parent]:
+            if like[part.parent, part.kind] == 1 and sizes[i] >= sizes[part.parent]:
                 with_[i] = with_[part.parent]
     return with_
 
