@@ -123,8 +123,12 @@ def _features(text: str, start: int, end: int, corpus: Corpus, odds: dict[str, f
     likely = float(corpus.transitions[c[:-1], c[1:]].mean()) if len(c) > 1 else 0.0
     counts = np.unique(raw, return_counts=True)[1] / max(1, len(raw))
     before, after = _neighbours(text, start, end)
-    line = text[max(text.rfind("\n", 0, start), text.rfind(" ", 0, start)) + 1 : start]  # what is joined to it
-    lead = text[:start].rstrip(" \t\"'")[-1:] if start < 4096 else text[start - 4096 : start].rstrip(" \t\"'")[-1:]
+    blank = text.rfind(" ", 0, start)  # the nearest; line breaks are sought after it alone, not in the whole text
+    line = text[max(text.rfind("\n", blank + 1, start), blank) + 1 : start]  # what is joined to it
+    at = start
+    while at and text[at - 1] in " \t\"'":
+        at -= 1
+    lead = text[at - 1 : at] if at else ""
     told = [odds.get(w, 0.0) for w in before] or [0.0]
     n = max(1, len(own))
     return [

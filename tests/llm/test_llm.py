@@ -254,6 +254,13 @@ def test_html_dropped_blocks_are_no_gap():
     assert html_text.main_text(page) == "\n".join(text)
 
 
+def test_html_of_very_many_parts_and_stray_ends():
+    long = "A sentence of the body that is long enough to be text. " * 3
+    many = "".join(f"<article><p>{long}</p></article>" for _ in range(5000))
+    assert html_text.main_text(f"<main>{many}</main>").count("\n") == 4999
+    assert html_text.main_text("<div>" * 20000 + "</section>" * 20000 + f"<p>{long}</p>") == long.strip()
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<p>é日</p>", "t"), (3, "<p>é日</p>", "t")], "page_id int, html string, text string")
     assert [(r.text, r.n_chars) for r in html_text.extract_main_text(df).orderBy("page_id").collect()] == [("", 0), ("", 0), ("é日", 2), ("é日", 2)]
@@ -327,6 +334,15 @@ def test_secrets_by_another_generator(spark):
     assert hit >= 0.9 * planted_values and hit >= 0.9 * (hit + wrong)
 
 
+def test_secret_features_of_a_long_line():
+    corpus = secret_scan.Corpus(secret_scan.np.zeros((28, 28)), frozenset())
+    look = lambda before: secret_scan._features(before + "abcdefgh1", len(before), len(before) + 9, corpus, {})
+    at = {name: i for i, name in enumerate(secret_scan.FEATURES)}
+    assert look("key =" + " " * 5000)[at["assigned"]] == 1  # however far the sign is
+    assert look(" " * 5000)[at["assigned"]] == 0
+    assert look("see http://a\n")[at["path"]] == 0 and look("see\nhttp://a/")[at["path"]] == 1 and look("http://a ")[at["path"]] == 0
+
+
 def test_secret_candidates_of_any_length():
     long = "qwertzuiop" * 11
     for text, value in ((f"Bearer {long[:52]}", long[:52]), (f"Bearer {long[:104]}1", long[:104] + "1"), (f'token "{long[:70]}1b2c3d4e"', long[:70] + "1b2c3d4e"), ("password hunter2secret", "hunter2secret"), (f"x {long} y", long)):
