@@ -89,4 +89,54 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(x.n_removed, 0) AS n_
 FROM d LEFT JOIN x USING (doc_id)
 """
 
-ORACLE_SQL = {"op2_mix_sources": MIX, "op3_url_filter": URLS, "op10_decontamination": DECONTAM, "op1_minhash_near_dedup": NEAR_DUP, "op7_substring_dedup": REPEATS}
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+o AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM o GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS terms, sum(total) AS words FROM k GROUP BY lang),
+s AS (SELECT lang, source, sum(n) AS own FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.own, 0) + 5 * v.terms))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (k.total + 5)) // (v.words + 5 * v.terms))::BIGINT AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+e AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(e.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN e ON e.lang = a.lang AND e.source = a.source AND e.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM x QUALIFY part = 'pair' OR rank <= 50
+"""
+
+# CRC-32 of the UTF-8 bytes of '<doc_id>:<run>', of which only the run has letters beyond ASCII, by the usual table of 256 remainders.
+SPELLING = r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+o AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+r AS (SELECT doc, run, count(*) AS n FROM o WHERE length(run) >= 7 GROUP BY ALL),
+b AS (
+  SELECT *, flatten(list_transform(string_split(doc || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c)::BIGINT >> 6), 128 + (unicode(c)::BIGINT & 63)] END)) AS bytes FROM r),
+h AS (SELECT doc, run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, t),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+g AS (SELECT word, n, i, left(word, i::INT) AS a, substr(word, i::INT + 2) AS z FROM w, unnest(range(length(word))) AS u(i)),
+l AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM g x JOIN g y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT g.word, w.word, w.n FROM g JOIN w ON w.word = g.a || g.z UNION SELECT w.word, g.word, g.n FROM g JOIN w ON w.word = g.a || g.z),
+m AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS best, max(near_n) AS best_n FROM l GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN m USING (word)),
+p AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION SELECT p.word, f.form FROM p JOIN f ON p.root = f.word WHERE f.form IS NOT NULL),
+q AS (SELECT p.word, p.root FROM p JOIN f ON f.word = p.root WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(q.root, f.word) AS root, f.n, f.n_near, f.form_n FROM f LEFT JOIN q USING (word)
+"""
+
+ORACLE_SQL = {"op2_mix_sources": MIX, "op3_url_filter": URLS, "op10_decontamination": DECONTAM, "op1_minhash_near_dedup": NEAR_DUP, "op7_substring_dedup": REPEATS, "op12_source_divergence": DIVERGENCE, "op13_spelling_variants": SPELLING}

@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import find_contamination
+from .divergence import source_divergence
 from .fingerprints import fingerprint_documents
 from .html_text import extract_main_text
 from .lang_id import is_held_out, learn, predict
+from .licenses import scan_licenses
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .passages import remove_repeats
 from .secret_scan import scan_secrets
+from .spelling import corpus_words, variant_groups
 from .token_count import count_tokens, length_histogram
 from .url_filter import judge_urls
 
@@ -76,8 +79,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("detections", lambda d: d["base"])
+    named = lambda d: F.array_join(F.array_sort(F.array_distinct(F.transform(d, lambda x: x["label"]))), ",")
+    starts = F.transform(base, lambda d: d["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), named(base).alias("base_labels"), named(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["weight"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(corpus_words(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_minhash_near_dedup, op2_mix_sources, op3_url_filter, op4_html_text, op5_secret_scan, op6_language_id, op7_substring_dedup, op8_fingerprints, op9_token_counts, op10_decontamination]
+    own = [op1_minhash_near_dedup, op2_mix_sources, op3_url_filter, op4_html_text, op5_secret_scan, op6_language_id, op7_substring_dedup, op8_fingerprints, op9_token_counts, op10_decontamination, op11_license_scan, op12_source_divergence, op13_spelling_variants]
     return {f.__name__: f for f in own}
 
 
