@@ -225,8 +225,8 @@ class Scanner:
 
 def words_of(text: Column) -> Column:
     """Lower-case words (only A-Z change) joined by one space; empty for null."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), NO_WORD, " ")
-    return F.trim(F.translate(spaced, UPPER, LOWER))
+    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.trim(F.regexp_replace(low, NO_WORD, " "))
 
 
 def scan_licenses(docs: DataFrame, own: Sequence[Rule] | None = None, stems: Sequence[str] = STEMS, text: str = "text", words: str = "n_words", detections: str = "detections") -> DataFrame:

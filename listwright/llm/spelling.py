@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ LETTERS = "A-Za-zÀ-ÿ"
 #: Letters of each group, the most telling first; all other letters are the last group.
 GROUPS = ("ei", "an", "ot", "rs", "ul", "dc", "mg", "hp", "bf", "vk", "jqw", "xyz")
 SHARD_WORDS = 4096  # about as many words has a trie
-LEAF_WORDS = 16
+LEAF_WORDS = 32
 PROBES = 1 << 15  # searched at once
 MOST_BYTES = 4 << 20  # compared at once
 
@@ -95,23 +96,24 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a == b:
                 continue
             if names[a] != shard:
-                if asks:
+                if asks and held:  # a part of a shard may have no word
                     yield from _ask(trie or Trie(held), asks)
                 shard, held, asks, trie, waiting = names[a], [], [], None, 0
-            (asks if flags[a] else held).append(batch.slice(a, b - a))
+            if held or not flags[a]:
+                (asks if flags[a] else held).append(batch.slice(a, b - a))
             waiting += (b - a) * bool(flags[a])
-            if waiting >= PROBES:
+            if waiting >= PROBES and held:
                 trie = trie or Trie(held)
                 yield from _ask(trie, asks)
                 asks, waiting = [], 0
-    if asks:
+    if asks and held:
         yield from _ask(trie or Trie(held), asks)
 
 
 def _ask(trie: Trie, asks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of the words of asks: those as long as the trie's, and those with one letter less."""
     table = pa.Table.from_batches(asks)
-    size = np.array([len(w) for w in table.column("word").to_pylist()])
+    size = pc.utf8_length(table.column("word")).to_numpy()
     for less in (0, 1):
         chosen = table.filter(pa.array(size == trie.width - less)).combine_chunks()
         if chosen.num_rows:
@@ -124,20 +126,35 @@ def _ask(trie: Trie, asks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def letters(words: pa.ChunkedArray) -> np.ndarray:
     """Words of one length as rows of Latin-1 bytes."""
-    texts = words.to_pylist()
-    return np.frombuffer("".join(texts).encode("latin-1"), np.uint8).reshape(len(texts), -1)
+    width = len(words[0].as_py())
+    rows = np.empty((len(words), width), np.uint8)
+    plain = pc.equal(pc.binary_length(words), width)
+    mask = plain.to_numpy()
+    rows[mask] = _bytes(pc.filter(words, plain)).reshape(-1, width)
+    other = pc.filter(words, pc.invert(plain)).to_pylist()
+    rows[~mask] = np.frombuffer("".join(other).encode("latin-1"), np.uint8).reshape(-1, width)
+    return rows
+
+
+def _bytes(words: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(pc.binary_join(pa.ListArray.from_arrays([0, len(c)], c), "")[0].as_py().encode() for c in words.chunks), np.uint8)
 
 
 _GROUP = np.full(256, len(GROUPS), np.uint8)
 for _i, _g in enumerate(GROUPS):
     for _c in _g:
         _GROUP[ord(_c)] = _i
+_BITS = np.uint64(1) << (4 * _GROUP.astype(np.uint64))
 
 
 def group_counts(rows: np.ndarray) -> np.ndarray:
-    """How many letters of each group each row has."""
-    groups = _GROUP[rows]
-    return np.stack([(groups == g).sum(axis=1, dtype=np.int32) for g in range(len(GROUPS) + 1)], axis=1)
+    """How many letters of each group (a row of the result) each row has."""
+    groups = np.arange(len(GROUPS) + 1)
+    if rows.shape[1] < 16:  # all counts of a row in one number
+        packed = _BITS[rows].sum(axis=1)
+        return ((packed >> (4 * groups[:, None]).astype(np.uint64)) & np.uint64(15)).astype(np.int8)
+    own = _GROUP[rows]
+    return np.stack([(own == g).sum(axis=1, dtype=np.int32) for g in groups])
 
 
 class Trie:
@@ -148,15 +165,15 @@ class Trie:
         table = pa.Table.from_batches(held).combine_chunks()
         rows = letters(table.column("word"))
         counts = group_counts(rows)
-        order = np.lexsort(counts.T[::-1])
+        order = np.lexsort(counts[::-1])
         self.table = table.take(pa.array(order)).combine_chunks()
-        self.rows, self.counts, self.width = rows[order], counts[order], rows.shape[1]
+        self.rows, self.columns, self.width = rows[order], np.ascontiguousarray(counts[:, order]), rows.shape[1]
 
     def near(self, rows: np.ndarray, surplus: int, deficit: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of rows and of words of the trie that are one edit apart; of rows of the trie's
         length, only words later in order."""
         counts, who = group_counts(rows), np.arange(len(rows))
-        leaves = self._descend(counts, 0, len(self.rows), 0, who, np.full(len(rows), surplus, np.int32), np.full(len(rows), deficit, np.int32))
+        leaves = self._descend(counts, 0, len(self.rows), 0, who, np.full(len(rows), surplus, counts.dtype), np.full(len(rows), deficit, counts.dtype))
         out, some, size = [], [], 0
         most = max(1, MOST_BYTES // self.width)
         for pair in leaves:
@@ -171,19 +188,21 @@ class Trie:
         return (np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])) if out else (none, none)
 
     def _descend(self, counts, lo, hi, level, who, surplus, deficit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(asking, word) of the leaves that the budgets reach, depth first. who: rows of counts that
+        """(asking, word) of the leaves that the budgets reach, depth first. who: columns of counts that
         have reached the node lo:hi with what is left of their surplus and deficit."""
-        if hi - lo <= LEAF_WORDS or level == counts.shape[1]:
+        if hi - lo <= LEAF_WORDS or level == len(counts):
             for a in range(0, len(who), 4096):
                 some = slice(a, a + 4096)
-                apart = self.counts[None, lo:hi, level:] - counts[who[some], None, level:]
-                more = np.maximum(apart, 0).sum(axis=2)
-                fits = (more <= surplus[some, None]) & (more - apart.sum(axis=2) <= deficit[some, None])
-                asking, word = np.nonzero(fits)
+                more, less = (np.repeat(x[some, None], hi - lo, axis=1) for x in (surplus, deficit))  # what is left of the budgets
+                for column, own in zip(self.columns[level:, lo:hi], counts[level:, who[some]], strict=True):
+                    apart = column[None, :] - own[:, None]
+                    more -= np.maximum(apart, 0)
+                    less += np.minimum(apart, 0)
+                asking, word = np.nonzero((more >= 0) & (less >= 0))
                 if len(asking):
                     yield who[some][asking], lo + word
             return
-        column, own = self.counts[lo:hi, level], counts[who, level]
+        column, own = self.columns[level, lo:hi], counts[level, who]
         for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(column)) + 1), hi - lo]):
             apart = column[a] - own
             fits = (apart <= surplus) & (-apart <= deficit)
@@ -211,7 +230,7 @@ class Trie:
 
 
 def variant_groups(words: DataFrame, ratio: int = 10, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(word, form, root, n, n_near, form_n) of words (word unique, n).
+    """(word, form, root, n, n_near, form_n) of words (word unique, not empty, of characters up to U+00FF; n).
 
     n_near counts the words one edit away. A word's form is the one of them with the largest n (ties: the
     smallest in code-point order) if that n is ratio times its own or more, else null. root is the end of
