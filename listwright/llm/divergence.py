@@ -29,11 +29,10 @@ def term_counts(docs: DataFrame, least_docs: int = 30) -> DataFrame:
     letters, only A-Z lower-cased. Each row is a document.
     """
     low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    terms = F.sort_array(F.filter(F.split(low, NO_LETTER), lambda t: t != ""))
-    rows = docs.select(_plain("lang"), _plain("source"), terms.alias("terms"))
-    once = F.transform("terms", lambda t, i: F.struct(t.alias("term"), F.when((i == 0) | (F.get("terms", i - 1) != t), 1).otherwise(0).alias("first")))
-    rows = rows.select("lang", "source", F.explode(once).alias("t"))
-    counts = rows.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("*").alias("n"), F.sum("t.first").alias("docs"))
+    rows = docs.select(_plain("lang"), _plain("source"), F.split(low, NO_LETTER).alias("terms"))
+    # All terms of a document, and after them each of them once more: the places tell which is which.
+    twice = rows.select("lang", "source", F.size("terms").alias("size"), F.posexplode(F.concat("terms", F.array_distinct("terms"))).alias("at", "term")).where("term <> ''")
+    counts = twice.groupBy("lang", "source", "term").agg(F.count_if(F.col("at") < F.col("size")).alias("n"), F.count_if(F.col("at") >= F.col("size")).alias("docs"))
     by_term = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources"))
     return by_term.where(F.col("docs") >= least_docs).select("lang", "term", "total", "sources")
 
