@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from listwright.config import DEFAULT, Rules
@@ -47,6 +49,31 @@ def change_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy("source", "change_type").agg(F.count("*").alias("n"), F.count_if("guarded").alias("guarded"))
 
 
+KINDS = ("new", "modified", "unchanged", "absent")
+
+
+def observe_changes(merged: DataFrame, sources: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """merged, and an observation that its write fills with the counts of each source and kind of change:
+    the counters of a run cost no pass of their own. sources is the registry's list; rows of others, or
+    of none, are counted together under a null source."""
+    seen = Observation()
+    own = {s: F.col("source").eqNullSafe(s) for s in sources}
+    own[None] = ~F.coalesce(F.col("source").isin(*sources), F.lit(False))
+    counts = []
+    for i, at in enumerate(own.values()):
+        for kind in KINDS:
+            here = at & (F.col("change_type") == kind)
+            counts += [F.count_if(here).alias(f"{i}:{kind}:n"), F.count_if(here & F.col("guarded")).alias(f"{i}:{kind}:guarded")]
+    return merged.observe(seen, *counts), seen
+
+
+def observed_counts(seen: Observation, sources: Sequence[str]) -> list[tuple]:
+    """change_counts as rows (source, change_type, n, guarded), from an observation that a write has filled."""
+    found = seen.get
+    rows = [(s, kind, found[f"{i}:{kind}:n"], found[f"{i}:{kind}:guarded"]) for i, s in enumerate([*sources, None]) for kind in KINDS]
+    return [r for r in rows if r[2]]
+
+
 def deadline_changes(merged: DataFrame) -> DataFrame:
     """(id, old, new, verdict): only where a deadline was known and became another."""
     changed = merged.where("old_deadline is not null and deadline <> old_deadline")

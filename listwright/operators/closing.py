@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listwright.config import DEFAULT, Rules
+from listwright.functions.arrays import count_between
 
 
 def fair_miss_days(pairs: DataFrame, runs: DataFrame, today: Column) -> DataFrame:
@@ -16,6 +17,21 @@ def fair_miss_days(pairs: DataFrame, runs: DataFrame, today: Column) -> DataFram
     return pairs.distinct().join(days, between, "left").groupBy("source", "last_seen").agg(F.count("run_date").alias("fair_days"))
 
 
+def fair_days(runs: DataFrame) -> DataFrame:
+    """(source lower-cased, days): one row per source with the ascending days on which its run
+    delivered rows. It is as large as the calendar of runs, whatever the listings."""
+    days = runs.where("is_success and n > 0").select(F.lower("source").alias("source"), "run_date").distinct()
+    return days.groupBy("source").agg(F.array_sort(F.collect_list("run_date")).alias("days"))
+
+
+def asof_fair_days(pairs: DataFrame, runs: DataFrame, today: Column) -> DataFrame:
+    """fair_miss_days by a search in each source's sorted days: the join gives one row for each pair,
+    not one for each pair and day."""
+    days = fair_days(runs).withColumnRenamed("source", "_source")
+    found = pairs.distinct().join(days, F.lower("source") == F.col("_source"), "left")
+    return found.select("source", "last_seen", count_between(F.col("days"), F.col("last_seen"), today).cast("long").alias("fair_days"))
+
+
 def mass_close_sources(active: DataFrame, today_counts: DataFrame, trusted: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """(source, n_active, zeroed, hold): trusted sources that delivered nothing today.
 
@@ -42,8 +58,8 @@ def close_decisions(active: DataFrame, batch_ids: DataFrame, health: DataFrame,
     a = active.join(seen.withColumn("seen", F.lit(True)), "id", "left").crossJoin(F.broadcast(few))
     a = a.join(health.select("source", "state"), "source", "left").join(held, "source", "left")
     a = a.withColumn("last_seen", F.try_to_date(F.col("last_seen_date").cast("string"), "yyyy-MM-dd"))
-    fair = fair_miss_days(a.where("seen is null and last_seen is not null").select("source", "last_seen"), runs, today)
-    a = a.join(fair, ["source", "last_seen"], "left")
+    days = fair_days(runs).withColumnRenamed("source", "_source")
+    a = a.join(days, F.lower("source") == F.col("_source"), "left").withColumn("fair_days", count_between(F.col("days"), F.col("last_seen"), today))
     decision = (
         F.when(F.col("seen"), "seen")
         .when(F.col("few"), "too_few_seen")
@@ -52,7 +68,7 @@ def close_decisions(active: DataFrame, batch_ids: DataFrame, health: DataFrame,
         .when(F.coalesce(F.col("held"), F.lit(False)), "mass_close")
         .when(F.col("last_seen").isNull() | (F.col("last_seen") > today), "restamp")
         .when(F.col("last_seen") == today, "same_day")
-        .when(F.coalesce(F.col("fair_days"), F.lit(0)) < rules.close_grace_days - 1, "grace")
+        .when(F.col("fair_days") < rules.close_grace_days - 1, "grace")
         .otherwise("CLOSED")
     )
     return a.select("id", "source", "company_name", "title", "last_seen_date", decision.alias("decision"))

@@ -54,6 +54,32 @@ def repost_flags(active: DataFrame, closed: DataFrame, rules: Rules = DEFAULT) -
     return first.join(last, "key").where((F.col("closed_at") < F.col("first_seen")) & gap).select("key", F.to_date("closed_at").alias("closed_on"))
 
 
+def capped_by_keyword(hits: DataFrame, k: int, keywords: int) -> DataFrame:
+    """(source, keyword, item, pos): of hits (source, keyword from 1 to keywords, pos, item) those that a
+    search takes which asks one keyword after the other and stops each at k new items.
+
+    An item that an earlier keyword has taken is passed over and doesn't count, so one beyond the cap
+    of keyword 1 may still enter through keyword 2. At most k * keyword items of a keyword can matter, as the
+    ones before it take k each at most; only these meet in the fold over a source, which keeps its
+    memory within k * keywords**2 rows. An item counts once in a keyword, at its first place.
+    """
+    first = hits.groupBy("source", "keyword", "item").agg(F.min("pos").alias("pos"))
+    place = F.row_number().over(Window.partitionBy("source", "keyword").orderBy("pos", "item"))
+    near = first.withColumn("place", place).where(F.col("place") <= k * keywords).where(F.col("place") <= k * F.col("keyword"))
+    kind = first.schema["item"].dataType.simpleString()
+    hit = f"struct<keyword:int,pos:{first.schema['pos'].dataType.simpleString()},item:{kind}>"
+    listed = near.groupBy("source").agg(F.array_sort(F.collect_list(F.struct(F.col("keyword").cast("int").alias("keyword"), "pos", "item"))).alias("hits"))
+
+    def step(state: Column, h: Column) -> Column:
+        n = F.when(state["keyword"] == h["keyword"], state["n"]).otherwise(0)
+        takes = (n < k) & ~F.exists(state["taken"], lambda t: t["item"] == h["item"])
+        return F.struct(F.when(takes, F.concat(state["taken"], F.array(h))).otherwise(state["taken"]).alias("taken"), h["keyword"].alias("keyword"), (n + takes.cast("int")).alias("n"))
+
+    start = F.struct(F.array().cast(f"array<{hit}>").alias("taken"), F.lit(0).alias("keyword"), F.lit(0).alias("n"))
+    taken = listed.select("source", F.explode(F.aggregate("hits", start, step, lambda s: s["taken"])).alias("t"))
+    return taken.select("source", "t.keyword", "t.item", "t.pos")
+
+
 def top_per_group(rows: DataFrame, group: str, order: Column, k: int) -> DataFrame:
     """At most k rows of each group. Spark limits each group inside the tasks before the shuffle."""
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(order))).where(F.col("place") <= k)

@@ -167,6 +167,12 @@ def fair_miss_days(spark, sf_dir):
     return K.fair_miss_days(pairs, runs(spark, sf_dir), F.to_date(F.lit("2024-01-25")))
 
 
+@query(with_views("SELECT x.source, x.last_seen, count(DISTINCT r.run_date) AS fair_days FROM (SELECT DISTINCT event_type AS source, ts::DATE AS last_seen FROM events) x LEFT JOIN (SELECT DISTINCT source, run_date FROM v_runs WHERE is_success AND n > 0) r ON r.source = x.source AND r.run_date > x.last_seen AND r.run_date < DATE '2024-01-25' GROUP BY ALL", "v_runs"), dates="last_seen")
+def asof_fair_days(spark, sf_dir):
+    pairs = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("last_seen"))
+    return K.asof_fair_days(pairs, runs(spark, sf_dir), F.to_date(F.lit("2024-01-25")))
+
+
 @query(with_views("SELECT p.id, p.source, p.title, p.posted_at, length(p.raw) AS raw_len, l.quality, l.toxic FROM v_post p LEFT JOIN labels l ON p.id = l.doc_id WHERE p.id % 17 <> 0", "v_post"), dates="posted_at")
 def active_mart(spark, sf_dir):
     p = posts(spark, sf_dir).where("id % 17 <> 0")

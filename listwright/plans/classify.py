@@ -15,21 +15,17 @@ def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     spark = postings.sparkSession
     both = F.concat_ws("\n", "title", "raw_html")
     head = F.concat_ws("\n", "title", X.without_tail(F.col("raw_html"), rules))
-    rows = X.with_experience(postings, both, F.col("title"), rules, "_y").select(
-        F.col("id").alias("job_id"), "company_name", "title", X.category(F.col("title"), rules).alias("primary_category"), "_y", X.salary(both).alias("_s"), X.work_type(both, rules).alias("work_type"),
+    rows = X.with_experience(postings, both, F.col("title"), rules, "_y").withColumn("_b", sections.bullets(F.split("raw_html", "\n"), rules)).select(
+        "_b", F.col("id").alias("job_id"), "company_name", "title", X.category(F.col("title"), rules).alias("primary_category"), "_y", X.salary(both).alias("_s"), X.work_type(both, rules).alias("work_type"),
         X.tools(both, rules.tools).alias("tools_used"), X.tags(head, rules.certificates).alias("preferred_certifications"), X.tags(head, rules.skills).alias("preferred_skills_tags"),
     )
     presets = spark.createDataFrame([(i, *p) for i, p in enumerate(rules.presets)], "ord long, preset string, revenue int, size int")
     fallbacks = spark.createDataFrame([(i, *f) for i, f in enumerate(rules.preset_fallbacks)], "ord long, keyword string, preset string")
     meta = lookups.tiered_lookup(postings.select(F.col("company_name").alias("name")), presets.select("ord", "preset"), fallbacks, rules).join(F.broadcast(presets.drop("ord")), "preset")
-    lines = sections.section_lines(sections.lines_of(postings, "id", "raw_html"), "id", rules)
-    found = sections.bullets(lines, "id", rules)
-    own = found.groupBy("id").agg(*[F.max(F.when(F.col("section") == s, F.col("bullets"))).alias(n) for s, n in (("req", "key_requirements"), ("pref", "preferred_skills"))])
-    rows = rows.join(own, F.col("job_id") == F.col("id"), "left").join(meta, F.col("company_name") == F.col("name"), "left")
-    none = F.array().cast("array<string>")
+    rows = rows.join(meta, F.col("company_name") == F.col("name"), "left")
     return rows.select(
         "job_id", "primary_category", F.col("_y.min_years").alias("min_experience"), F.col("_y.max_years").alias("max_experience"), "_s.salary_min", "_s.salary_max", "work_type", F.col("revenue").alias("company_revenue"), F.col("size").alias("company_size"),
-        F.coalesce("key_requirements", none).alias("key_requirements"), F.coalesce("preferred_skills", none).alias("preferred_skills"), "tools_used",
+        F.col("_b.req").alias("key_requirements"), F.col("_b.pref").alias("preferred_skills"), "tools_used",
         X.summary(F.col("company_name"), F.col("primary_category"), F.col("title"), F.col("work_type"), F.col("_y.min_years"), F.col("_y.max_years"), F.col("tools_used")).alias("ai_summary"), "preferred_certifications", "preferred_skills_tags",
     )
 

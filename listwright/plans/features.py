@@ -141,7 +141,12 @@ def section_lines(spark, sf_dir):
 
 @query(with_views("SELECT id, section, array_to_string(list(line ORDER BY pos), '|') AS bullets FROM (SELECT *, row_number() OVER (PARTITION BY id, section ORDER BY pos) AS n FROM (SELECT id, pos, section, trim(regexp_replace(line, '^[-*•\\s\\d.]+', '')) AS line FROM w WHERE header IS NULL AND section <> 'none' AND regexp_matches(line, '^([-*•]|[1-5]\\.)')) WHERE length(line) > 5 AND length(line) < 100 AND NOT regexp_matches(line, '" + CONTACT + "')) WHERE n <= 5 GROUP BY id, section", more=LINES))
 def section_bullets(spark, sf_dir):
-    return S.bullets(S.section_lines(_lines(spark, sf_dir), "id", LATIN), "id", LATIN).select("id", "section", F.array_join("bullets", "|").alias("bullets"))
+    """One fold over the lines of each body; the plan has no exchange."""
+    header = F.array(F.lit("Requirements"), F.lit("Preferences"), F.lit("Other"))
+    line = lambda x, i: F.when(i % 5 == 0, F.get(header, F.floor(i / 5).cast("int") % 3)).when(i % 3 == 1, F.concat(F.lit("- "), x)).otherwise(x)
+    found = posts(spark, sf_dir).select("id", S.bullets(F.transform(F.split("raw", "\n"), line), LATIN).alias("b"))
+    each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"b.{s}").alias("bullets")) for s in ("req", "pref")])
+    return found.select("id", F.explode(each).alias("e")).where(F.size("e.bullets") > 0).select("id", "e.section", F.array_join("e.bullets", "|").alias("bullets"))
 
 
 @query("SELECT p_partkey, '1. ' || p_brand || ' ' || p_type || ' 직무 - ''' || p_name || ''' 채용 공고' || chr(10) || '2. 근무 요건: x | ' || CASE WHEN p_size % 4 = 0 AND p_size % 7 = 1 THEN '신입 지원 가능' WHEN p_size % 4 > 0 AND p_size % 7 > 0 THEN '경력 ' || (p_size % 4) || '~' || (p_size % 7) || '년' WHEN p_size % 4 > 0 THEN '경력 ' || (p_size % 4) || '년 이상' ELSE '경력 무관 (신입 지원 가능)' END || chr(10) || '3. 요구 직무 도구 및 핵심 역량: ' || coalesce(CASE WHEN p_size % 2 = 0 THEN 'SAP' END, '공고에 명시 없음') AS summary FROM part")

@@ -69,6 +69,21 @@ def topk_per_group(spark, sf_dir):
     return D.top_per_group(D.first_by(e, ["user_id"], [F.col("event_id")]), "event_type", F.col("event_id"), 15).select("event_type", "user_id", "event_id", "place")
 
 
+CAPPED = """h AS (SELECT event_type AS source, (event_id % 4 + 1)::INT AS keyword, user_id AS item, min(event_id) AS pos FROM events GROUP BY ALL),
+l AS (SELECT source, keyword, list(item ORDER BY pos, item) AS items FROM h GROUP BY ALL),
+s AS (SELECT DISTINCT source FROM h),
+r AS (SELECT source, 0 AS keyword, []::BIGINT[] AS taken, []::BIGINT[] AS own FROM s
+  UNION ALL SELECT r.source, r.keyword + 1, list_concat(r.taken, list_filter(coalesce(l.items, []), lambda x: NOT list_contains(r.taken, x))[:15]), list_filter(coalesce(l.items, []), lambda x: NOT list_contains(r.taken, x))[:15]
+  FROM r LEFT JOIN l ON l.source = r.source AND l.keyword = r.keyword + 1 WHERE r.keyword < 4)"""
+
+
+@query("WITH RECURSIVE " + CAPPED + " SELECT r.source, r.keyword, h.item, h.pos FROM (SELECT source, keyword, unnest(own) AS item FROM r) r JOIN h USING (source, keyword, item)")
+def capped_keywords(spark, sf_dir):
+    """Four keywords, asked one after the other, 15 new users each."""
+    hits = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), (F.col("event_id") % 4 + 1).cast("int").alias("keyword"), F.col("event_id").alias("pos"), F.col("user_id").alias("item"))
+    return D.capped_by_keyword(hits, 15, 4)
+
+
 CLOSED = "c AS (SELECT 'co ' || (o_custkey % 40) AS company, 'job ' || (o_orderkey % 30) AS title, o_orderdate AS seen FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01'), a AS (SELECT 'co ' || (o_custkey % 40) AS company, 'job ' || (o_orderkey % 30) AS title, o_orderdate AS seen FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1995-12-01')"
 
 
@@ -102,3 +117,16 @@ def tiered_lookup(spark, sf_dir):
     names = table(spark, sf_dir, "supplier").select(F.when(k == 0, nation).when(k == 1, F.concat(F.lit("㈜ "), nation)).when(k == 2, F.concat("s_name", nation)).otherwise(F.col("s_name")).alias("name"))
     presets = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("preset"))
     return L.tiered_lookup(names, presets)
+
+
+WIDE = "n AS (SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part), p AS (SELECT min(p_partkey) AS ord, p_name AS preset FROM part GROUP BY p_name UNION ALL SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_partkey FROM part)"
+
+
+@query(with_views("SELECT name, arg_min(preset, (CASE WHEN name = preset THEN 1 WHEN replace(name, ' ', '') = replace(preset, ' ', '') THEN 2 ELSE 3 END, ord, preset)) AS preset, min(CASE WHEN name = preset THEN 1 WHEN replace(name, ' ', '') = replace(preset, ' ', '') THEN 2 ELSE 3 END) AS tier FROM n JOIN p ON contains(replace(name, ' ', ''), replace(preset, ' ', '')) OR contains(replace(preset, ' ', ''), replace(name, ' ', '')) GROUP BY name", more=WIDE))
+def gram_lookup(spark, sf_dir):
+    """A dimension that grows with the table: every part is a preset, shorter or longer than the names."""
+    part = table(spark, sf_dir, "part")
+    names = part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"))
+    short = part.groupBy(F.col("p_name").alias("preset")).agg(F.min("p_partkey").alias("ord"))
+    long = part.select(F.concat_ws(" ", "p_name", "p_brand", F.col("p_partkey").cast("string")).alias("preset"), F.col("p_partkey").alias("ord"))
+    return L.tiered_lookup(names, short.unionByName(long))
