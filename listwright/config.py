@@ -84,6 +84,8 @@ class Rules:
     body_markers: tuple[str, ...] = ("담당업무", "자격요건", "우대사항", "주요업무")
     extra_body_markers: tuple[str, ...] = ("지원자격", "필수요건", "모집부문", "근무조건", "모집분야", "전형절차", "제출서류")
     navigation: tuple[str, ...] = ("커리어의 시작, 사람인", "중장년 채용", "기업서비스", "역세권별", "인적성")
+    # Words of a body, and what follows it.
+    body_allow: tuple[str, ...] = ("게임", "game")
     tail_markers: tuple[str, ...] = ("저작권자", "무단전재", "진행중인 채용", "이 기업의 다른 공고", "기업뉴스", "정확한 정보는 기업공시", "실시간 정보와 상이할 수 있", "면접후기", "에서 게재한 자료에 대한 오류")
     contact: str = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|01[0-9][-.\s]?\d{3,4}[-.\s]?\d{4}|0\d{1,2}[-.\s]\d{3,4}[-.\s]\d{4}"
     closed_badge: str = r"마감\s*\(~"

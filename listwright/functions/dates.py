@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from .text import found, matches
 
 
+# The forms of a badge.
+DAYS_LEFT, MONTH_DAY, CLOSES_TODAY, CLOSES_TOMORROW = r"\bD-(\d+)\b", r"~\s*(\d{1,2})\s*/\s*(\d{1,2})", r"오늘\s*마감", r"내일\s*마감"
+
+
 def badge_date(text: Column, today: Column) -> Column:
     """'D-3', 'closes today', 'closes tomorrow' or '~ 07/31' as a date; other badges are null."""
-    left = found(text, r"\bD-(\d+)\b").try_cast("int")
-    month, day = found(text, r"~\s*(\d{1,2})\s*/\s*(\d{1,2})", 1), found(text, r"~\s*(\d{1,2})\s*/\s*(\d{1,2})", 2)
+    left = found(text, DAYS_LEFT).try_cast("int")
+    month, day = found(text, MONTH_DAY, 1), found(text, MONTH_DAY, 2)
     of = lambda year: F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
     this = F.when(month.isNotNull(), of(F.year(today)))
     return (
         F.when(left.isNotNull(), F.date_add(today, left))
-        .when(matches(text, r"오늘\s*마감"), today)
-        .when(matches(text, r"내일\s*마감"), F.date_add(today, 1))
+        .when(matches(text, CLOSES_TODAY), today)
+        .when(matches(text, CLOSES_TOMORROW), F.date_add(today, 1))
         .when(F.datediff(this, today) < -300, of(F.year(today) + 1))
         .otherwise(this)
     )

@@ -10,6 +10,10 @@ from listwright.config import DEFAULT, Rules
 from .text import found, squeeze, strip
 
 
+# Fixed value: a name in brackets ahead of a title.
+BRACKETED = r"^\[([^\[\]]{1,30})\]\s*"
+
+
 def _without(text: Column, parts: tuple[str, ...]) -> Column:
     for p in parts:
         text = F.replace(text, F.lit(p), F.lit(""))
@@ -36,9 +40,8 @@ def content_key(company: Column, title: Column, rules: Rules = DEFAULT) -> Colum
     title, and the longer name is the company's key. Other brackets are unwrapped.
     """
     own, name = company_key(company, rules), strip(F.coalesce(title, F.lit("")))
-    pattern = r"^\[([^\[\]]{1,30})\]\s*"
-    hint = company_key(found(name, pattern), rules)
-    rest = strip(F.regexp_replace(name, "(?U)" + pattern, ""))
+    hint = company_key(found(name, BRACKETED), rules)
+    rest = strip(F.regexp_replace(name, "(?U)" + BRACKETED, ""))
     fits = (F.length(hint) >= 2) & (own != "") & (F.contains(hint, own) | F.contains(own, hint))
     shown = F.when(fits & (rest != ""), rest).otherwise(name)
     return F.struct(F.when(fits & (F.length(hint) > F.length(own)), hint).otherwise(own).alias("company"), F.lower(squeeze(F.translate(shown, "[]", "  "))).alias("title"))
@@ -46,9 +49,9 @@ def content_key(company: Column, title: Column, rules: Rules = DEFAULT) -> Colum
 
 def display_title(company: Column, title: Column, rules: Rules = DEFAULT) -> Column:
     """The title without a leading [company], unless nothing remains."""
-    title, pattern = strip(F.coalesce(title, F.lit(""))), r"^\[([^\[\]]{1,30})\]\s*"
-    rest = strip(F.regexp_replace(title, "(?U)" + pattern, ""))
-    same = company_key(found(title, pattern), rules) == company_key(company, rules)
+    title = strip(F.coalesce(title, F.lit("")))
+    rest = strip(F.regexp_replace(title, "(?U)" + BRACKETED, ""))
+    same = company_key(found(title, BRACKETED), rules) == company_key(company, rules)
     return F.when(F.coalesce(same, F.lit(False)) & (rest != ""), rest).otherwise(title)
 
 

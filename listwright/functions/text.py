@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from listwright.config import DEFAULT, CompanyRules, Rules, TitleRules
 
+# A doubled label and its value, the unit of salaries, what ends a title's name.
+LABEL, SALARY_UNIT = r"경력[\s|]*경력[\s]*([^\n|]{1,24})", "만원"
+TITLE_META = r"\s+(?:new|경력무관|신입|경력|D-?\d+|상시채용|수시채용|채용시)\b"
 U = "(?U)"  # Unicode \s, \d, \b as in the rules
 
 
@@ -61,6 +64,12 @@ def platform_accepted(company: Column, title: Column, companies: CompanyRules =
     return ~(has_any(company, companies.deny) | has_any(title, [*companies.deny, *titles.deny]))
 
 
+def still_accepted(company: Column, title: Column, body: Column, rules: Rules = DEFAULT) -> Column:
+    """Whether a listing whose title and company were corrected still belongs here: by its title, and by
+    its company or title or a word of the body."""
+    return title_accepted(title, rules.titles) & (company_accepted(company, title, rules.companies) | has_any(F.lower(body), rules.body_allow))
+
+
 def filter_reason(columns: dict[str, Column], words: Sequence[str]) -> Column:
     """'name:word' of the first hit in each column, joined by ', '; empty if none."""
     parts = [F.when(has_any(F.lower(c), words), F.concat(F.lit(f"{k}:"), F.regexp_extract(F.lower(c), U + f"({any_of(words)})", 1))) for k, c in columns.items()]
@@ -175,7 +184,7 @@ def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules =
     """
     tight = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     newcomer = lambda c: F.col(c).contains("신입") & ~F.col(c).contains("경력")
-    rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(found(text, r"경력[\s|]*경력[\s]*([^\n|]{1,24})"))})
+    rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(found(text, LABEL))})
     rows = rows.withColumns({"_section": tight(requirement_section(F.col("_text"), rules)), "_body": tight(F.col("_text"))})
     ranks = [F.when(matches(F.col("_text"), rf"{r}\s?급(?!여)|{r}\s?이상"), years(F.lit(n), F.lit(None))) for r, n in rules.ranks]
     entry, open_ = years(F.lit(0), F.lit(1)), years(F.lit(0), F.lit(None))
@@ -191,7 +200,7 @@ def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules =
     return rows.withColumn(name, F.col("_asked")).drop("_asked", "_text", "_titled", "_label", "_section", "_body")
 
 
-def salary(text: Column, unit: str = "만원", over: str = "이상") -> Column:
+def salary(text: Column, unit: str = SALARY_UNIT, over: str = "이상") -> Column:
     """struct(salary_min, salary_max); both null if none is named."""
     tight = F.regexp_replace(text, "[, ]", "")
     low, high, least = (_number(tight, rf"(\d+)[~-](\d+){unit}", 1), _number(tight, rf"(\d+)[~-](\d+){unit}", 2), _number(tight, rf"(\d+){unit}{over}"))
@@ -217,7 +226,7 @@ def summary(company: Column, kind: Column, title: Column, work: Column, low: Col
     return F.concat_ws("\n", F.concat(F.lit("1. "), company, F.lit(" "), kind, F.lit(" 직무 - '"), title, F.lit("' 채용 공고")), F.concat(F.lit("2. 근무 요건: "), work, F.lit(" | "), asked), F.concat(F.lit("3. 요구 직무 도구 및 핵심 역량: "), F.coalesce(used, F.lit("공고에 명시 없음"))))
 
 
-def title_cut(title: Column, pattern: str = r"\s+(?:new|경력무관|신입|경력|D-?\d+|상시채용|수시채용|채용시)\b") -> Column:
+def title_cut(title: Column, pattern: str = TITLE_META) -> Column:
     """The title before its meta text."""
     return strip(F.element_at(F.split(title, U + pattern, 2), 1))
 

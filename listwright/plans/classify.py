@@ -39,5 +39,5 @@ def faceted(rows: DataFrame, text: str | None = None, categories: tuple[str, ...
     if high is not None:
         rows = rows.where(F.col("min_experience") <= high)
     if low is not None:
-        rows = rows.where(F.coalesce("max_experience", F.lit(99)) >= low)
+        rows = rows.where(F.col("max_experience").isNull() | (F.col("max_experience") >= low))
     return rows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listwright.config import DEFAULT, Rules
 from listwright.functions.text import has_body
 from listwright.operators import changes, closing, dedup
+from listwright.sources.snapshots import keep
 
 from .classify import classify
 
@@ -38,24 +39,24 @@ class Day:
 def run_day(master: DataFrame, batch: DataFrame, health: DataFrame, runs: DataFrame, run_ts: Column, number: str, is_search: Column, seq: str, rules: Rules = DEFAULT) -> Day:
     """Dedup by native number, merge, classify new and modified rows, detect and apply closes.
 
+    The merge and the decisions are read by several results and are written once, so that no
+    result joins the master again.
+
     batch needs the posting columns, number, seq and what is_search reads; health (source, state)
     and runs (source, run_date, n, is_success) are of the sources."""
     batch = dedup.native_dedup(batch, number, is_search, seq)
-    merged = changes.merge_batch(master, batch, run_ts, rules)
+    merged = keep(changes.merge_batch(master, batch, run_ts, rules), "merged")
     written = merged.where(F.col("change_type").isin("new", "modified"))
     categories = classify(written.select("id", "company_name", "title", "raw_html"), rules)
-    counts = batch.groupBy("source").agg(F.count("*").alias("n"))
+    seen = merged.where("change_type <> 'absent'").select("id", "source")  # the batch; a listing's source never changes
+    counts = seen.groupBy("source").agg(F.count("*").alias("n"))
     columns = [c for c in merged.columns if c not in ("change_type", "guarded", "old_deadline")]
     after = merged.select(*columns)
-    decisions = closing.close_decisions(after.where("status = 'ACTIVE'"), batch.select("id"), health, runs, counts, F.to_date(run_ts), rules)
+    decisions = closing.close_decisions(after.where("status = 'ACTIVE'"), seen, health, runs, counts, F.to_date(run_ts), rules)
+    decisions = keep(decisions, "decisions")
     return Day(merged, categories, decisions, closing.apply_decisions(after, decisions, run_ts), health)
 
 
-def rebuild_categories(master: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Category rows of all listings from their stored bodies, without collecting anything again."""
-    return classify(master.select("id", "company_name", "title", "raw_html"), rules)
-
-
 def mart_rows(rows: DataFrame, run_date: Column) -> DataFrame:
     """rows (id, source, title, raw, posted_at, key_requirements JSON, min_experience) with shown, the
     escaped title, and doc, a JSON object safe inside a script element.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from listwright.functions import dates as T
@@ -195,6 +197,42 @@ def classify(spark, sf_dir):
     return run(posts(spark, sf_dir).select("id", F.col("company").alias("company_name"), "title", F.col("raw").alias("raw_html")), LATIN).select(F.col("job_id").alias("id"), F.col("primary_category").alias("category"), F.col("tools_used").alias("tools"), F.array_join("preferred_certifications", ",").alias("certificates"))
 
 
+RANKED = ("과장급 이상", "대리 이상 우대", "과장 급여대장 담당", "부장급", "주임 급", "차장 이상", "차장님과 협업")
+
+
+@query("SELECT o_orderkey, [6, 3, 0, 12, 2, 9, 0][o_orderkey % 7 + 1]::INT AS min_years, NULL::INT AS max_years FROM orders")
+def rank_fallback(spark, sf_dir):
+    """Years by rank, where nothing else names any: a rank with its suffix or with 'or above', not a word that begins with it."""
+    rank = F.get(F.array(*[F.lit(x) for x in RANKED]), (F.col("o_orderkey") % 7).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("회계 담당\n"), rank).alias("body"), F.lit("회계 담당").alias("title"))
+    return X.with_experience(rows, F.col("body"), F.col("title"), name="y").select("o_orderkey", "y.min_years", "y.max_years")
+
+
+OPENING = "concat(CASE id % 6 WHEN 0 THEN concat('경력 경력 ', id % 20, '년 이상') WHEN 1 THEN '신입 환영' WHEN 2 THEN '과장급 이상' WHEN 3 THEN 'open' WHEN 4 THEN '경력 3년 ~ 5년' ELSE '5년 이하' END, chr(10), CASE id % 3 WHEN 0 THEN '연봉 3,000 ~ 5,000만원' WHEN 1 THEN '4,500만원 이상' ELSE 'by rule' END, chr(10), 'Requirements', chr(10), '- needs ledger ', id % 7, chr(10), 'Preferences', chr(10), '* audit exam ', id % 5, chr(10), '2. mail a@b.co now', chr(10), 'Other', chr(10), raw)"
+BOTH, HEAD = "lower(title || chr(10) || raw)", f"lower(title || chr(10) || (CASE WHEN {_first(LATIN.tail_markers)} IS NOT NULL THEN left(raw, {_first(LATIN.tail_markers)} - 1) ELSE raw END))"
+WHOLE = f"""d AS (SELECT id, company, title, {OPENING} AS raw, id % 50 AS n FROM v_post),
+f AS (SELECT *, CASE WHEN regexp_matches(lower(title), 'tax|eau') THEN 'tax' WHEN regexp_matches(lower(title), 'tion|treasury') THEN 'treasury' ELSE 'accounting' END AS category,
+  CASE id % 6 WHEN 0 THEN id % 20 WHEN 2 THEN 6 WHEN 4 THEN 3 ELSE 0 END::INT AS low, CASE id % 6 WHEN 1 THEN 1 WHEN 4 THEN 5 WHEN 5 THEN 5 END::INT AS high,
+  CASE id % 3 WHEN 0 THEN 3000 WHEN 1 THEN 4500 END::INT AS salary_min, CASE id % 3 WHEN 0 THEN 5000 END::INT AS salary_max,
+  CASE WHEN regexp_matches({BOTH}, 'ationth|on\\s+the\\s+in') THEN 'remote' WHEN regexp_matches({BOTH}, 'de\\s+la|und\\s+der') THEN 'hybrid' WHEN regexp_matches({BOTH}, 'of\\s+and|ciónes') THEN 'site' ELSE 'unknown' END AS work_type,
+  CASE WHEN n = 12 THEN 200 WHEN n IN (1, 4) OR n BETWEEN 10 AND 19 OR n BETWEEN 40 AND 49 THEN 100 WHEN n = 3 THEN 300 END::INT AS revenue, {TAGS.replace("lower(raw)", BOTH)} AS tools, {CERTS.replace("lower(raw)", HEAD)} AS certificates,
+  concat_ws(',', CASE WHEN regexp_matches({HEAD}, 'and|und') THEN 'S1' END, CASE WHEN regexp_matches({HEAD}, 'que') THEN 'S2' END, CASE WHEN regexp_matches({HEAD}, 'zzz') THEN 'S3' END) AS skills FROM d)"""
+ASKED = "CASE WHEN low = 0 AND high = 1 THEN '신입 지원 가능' WHEN low > 0 AND coalesce(high, 0) > 0 THEN '경력 ' || low || '~' || high || '년' WHEN low > 0 THEN '경력 ' || low || '년 이상' ELSE '경력 무관 (신입 지원 가능)' END"
+
+
+@query(with_views(f"""SELECT id AS job_id, category AS primary_category, low AS min_experience, high AS max_experience, salary_min, salary_max, work_type, revenue AS company_revenue, (revenue // 10)::INT AS company_size, 'needs ledger ' || (id % 7) AS key_requirements, 'audit exam ' || (id % 5) AS preferred_skills, tools AS tools_used,
+'1. ' || company || ' ' || category || ' 직무 - ''' || title || ''' 채용 공고' || chr(10) || '2. 근무 요건: ' || work_type || ' | ' || {ASKED} || chr(10) || '3. 요구 직무 도구 및 핵심 역량: ' || coalesce(tools, '공고에 명시 없음') AS ai_summary,
+certificates AS preferred_certifications, skills AS preferred_skills_tags FROM f""", "v_post", more=WHOLE))
+def category_rows(spark, sf_dir):
+    """All 15 columns of the classifier; lists are joined by '|' or ','."""
+    from listwright.plans.classify import classify as run
+
+    rules = replace(LATIN, presets=(("co 1", 100, 10), ("co 12", 200, 20), ("co 3 x", 300, 30)), preset_fallbacks=(("co4", "co 1"),))
+    rows = run(posts(spark, sf_dir).select("id", F.col("company").alias("company_name"), "title", F.expr(OPENING).alias("raw_html")), rules)
+    texts = {c: F.array_join(c, sep) for c, sep in (("key_requirements", "|"), ("preferred_skills", "|"), ("preferred_certifications", ","), ("preferred_skills_tags", ","))}
+    return rows.withColumns(texts)
+
+
 @query("SELECT p_partkey, p_size, p_type FROM part WHERE contains(p_name, 'bolt') AND p_type IN ('SMALL', 'LARGE') AND p_size % 10 <= 6 AND coalesce(CASE WHEN p_size % 3 <> 0 THEN p_size % 10 + 3 END, 99) >= 4")
 def faceted_search(spark, sf_dir):
     from listwright.plans.classify import faceted

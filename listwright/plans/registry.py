@@ -28,4 +28,4 @@ def query(sql: str | None = None, dates: str = "") -> Callable[[Query], Query]:
     return add
 
 
-from . import boards, changes, features, health, keys, pages  # noqa: E402, F401  they register themselves
+from . import boards, changes, features, health, keys, pages, stored  # noqa: E402, F401  they register themselves

@@ -67,6 +67,44 @@ def largest_block(pages: DataFrame, name: str, least: int = 80) -> DataFrame:
     return best.select("page_id", F.when(F.col("best.n") > least, F.col("best.text")).otherwise("").alias("body"))
 
 
+#: A tag, with quoted attribute values in which > is a character.
+QUOTED_TAG = r"""</?[A-Za-z](?:[^>"']+|"[^"]*"|'[^']*')*>"""
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
+def nested_block(pages: DataFrame, name: str, least: int = 80) -> DataFrame:
+    """(page_id, body): the longest text among elements whose class contains name, however they are
+    nested in each other or in elements of their kind; '' if it has least characters or fewer, or if there is none.
+
+    A start tag's depth is the number of elements of its kind that are open after it; its end is the next end
+    tag of its kind and depth, or the end of the page. Elements of other kinds that are not closed
+    properly don't matter. Texts are measured without the white space around each piece; ties
+    go to the first. Only places and lengths of tags are exploded and sorted, by page; texts stay in their rows.
+    page_id is unique; a null html has no block.
+    """
+    html = F.regexp_replace(without_scripts(F.col("html")), r"(?s)<!--.*?-->", "")
+    p = pages.select("page_id", F.regexp_extract_all(html, F.lit(f"({QUOTED_TAG})"), F.lit(1)).alias("tags"), F.split(html, QUOTED_TAG).alias("pieces"))
+    lengths = F.transform(F.slice("pieces", 2, F.greatest(F.size("pieces"), F.lit(1))), lambda x: F.length(html_to_text(x)))
+    e = p.select("page_id", F.posexplode(F.arrays_zip("tags", lengths.alias("lengths"))).alias("pos", "t")).select("page_id", "pos", F.col("t.tags").alias("tag"), F.col("t.lengths").alias("n"))
+    kind, ends = F.lower(F.regexp_extract("tag", r"^</?([A-Za-z][A-Za-z0-9]*)", 1)), F.col("tag").startswith("</")
+    classes = F.regexp_extract("tag", r"""(?is)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1)
+    e = e.select("page_id", "pos", "n", kind.alias("kind"), ends.alias("ends"), (F.contains(classes, F.lit(name)) & ~ends).alias("wanted"), (kind.isin(*VOID) | F.col("tag").endswith("/>")).alias("alone"))
+    page = Window.partitionBy("page_id").orderBy("pos")
+    e = e.withColumn("before", F.sum("n").over(page) - F.col("n"))  # text ahead of the tag, from the first tag on
+    e = e.withColumn("whole", F.sum("n").over(Window.partitionBy("page_id"))).where("not alone")
+    same = Window.partitionBy("page_id", "kind").orderBy("pos")
+    depth = F.sum(F.when(F.col("ends"), -1).otherwise(1)).over(same)
+    e = e.withColumn("depth", F.when(F.col("ends"), depth + 1).otherwise(depth))
+    pair = Window.partitionBy("page_id", "kind", "depth").orderBy("pos")
+    e = e.withColumns({"end": F.lead("pos").over(pair), "upto": F.coalesce(F.lead("before").over(pair), "whole")}).where("wanted")
+    size = F.col("upto") - F.col("before")
+    best = e.groupBy("page_id").agg(F.max_by(F.struct("pos", "end"), F.struct(size.alias("size"), (-F.col("pos")).alias("first"))).alias("b"))
+    j = p.select("page_id", "pieces").join(best, "page_id", "left")
+    upto = F.coalesce(F.col("b.end"), F.size("pieces") - 1)
+    text = html_to_text(F.array_join(F.slice("pieces", F.col("b.pos") + 2, upto - F.col("b.pos")), "\n"))
+    return j.select("page_id", F.coalesce(F.when(F.length(text) > least, text), F.lit("")).alias("body"))
+
+
 def corrected_title(html: Column, title_pattern: str, card: Column) -> Column:
     """h1, else the pattern's group in <title>, else the card's value; h2 is never used."""
     h1 = F.nullif(plain(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit(""))
