@@ -162,8 +162,8 @@ def experience_phrase(text: Column, bare_range: bool = False, rules: Rules = DEF
     def one(pattern: str, of: Callable[[Column], Column]) -> Column:
         return let(_number(text, pattern), lambda n: F.when(n.isNotNull(), of(n)))
 
+    first = F.when(has_any(text, none), years(F.lit(0), F.lit(None)))
     out = [
-        F.when(has_any(text, none), years(F.lit(0), F.lit(None))),
         between(rf"(\d+){year}[~-](\d+){year}"),
         between(rf"(\d+)[~-](\d+){nth}"),
         between(rf"{anchor}[^\d]{{0,3}}(\d+)[~-](\d+){year}"),
@@ -173,7 +173,8 @@ def experience_phrase(text: Column, bare_range: bool = False, rules: Rules = DEF
         one(rf"(\d+){year}(?:{about})", lambda n: years(F.greatest(F.lit(0), n - 1), n + 1)),
         one(rf"{anchor}(\d+){year}", lambda n: years(n, F.lit(None))),
     ]
-    return F.coalesce(*out)
+    named = F.contains(text, F.lit(year)) | F.contains(text, F.lit(nth))  # else no pattern can match: most texts are searched once
+    return F.coalesce(first, F.when(named, F.coalesce(*out)))
 
 
 def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules = DEFAULT, name: str = "experience") -> DataFrame:
@@ -205,7 +206,8 @@ def salary(text: Column, unit: str = SALARY_UNIT, over: str = "이상") -> Colum
     tight = F.regexp_replace(text, "[, ]", "")
     low, high, least = (_number(tight, rf"(\d+)[~-](\d+){unit}", 1), _number(tight, rf"(\d+)[~-](\d+){unit}", 2), _number(tight, rf"(\d+){unit}{over}"))
     pair = lambda a, b: F.struct(a.cast("int").alias("salary_min"), b.cast("int").alias("salary_max"))
-    return F.coalesce(F.when(low.isNotNull() & high.isNotNull(), pair(low, high)), pair(least, F.lit(None)))
+    named = F.contains(text, F.lit(unit[0]))  # else there is no unit, with blanks or without
+    return F.coalesce(F.when(named, F.coalesce(F.when(low.isNotNull() & high.isNotNull(), pair(low, high)), pair(least, F.lit(None)))), pair(F.lit(None), F.lit(None)))
 
 
 def tools(text: Column, words: Sequence[str] = DEFAULT.tools) -> Column:
