@@ -26,10 +26,10 @@ WINDOW = 3
 SURGE, DIVE = 80, 12  # characters in a window; on pages of short lines a half and an eighth of the highest
 PENALTY, BOOST = 0.1, 2.0  # weight of lengths in a named block, and in an article
 RIVAL = 0.25  # stretches of one part, and like articles, with this share of the heaviest are text too
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)", re.S)
 _SPACE = re.compile(r"\s+")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # also of camel case
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
 #: Element names.
@@ -38,6 +38,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset("nav footer aside menu select button dialog head object canvas".split())
 ARTICLES = frozenset(("article", "main"))
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Elements whose lines are an article's own, however short; menus are made of others.
+SOLID = (*HEADINGS, "p", "td", "th", "caption", "pre", "blockquote", "figcaption", "dt", "dd")
 #: Words of class, id and role names that make a block unlikely to be the article.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs topbar toolbar header masthead footer sidebar side aside widget comment comments disqus reply replies respond discussion reactions notice notices cookie cookies consent gdpr popup modal overlay alert share sharing social related recommended recommendations newsletter subscribe subscription signup login search searchbox form pagination pager copyright skip complementary contentinfo dialog".split()
@@ -62,22 +65,38 @@ class Part:
 def _named(attributes: str) -> bool:
     """Whether a name calls the block something other than the article: 'sidebar', not 'no-sidebar' or 'article-header'."""
     for a, b, c in _NAMED.findall(attributes):
-        for name in (a or b or c).lower().split():
-            words = _WORD.findall(name)
+        for name in (a or b or c).split():
+            words = [w.lower() for w in _WORD.findall(name)]
             found = NOT_TEXT.intersection(words)
             if found and LAYOUT.isdisjoint(words) and not (found == {"header"} and not OF_ARTICLE.isdisjoint(words)):
                 return True
     return False
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
-    """(text, characters outside links, part) per line in page order, and the parts."""
-    out: list[tuple[str, int, int]] = []
+def _unclosed(page: str, name: str) -> frozenset[int]:
+    """Where the start tags of a name are that have no end of their own."""
+    opened: list[int] = []
+    for mark in re.finditer(rf"<(/?){name}(?=[\s/>])", page, re.I):
+        if not mark[1]:
+            opened.append(mark.start())
+        elif opened:
+            opened.pop()
+    return frozenset(opened)
+
+
+def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], list[Part]]:
+    """(text, characters outside links, part, whether in a solid element) per line in page order, and the parts."""
+    out: list[tuple[str, int, int, bool]] = []
     parts = [Part(-1, "", False, 1.0)]
     text: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, int]] = []  # open elements, with whether they start a dropped block, and the part around them
     opened_names: Counter[str] = Counter()  # of the stack: an end without a start is seen without a search
     dropped = links = part = at = 0
+    unclosed: dict[str, frozenset[int]] = {}
+    article = re.compile(r"<(?:main|article)(?=[\s/>])", re.I)
+
+    def linked() -> bool:
+        return links > 0 and not any(opened_names[h] for h in HEADINGS)  # a title is text, linked or not
 
     def squeezed(pieces) -> str:
         return _SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
@@ -85,8 +104,8 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
     def flush() -> None:
         line = squeezed(x for x, _ in text)
         if line:
-            size = len(squeezed(x for x, linked in text if not linked)) if any(linked for _, linked in text) else len(line)
-            out.append((line, size, part))
+            size = len(squeezed(x for x, is_link in text if not is_link)) if any(is_link for _, is_link in text) else len(line)
+            out.append((line, size, part, any(opened_names[x] for x in SOLID)))
         text.clear()
 
     def leave(opened: tuple[str, bool, int]) -> None:
@@ -100,17 +119,17 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
     while at < len(page):
         mark = _MARK.search(page, at)
         if not dropped:
-            text.append((page[at : mark.start() if mark else len(page)], links > 0))
+            text.append((page[at : mark.start() if mark else len(page)], linked()))
         if not mark:
             break
         at = mark.end()
         if mark[1] and not dropped:
-            text.append((entities.escape(mark[1], False), links > 0))
+            text.append((entities.escape(mark[1], False), linked()))
         if not mark[3]:
             continue
         close, name, attributes = mark[2], mark[3].lower(), mark[4]
         if name == "br" and not dropped:
-            text.append((" ", links > 0))
+            text.append((" ", linked()))
         if name in BLOCKS and not dropped:
             flush()
         if close:
@@ -123,6 +142,14 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if name in DROPPED and not dropped:
+            if name not in unclosed:
+                unclosed[name] = _unclosed(page, name)
+            if mark.start() in unclosed[name]:  # it ends where an article starts; without one it is empty
+                flush()
+                start = article.search(page, at)
+                at = start.start() if start else at
+                continue
         if name in VOID or attributes.rstrip().endswith("/") and name not in BLOCKS:
             continue
         if name == "p" or name in BLOCKS and stack and stack[-1][0] == "p":
@@ -148,10 +175,10 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[Part]]:
     return out, parts
 
 
-def _joined(lines: list[tuple[str, int, int]], parts: list[Part]) -> list[int]:
+def _joined(lines: list[tuple[str, int, int, bool]], parts: list[Part]) -> list[int]:
     """Part that each part is read with: the main element's for its only article, if that has the most text."""
     sizes = [0] * len(parts)
-    for _, size, part in lines:
+    for _, size, part, _ in lines:
         sizes[part] += size
     with_ = list(range(len(parts)))
     like = Counter((x.parent, x.kind) for x in parts)
@@ -184,7 +211,7 @@ def main_text(page: str, window: int = WINDOW) -> str:
     lines, parts = lines_of(page)
     with_ = _joined(lines, parts)
     places: dict[int, list[int]] = {}
-    for i, (_, _, part) in enumerate(lines):
+    for i, (_, _, part, _) in enumerate(lines):
         places.setdefault(with_[part], []).append(i)
     found: list[tuple[float, int, int, int]] = []  # weight of the text, part, first and last line
     for part, own in places.items():
@@ -195,9 +222,12 @@ def main_text(page: str, window: int = WINDOW) -> str:
         if not runs:
             continue
         heavy = max(sum(sizes[a:b]) for a, b in runs)
-        # An article is not divided: it runs from the first surge to the last dive.
+        # An article is not divided: where it surges, all of it is text.
         runs = [r for r in runs if parts[part].kind or sum(sizes[r[0] : r[1]]) >= RIVAL * heavy]
         begin, end = runs[0][0], runs[-1][1]
+        if parts[part].kind:  # its own short lines at either end belong to it, lines of links don't
+            own_lines = [k for k, i in enumerate(own) if sizes[k] and (lines[i][3] or begin <= k < end)]
+            begin, end = own_lines[0], own_lines[-1] + 1
         found.append((heavy * parts[part].weight, part, own[begin], own[end - 1]))
     if not found:
         return ""

@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from listwright.llm import divergence, licenses, spelling
+from listwright.llm import divergence, html_text, licenses, spelling
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -254,3 +254,78 @@ def test_the_search_spends_a_surplus_and_a_deficit():
     asking, found = trie.near(rows, 1, 1)
     names = trie.table.column("word").to_pylist()
     assert sorted((int(a), names[b]) for a, b in zip(asking, found, strict=True)) == [(0, "teaspeon"), (0, "teaspoon")]
+
+
+# Pages
+
+
+LONG = "A paragraph of the article that is long enough to be taken for text by any window."
+PARAGRAPHS = [f"{LONG} {i}" for i in range(6)]
+
+
+def as_html(paragraphs):
+    return "".join(f"<p>{p}</p>" for p in paragraphs)
+
+
+@pytest.mark.parametrize("stray", ['<p title=5">', "<p class=it's>", '<td width=5">', "<p data-x='5\">", '<p title = "a>b">', "<p title='\">\">'>", '<p "x>'])
+def test_stray_quotes_in_attributes(stray):
+    body = as_html(PARAGRAPHS)
+    tag = stray[1:].split()[0]
+    page = f"<body><article>{as_html(PARAGRAPHS[:2])}{stray}{PARAGRAPHS[2]}</{tag}>{as_html(PARAGRAPHS[3:])}</article></body>"
+    got = html_text.main_text(page)
+    if stray == "<p title='\">\">'>" or '="' in stray or "= " in stray or stray in ('<p title=5">', "<p class=it's>", '<td width=5">', "<p data-x='5\">", '<p "x>'):
+        assert got == "\n".join(PARAGRAPHS)
+    assert html_text.main_text(f"<article>{body}</article>") == "\n".join(PARAGRAPHS)
+
+
+def test_unclosed_dropped_elements():
+    whole, body = "\n".join(PARAGRAPHS), as_html(PARAGRAPHS)
+    menu = "<ul><li><a href=x>one</a></li><li><a href=y>two</a></li></ul>"
+    assert html_text.main_text(f"<body><nav>{menu}<main>{body}</main></body>") == whole
+    assert html_text.main_text(f"<body><nav>{menu}</nav><aside>side text <article>{body}</article></body>") == whole
+    assert html_text.main_text(f"<body><div>{body}</div><footer>foot</body>").startswith(whole)
+    assert html_text.main_text(f"<body><nav>{menu}<nav>{menu}</nav><main>{body}</main></body>") == whole
+    assert html_text.main_text(f"<body><main>{body}</main><aside><article>{LONG * 30}</article></aside></body>") == whole  # closed: all of it goes
+
+
+def test_an_article_is_whole():
+    cells = "".join("<tr>" + "".join(f"<td>{r * 4 + c}</td>" for c in range(4)) + "</tr>" for r in range(8))
+    short = "<h1>T</h1><p>x</p><p>y</p>"
+    for element in ("article", "main"):
+        got = html_text.main_text(f"<body><nav><a href=a>menu</a></nav><{element}>{short}{as_html(PARAGRAPHS)}<table>{cells}</table></{element}><footer>foot</footer></body>")
+        assert got == "\n".join(["T", "x", "y", *PARAGRAPHS, *map(str, range(32))])
+    linked = f"<article><h2><a href=x>Title in a link</a></h2>{as_html(PARAGRAPHS)}<ul><li><a href=a>more</a></li><li><a href=b>and more</a></li></ul></article>"
+    assert html_text.main_text(linked) == "\n".join(["Title in a link", *PARAGRAPHS])
+
+
+def test_names_in_camel_case():
+    whole, body = "\n".join(PARAGRAPHS), as_html(PARAGRAPHS)
+    for name in ("siteFooter", "commentList", "adBox", "relatedPosts"):
+        assert html_text.main_text(f"<body><article>{body}<div class='{name}'><p>{LONG} elsewhere</p></div></article></body>") == whole
+    for name in ("articleHeader", "noSidebar", "hasSidebar"):
+        assert html_text.main_text(f"<body><div class='{name}'>{body}</div></body>") == whole
+
+
+def brute_stretches(sizes, window):
+    """Surge and dive by the definition: from a high window both ways to where windows dive."""
+    blocks = [sum(sizes[i : i + window]) for i in range(max(1, len(sizes) - window + 1))]
+    surge, dive = min(html_text.SURGE, max(blocks) / 2), min(html_text.DIVE, max(blocks) / 8)
+    out = set()
+    for i, b in enumerate(blocks):
+        if b and b >= surge and b >= dive:
+            begin = end = i
+            while begin and blocks[begin - 1] and blocks[begin - 1] >= dive:
+                begin -= 1
+            while end + 1 < len(blocks) and blocks[end + 1] and blocks[end + 1] >= dive:
+                end += 1
+            out.add((begin, min(end + window, len(sizes))))
+    return sorted(out)
+
+
+def test_stretches_by_definition():
+    rng = random.Random(9)
+    for _ in range(300):
+        sizes = [rng.choice([0, 0, 1, 5, 40, 200]) for _ in range(rng.randint(1, 30))]
+        for window in (1, 3, 5):
+            if any(sizes):
+                assert html_text._stretches(sizes, window) == brute_stretches(sizes, window)
