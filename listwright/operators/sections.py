@@ -34,7 +34,14 @@ def section_lines(lines: DataFrame, key: str, rules: Rules = DEFAULT) -> DataFra
     return rows.withColumn("section", F.coalesce(F.last("header", ignorenulls=True).over(so_far), F.lit("none"))).where("header is null").select(key, "pos", "line", "section")
 
 
-def bullets(lines: Column, rules: Rules = DEFAULT) -> Column:
+def bullets(sectioned: DataFrame, key: str, rules: Rules = DEFAULT) -> DataFrame:
+    """(key, section, bullets) of lines that section_lines has sectioned, where they are rows already."""
+    b = sectioned.where(F.col("section").isin("req", "pref")).withColumn("line", _bullet(F.col("line"), rules)).where("line is not null")
+    b = b.withColumn("n", F.row_number().over(Window.partitionBy(key, "section").orderBy("pos"))).where(F.col("n") <= rules.bullets_each)
+    return b.groupBy(key, "section").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]).alias("bullets"))
+
+
+def bullets_of(lines: Column, rules: Rules = DEFAULT) -> Column:
     """struct(req, pref) of an array of lines: the first bullets_each bullets of either section, in order.
 
     One pass over the array with the open section as state, so that a body stays in its row: nothing

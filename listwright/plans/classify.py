@@ -15,7 +15,7 @@ def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     spark = postings.sparkSession
     both = F.concat_ws("\n", "title", "raw_html")
     head = F.concat_ws("\n", "title", X.without_tail(F.col("raw_html"), rules))
-    rows = X.with_experience(postings, both, F.col("title"), rules, "_y").withColumn("_b", sections.bullets(F.split("raw_html", "\n"), rules)).select(
+    rows = X.with_experience(postings, both, F.col("title"), rules, "_y").withColumn("_b", sections.bullets_of(F.split("raw_html", "\n"), rules)).select(
         "_b", F.col("id").alias("job_id"), "company_name", "title", X.category(F.col("title"), rules).alias("primary_category"), "_y", X.salary(both).alias("_s"), X.work_type(both, rules).alias("work_type"),
         X.tools(both, rules.tools).alias("tools_used"), X.tags(head, rules.certificates).alias("preferred_certifications"), X.tags(head, rules.skills).alias("preferred_skills_tags"),
     )

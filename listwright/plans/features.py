@@ -146,7 +146,7 @@ def section_bullets(spark, sf_dir):
     """One fold over the lines of each body; the plan has no exchange."""
     header = F.array(F.lit("Requirements"), F.lit("Preferences"), F.lit("Other"))
     line = lambda x, i: F.when(i % 5 == 0, F.get(header, F.floor(i / 5).cast("int") % 3)).when(i % 3 == 1, F.concat(F.lit("- "), x)).otherwise(x)
-    found = posts(spark, sf_dir).select("id", S.bullets(F.transform(F.split("raw", "\n"), line), LATIN).alias("b"))
+    found = posts(spark, sf_dir).select("id", S.bullets_of(F.transform(F.split("raw", "\n"), line), LATIN).alias("b"))
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"b.{s}").alias("bullets")) for s in ("req", "pref")])
     return found.select("id", F.explode(each).alias("e")).where(F.size("e.bullets") > 0).select("id", "e.section", F.array_join("e.bullets", "|").alias("bullets"))
 

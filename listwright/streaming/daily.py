@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from listwright.config import DEFAULT, Rules
 from listwright.operators.changes import merge_batch
-from listwright.sources import snapshots
+from listwright.sources import buckets, snapshots
 
 
 def landed(spark: SparkSession, path: str, schema: str, late: str = "2 days") -> DataFrame:
@@ -39,6 +39,21 @@ def merge_stream(batches: DataFrame, master_path: str, checkpoint: str, prepare:
     return batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def merge_stream_in_place(batches: DataFrame, table: str, n_buckets: int, checkpoint: str, sources: Sequence[str] = (), prepare: Callable[[DataFrame], DataFrame] = lambda b: b, done: Callable[[int, list[tuple]], None] = lambda batch_id, counts: None, rules: Rules = DEFAULT) -> StreamingQuery:
+    """Merge each micro-batch into a bucketed master: only the buckets that it touches are read and written.
+
+    done gets each batch's number and the counts of its merge, from the write itself. A batch that is
+    replayed after a failure finds its rows in place and changes nothing.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark, run_ts = batch.sparkSession, F.current_timestamp().cast("timestamp_ntz")
+        rows = snapshots.keep(prepare(batch), "batch")  # read for its buckets, then merged
+        done(batch_id, [] if rows.isEmpty() else buckets.merge_in_place(spark, table, rows, run_ts, n_buckets, sources, rules))
+
+    return batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def daily_counts(events: DataFrame, at: str = "ts", source: str = "source", late: str = "1 day") -> DataFrame:
     """(day, source, n): tumbling days; late rows count until the watermark passes."""
     return events.withWatermark(at, late).groupBy(F.window(at, "1 day").alias("w"), F.lower(source).alias("source")).agg(F.count("*").alias("n")).select(F.to_date("w.start").alias("day"), "source", "n")

@@ -148,7 +148,7 @@ def test_sections_in_one_fold(spark):
     rng = random.Random(3)
     lines = ["자격요건", "우대사항", "복리후생", "- 회계 결산 경험자", "* 공인회계사 우대합니다", "• short", "1. 더존 사용 가능자 누구나", "6. 여섯째 항목입니다", "그냥 문장입니다", "- mail a@b.com 으로 연락", "", "  - 앞에 빈칸이 있는 항목  ", "-" + "긴" * 120]
     bodies = ["\n".join(rng.choices(lines, k=rng.randint(0, 40))) for _ in range(80)]
-    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)] + [(99, None)], "id int, body string").select("id", sections.bullets(F.split("body", "\n")).alias("b"))
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)] + [(99, None)], "id int, body string").select("id", sections.bullets_of(F.split("body", "\n")).alias("b"))
     assert "Exchange" not in plan_of(df) and "Generate" not in plan_of(df) and "Window" not in plan_of(df)
     got = {r.id: r.b.asDict() for r in df.collect()}
     assert got.pop(99) == {"req": [], "pref": []}

@@ -22,3 +22,19 @@ def test_merge_stream(spark, tmp_path):
     stream = daily.landed(spark, landing, f"{POSTING}, landed_at timestamp")
     daily.merge_stream(stream, master, str(tmp_path / "ck"), lambda b: b.drop("landed_at")).awaitTermination()
     assert [(r.id, r.title) for r in snapshots.read_latest(spark, master).collect()] == [("1", "t")]
+
+
+def test_merge_stream_in_place(spark, tmp_path):
+    import uuid
+
+    from listwright.schema import MASTER, POSTING
+    from listwright.sources import buckets, snapshots
+
+    name, landing, seen = f"m_{uuid.uuid4().hex}", str(tmp_path / "landing"), []
+    buckets.open_master(spark, name, snapshots.scratch(spark, "master"), MASTER, 4)
+    for title in ("t", "u", "u"):
+        rows = [(str(i), "s", "c", title if i == 1 else "same", "u", None, None, "ACTIVE", "body", None, None, None) for i in range(3)]
+        spark.createDataFrame(rows, POSTING).withColumn("landed_at", F.current_timestamp()).write.mode("overwrite").json(landing)
+        daily.merge_stream_in_place(spark.readStream.schema(f"{POSTING}, landed_at timestamp").json(landing), name, 4, str(tmp_path / f"ck{len(seen)}"), ["s"], lambda b: b.drop("landed_at"), lambda i, counts: seen.append(counts)).awaitTermination()
+    assert [{k: n for _, k, n, _ in counts} for counts in seen] == [{"new": 3}, {"modified": 1, "unchanged": 2}, {"unchanged": 3}]
+    assert {r.id: r.title for r in spark.table(name).collect()} == {"0": "same", "1": "u", "2": "same"}
