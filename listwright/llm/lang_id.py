@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import small_batches
+from .store import clash_free, small_batches
 from .words import slices
 
 ORDER = 4
@@ -188,6 +188,7 @@ def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG, la
         order -= 1
 
 
+@clash_free("_guess")
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """documents with lang_pred, score and bits_per_byte.
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .spelling import LOWER, UPPER
-from .store import small_batches
+from .store import clash_free, small_batches
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -229,6 +229,7 @@ def words_of(text: Column) -> Column:
     return F.trim(F.regexp_replace(low, NO_WORD, " "))
 
 
+@clash_free("_joined")
 def scan_licenses(docs: DataFrame, own: Sequence[Rule] | None = None, stems: Sequence[str] = STEMS, text: str = "text", words: str = "n_words", detections: str = "detections") -> DataFrame:
     """docs with the number of words of its text and its detections, array of struct(start, end, label,
     weight, base), in order of start; places are words from 0, end excluded.
@@ -247,9 +248,7 @@ def scan_licenses(docs: DataFrame, own: Sequence[Rule] | None = None, stems: Seq
         for texts in batches:
             yield texts.map(lambda t: [{"start": s, "end": e, "label": label, "weight": w, "base": base} for s, e, _, _, base, label, w in scanner.scan(t)] if t else [])
 
-    joined = "joined"
-    while joined in docs.columns:
-        joined += "_"
+    joined = "_joined"
     rows = docs.withColumn(joined, words_of(F.col(text)))
     padded = F.concat(F.lit(" "), joined, F.lit(" "))
     met = F.lit(False)

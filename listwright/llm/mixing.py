@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import clash_free, keep
 
 BINS = 4096
 CUT_ROWS = 20_000  # of the bin that is divided by document; larger ones are split into BINS again
@@ -89,6 +89,7 @@ def _cuts(keyed: DataFrame, weights: list[float], share: float, most: float) ->
         sums = keep(inside.groupBy("source", _bin(level).alias("bin")).agg(F.sum("size").alias("size"), F.count("*").alias("n")), "mix-sums")
 
 
+@clash_free("_key", "_bin", "_s", "_cut", "_n", "_left", "_before", "_epochs", "_prior")
 def mix_sources(documents: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, quality: Column | None = None, seed: str = "mix") -> DataFrame:
     """documents with size, source_size, target and taken (words the mix takes, repeats counted).
 

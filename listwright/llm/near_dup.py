@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop_kept, keep, small_batches
+from .store import clash_free, drop_kept, keep, small_batches
 from .words import Words, grams, mix, slices, within_rows
 
 COORDS, MATCHES = 96, 59  # at similarity 0.8 a pair agrees on fewer than 59 with probability 8e-6
@@ -309,6 +309,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     return out.select("doc_id", F.col("n").alias("n_shingles"), "text_key", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("component_id").isNotNull() | F.col("text_key").eqNullSafe(F.col("lead")))).alias("kept"))
 
 
+@clash_free("_key", "_id", "_text")
 def drop_near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """documents without near-duplicates: of each component the document with the smallest id.
 

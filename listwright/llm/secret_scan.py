@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import keep, small_batches
+from .store import clash_free, keep, small_batches
 from .words import slices
 
 SAMPLE_DOCS, CONTEXT_WORDS = 2000, 40
@@ -320,6 +320,7 @@ def find_secrets(text: str, scanner: Scanner, keep_score: float = KEEP_SCORE) ->
     return len(found), [s for s in scored if s[2] >= keep_score]
 
 
+@clash_free("_scan")
 def scan_secrets(documents: DataFrame, labelled: list[tuple[str, int, int, bool]] | None = None, mask: str = "[secret]") -> DataFrame:
     """documents with n_candidates, secrets (array of start, end, score) and redacted.
 

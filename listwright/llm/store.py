@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def clash_free(*internal: str) -> Callable:
+    """For operators on a table: columns of the caller that are named like the operator's intermediate
+    ones, in any case, have other names while it runs and come back as they were."""
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(rows: DataFrame, *args, **kwargs) -> DataFrame:
+            taken, other = {c.lower() for c in (*rows.columns, *internal)}, {}
+            for c in rows.columns:
+                if c.lower() in internal:
+                    name = c
+                    while name.lower() in taken:
+                        name += "_"
+                    taken.add(name.lower())
+                    other[c] = name
+            out = operator(rows.withColumnsRenamed(other) if other else rows, *args, **kwargs)
+            return out.withColumnsRenamed({name: c for c, name in other.items()}) if other else out
+
+        return run
+
+    return wrap
+
+
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -329,3 +329,32 @@ def test_stretches_by_definition():
         for window in (1, 3, 5):
             if any(sizes):
                 assert html_text._stretches(sizes, window) == brute_stretches(sizes, window)
+
+
+# Names
+
+
+INTERNAL = ["_key", "_bin", "_s", "_cut", "_n", "_left", "_before", "_epochs", "_prior", "_hit", "_listed", "_scan", "_guess", "_id", "_text", "_joined", "_HIT"]
+
+
+def test_columns_named_like_intermediate_ones_stay(spark):
+    from listwright.llm import lang_id, mixing, near_dup, secret_scan, url_filter
+
+    rows = [(i, f"some words of text number {i} and more of them password=hunter{i}x " * 3, "en", f"s{i % 2}", 90) for i in range(8)] + [(8, None, "en", None, 0)]
+    docs = spark.createDataFrame(rows, f"{DOCS}, n_chars long")
+    named = docs.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in INTERNAL[:-1]})
+    urls = spark.createDataFrame([(1, "https://x.com/en/1"), (2, None)], "doc_id long, url string")
+    model = lang_id.learn(docs)
+    runs = {
+        "mix": lambda d: mixing.mix_sources(d, [3.0, 1.0]), "url": lambda d: url_filter.judge_urls(d), "secret": lambda d: secret_scan.scan_secrets(d, labelled=[("password=abcdef1", 9, 16, True), ("name=plainword", 5, 14, False)] * 6),
+        "language": lambda d: lang_id.predict(d, model), "near": lambda d: near_dup.drop_near_duplicates(d), "license": lambda d: licenses.scan_licenses(d),
+    }
+    for name, run in runs.items():
+        plain, given = (urls, urls.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in INTERNAL[:9]}).withColumn("_HIT", F.concat(F.lit("_HIT:"), F.col("doc_id")))) if name == "url" else (docs, named)
+        out = run(given)
+        own = [c for c in given.columns if c not in plain.columns]
+        got = out.collect()
+        assert got and all(r[c] == f"{c}:{r.doc_id}" for r in got for c in own), name
+        rest = [c for c in out.columns if c not in own]
+        assert sorted(map(str, out.select(*rest).collect())) == sorted(map(str, run(plain).select(*rest).collect())), name
+    assert lang_id.predict(docs.limit(0), model).count() == 0
