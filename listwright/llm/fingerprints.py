@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep, small_batches
+from .store import drop_kept, keep, small_batches
 from .words import mix, window_min
 
 K, W = 8, 16
 PART_BYTES = 8 << 20  # of text in a sorted part, about
+MOST_PARTS = 1 << 18  # bounds sent to the executors (2 MB); beyond 2 TB parts have more bytes instead
+ROW_BYTES = 32  # that a row counts beside its text
 SLICES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _POINT = np.uint64(0xBF58476D1CE4E5B9)
@@ -69,22 +71,39 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def _parts(documents: DataFrame, part_bytes: int) -> tuple[np.ndarray, dict[int | None, int]]:
+    """(greatest id of each part in rising order, number of slices of each id with more than a part's bytes).
+
+    Bytes by id are written in ranges of ids; a running sum in each range, after the sum of the
+    ranges before it, gives each id its part. Both results have about MOST_PARTS rows at most.
+    """
+    bytes_ = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    by_id = documents.select("doc_id", bytes_.alias("bytes")).groupBy("doc_id").agg(F.sum("bytes").alias("bytes"))
+    by_id = keep(by_id.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ids")
+    ranges = by_id.groupBy("range").agg(F.sum("bytes").alias("bytes"))  # a row per shuffle partition
+    limit = max(part_bytes, -(-(ranges.agg(F.sum("bytes")).first()[0] or 0) // MOST_PARTS))
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.sum("bytes").over(Window.partitionBy("range").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("bytes")
+    placed = by_id.join(F.broadcast(ranges.select("range", before.alias("before"))), "range").where("doc_id IS NOT NULL")
+    placed = placed.select("doc_id", F.floor((F.col("before") + inside) / limit).alias("part"))
+    bounds = placed.groupBy("part").agg(F.max("doc_id").alias("last")).toPandas()["last"].to_numpy(np.int64)
+    heavy = by_id.where(F.col("bytes") > limit).select("doc_id", F.least(F.lit(SLICES), F.ceil(F.col("bytes") / limit)).alias("n")).collect()
+    drop_kept(by_id)
+    return np.sort(bounds), {r.doc_id: r.n for r in heavy}
+
+
 def with_next_text(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(part, halo, doc_id, text) in sorted partitions where the next text is in the row below.
 
-    Rows are dealt into parts of doc_id, by quantiles of all ids, and sorted in descending order
-    inside each; the number of parts grows with the bytes. An id with more than part_bytes of text
-    (or null) has parts of its own, by ranges of a hash of the text. Every part also gets, as a
-    halo row at its end, the first row of the part that follows it; the last part gets the first
-    row of all. What comes to the driver is a number or two for each part.
+    Rows are dealt into parts, ranges of doc_id with part_bytes of text each, and sorted in descending
+    order inside each. An id with more text than a part (or null) has parts of its own, by ranges of
+    a hash of the text. Every part also gets, as a halo row at its end, the first row of the part that
+    follows it; the last part gets the first row of all. What is sent to the executors is a number or
+    two for each part, of which there are about MOST_PARTS at most; larger inputs have larger parts.
     """
-    sized = documents.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
-    by_id = sized.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"))
-    parts = max(1, (sized.agg(F.sum("bytes")).first()[0] or 0) // part_bytes)
-    edges = sized.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 4 * parts))).first()[0]
-    heavy = {r.doc_id: min(SLICES, -(-r.bytes // part_bytes)) for r in by_id.where(F.col("bytes") > part_bytes).collect()}  # at most parts rows
+    bounds, heavy = _parts(documents, part_bytes)
     own = sorted(x for x in heavy if x is not None)
-    bounds = np.unique(np.array([*(edges or []), *own, *(x - 1 for x in own)], np.int64))
+    bounds = np.unique(np.array([*bounds[:-1], *own, *(x - 1 for x in own)], np.int64))
     held = documents.sparkSession.sparkContext.broadcast((bounds, np.array(own, np.int64), np.array([heavy[x] for x in own], np.int64), heavy.get(None, 1)))
 
     @F.pandas_udf("long")
@@ -100,11 +119,11 @@ def with_next_text(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFr
 
     tie = F.xxhash64("text")
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(part("doc_id", tie).alias("part"), "doc_id", "text")
-    tops = keep(rows.groupBy("part").agg(F.max(F.struct("doc_id", tie.alias("tie"))).alias("top")), "tops")  # a row per part
+    tops = keep(rows.groupBy("part").agg(F.max(F.struct("doc_id", tie.alias("tie"))).alias("top")), "tops")  # a row per part: see MOST_PARTS
     upward = Window.orderBy("part")
     lowest = F.min("part").over(upward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     to = tops.select(F.col("part").alias("p"), "top", F.coalesce(F.lead("part").over(upward), lowest).alias("to"))
-    first = rows.join(to, (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (tie == F.col("top.tie")))
+    first = rows.join(F.broadcast(to), (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (tie == F.col("top.tie")))
     first = first.groupBy("to").agg(F.max(F.struct("text", "doc_id")).alias("head"))
     halo = keep(first.select(F.col("to").alias("part"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.lit(True).alias("halo")), "halo")
     both = rows.withColumn("halo", F.lit(False)).unionByName(halo)

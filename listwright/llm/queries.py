@@ -67,7 +67,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    positions = F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions")
+    return fingerprint_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", positions)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
