@@ -12,21 +12,24 @@ coded once for each language and counts as often as it is there.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import clash_free, small_batches
 from .words import slices
 
 ORDER = 4
-PER_LANG, LANG_BYTES = 800, 8 << 20  # rows and bytes of a language that training takes, about
-MOST_BYTES = 256 << 20  # of a model that is sent to the executors; a larger one loses its longest contexts
+PER_LANG, LANG_BYTES = 800, 8 << 20  # pieces and bytes of a language that training takes, about
+ALL_BYTES = 32 << 20  # of all languages together, about: with more languages each has fewer
+PIECE = 16 << 10  # bytes of a text that are taken or left together
 SLICE = 1 << 20  # bytes of text whose distinct runs are coded at once
 START = 10  # the byte that stands before a text
 
@@ -86,10 +89,10 @@ class Tree:
             pairs.append(pair)
             counts.append(count)
             contexts.append(context)
-            totals.append(np.bincount(at, weights=count, minlength=len(context)))
-            distinct.append(np.bincount(at, minlength=len(context)))
+            totals.append(np.bincount(at, weights=count, minlength=len(context)).astype(np.int64))
+            distinct.append(np.bincount(at, minlength=len(context)).astype(np.int32))
             below = counts[k - 1][np.searchsorted(pairs[k - 1], pair % 256**k)] if k else np.zeros(len(pair))
-            shadowed.append(np.bincount(at, weights=below, minlength=len(context)))
+            shadowed.append(np.bincount(at, weights=below, minlength=len(context)).astype(np.int64))
         return Tree(pairs, counts, contexts, totals, distinct, shadowed)
 
     def bits(self, grams: np.ndarray, base: int) -> np.ndarray:
@@ -118,9 +121,6 @@ class Tree:
         cost[left] += np.log2(np.maximum(base - gone_q[left], 1))
         return cost
 
-    def size(self) -> int:
-        return sum(x.nbytes for part in (self.pairs, self.counts, self.contexts, self.totals, self.distinct, self.shadowed) for x in part)
-
 
 @dataclass(frozen=True)
 class Model:
@@ -144,48 +144,72 @@ class Model:
         return out
 
 
-def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES, most_bytes: int = MOST_BYTES) -> Model:
+def _cut(data: np.ndarray, offsets: np.ndarray, chosen: list[list[int]], piece: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The chosen pieces of each text, as texts of their own, about SLICE bytes at a time."""
+    spans = [(a + i * piece, min(a + (i + 1) * piece, b)) for a, b, own in zip(offsets[:-1], offsets[1:], chosen, strict=True) for i in own]
+    step = max(1, SLICE // piece)
+    for at in range(0, len(spans), step):
+        own = spans[at : at + step]
+        yield np.concatenate([data[a:b] for a, b in own]), np.cumsum([0, *(b - a for a, b in own)])
+
+
+def training_sample(documents: DataFrame, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES, all_bytes: int = ALL_BYTES, piece: int = PIECE) -> DataFrame:
+    """(lang, text, chosen): texts with the numbers of their pieces that training takes.
+
+    A language's distinct texts are divided into pieces of that many bytes; a hash of text and number
+    takes about per_lang of them and about lang_bytes, or its even part of all_bytes if that is less. One piece
+    of every language that has a letter or sign is always taken, so none is unlearned, however few and long its texts are.
+    """
+    labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("text").alias("key"))
+    key, size = F.col("key"), F.octet_length("text")
+    pieces = lambda n: F.greatest(F.ceil(n / piece), F.lit(1)).cast("int")
+    texts = labelled.groupBy("lang", "key").agg(F.max(size).alias("bytes"))
+    totals = texts.groupBy("lang").agg(F.sum(pieces(F.col("bytes"))).alias("pieces"), F.greatest(F.sum("bytes"), F.lit(1)).alias("bytes"), F.min(F.when(F.col("bytes") > 0, F.col("key"))).alias("least"))
+    part = F.least(F.lit(float(lang_bytes)), F.lit(float(all_bytes)) / F.count("*").over(Window.partitionBy()))  # over a row per language
+    share = totals.select("lang", "least", F.least(F.lit(float(per_lang)) / F.col("pieces"), part / F.col("bytes")).alias("share"))
+    taken = lambda i: (F.pmod(F.xxhash64(key, i), F.lit(1 << 62)) < F.col("share") * float(1 << 62)) | ((i == 0) & (key == F.col("least")))
+    rows = labelled.join(F.broadcast(share), "lang")  # one row per language
+    rows = rows.select("lang", "text", F.filter(F.sequence(F.lit(0), pieces(size) - 1), taken).alias("chosen"))
+    return rows.where(F.size("chosen") > 0).distinct()
+
+
+def learn(documents: DataFrame, order: int = ORDER, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES, all_bytes: int = ALL_BYTES) -> Model:
     """A model from labelled documents outside the held-out part.
 
-    About per_lang rows of each language and at most about lang_bytes of text, chosen by a hash of
-    doc_id and text, are counted, equal texts once (all, if there are fewer): the bound of the
-    training sample. Counting is distributed; what comes to the driver are counts of distinct runs
-    of order + 1 bytes, no more than the sample has. A model of over most_bytes loses its longest
-    contexts.
+    What is counted is training_sample's: equal texts once, whole texts of up to PIECE bytes, pieces of
+    longer ones. A language's tree is built in one task, from no more than its sample; all have
+    contexts up to order bytes. The driver gets the trees, which all_bytes bounds whatever the number of
+    documents and languages: at most 44 bytes of tree for a byte of the sample and each context length. Without
+    labelled rows the model has no language.
     """
     small_batches(documents.sparkSession)
-    labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    bytes_ = F.greatest(F.sum(F.octet_length("text")), F.lit(1))
-    share = labelled.groupBy("lang").agg(F.least(F.lit(float(per_lang)) / F.count("*"), F.lit(float(lang_bytes)) / bytes_).alias("share"))
-    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(share), "lang")  # one row per language
-    chosen = chosen.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lang = np.array(part.column("lang").to_pylist(), object)
                 for name in sorted(set(lang)):
-                    data, offsets = _bytes(part.column("text").filter(pa.array(lang == name)))
-                    gram, n = np.unique(_contexts(data, offsets, START, 256, order), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
-
-    grams = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(grams["lang"].unique())
-    gram, n = grams["gram"].to_numpy(np.int64), grams["n"].to_numpy()
+                    own = part.filter(pa.array(lang == name))
+                    for data, offsets in _cut(*_bytes(own.column("text")), own.column("chosen").to_pylist(), PIECE):
+                        gram, n = np.unique(_contexts(data, offsets, START, 256, order), return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        tree = Tree.of(frame["gram"].to_numpy(np.int64), frame["n"].to_numpy(), order)
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1].to_numpy(), "tree": [pickle.dumps(tree)]})
+
+    sample = training_sample(documents, per_lang, lang_bytes, all_bytes)
+    grams = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    built = {r.lang: pickle.loads(bytes(r.tree)) for r in grams.groupBy("lang").applyInPandas(build, "lang string, tree binary").collect()}
+    langs = sorted(built)
     used = np.zeros(256, bool)
     used[START] = True
-    for back in range(order + 1):
-        used[(gram >> (8 * back)) & 255] = True
+    for tree in built.values():
+        used[tree.pairs[0]] = True  # every byte is the last of a run
     symbol = np.arange(256)
     if not used.all():
         symbol[~used] = np.flatnonzero(~used)[0]
-    base = int(used.sum()) + 1
-    rows = [(grams["lang"] == lang).to_numpy() for lang in langs]
-    while True:
-        trees = [Tree.of(gram[own] % 256 ** (order + 1), n[own], order) for own in rows]
-        if order == 1 or sum(t.size() for t in trees) <= most_bytes:
-            return Model(langs, symbol, base, order, trees)
-        order -= 1
+    return Model(langs, symbol, int(used.sum()) + 1, order, [built[x] for x in langs])
 
 
 @clash_free("_guess")

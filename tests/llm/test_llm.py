@@ -391,11 +391,31 @@ def test_ppm_code_lengths(spark):
     used = [r.text for r in df.where(~lang_id.is_held_out(F.col("doc_id"))).collect()]
     model = lang_id.learn(df)
     bits = brute_ppm(sorted(set(used)), 4, model.base)
-    assert lang_id.learn(df, most_bytes=1).order == 1
+    assert lang_id.learn(df, all_bytes=1).order == 4
     for probe in ("the land", "zq!", "a", "Ünd"):
         assert abs(model.bits(pa.array([probe]))[0, 0] - bits(probe)) < 1e-3 * (1 + bits(probe))
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(12)
+    tongue = lambda i, n: " ".join("".join(random.Random(i * 100 + rng.randrange(30)).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n))
+    rows = [(d, tongue(i, 120), f"l{i:03d}", "s", 1) for i in range(100) for d in (100 * i + 1, 100 * i + 2, 100 * i + 3, 100 * i + 4)]
+    hot = [(200_000 + i, "same old text of a hot language", "hot", "s", 1) for i in range(3000)]
+    df = spark.createDataFrame(rows + hot, DOCS).where(~lang_id.is_held_out(F.col("doc_id")))
+    whole = " ".join(f"größe{rng.randrange(10**6)} straße" for _ in range(2000))
+    long = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.repeat(F.concat(F.lit(whole), F.col("id")), 50_000_000 // len(whole)).alias("text"), F.lit("long").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
+    df = df.unionByName(long)
+    taken = {r.lang: (r.n, r.b) for r in lang_id.training_sample(df, all_bytes=10 << 20).groupBy("lang").agg(F.sum(F.size("chosen")).alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    assert len(taken) == 102 and taken["hot"] == (1, 31)
+    assert 1 <= taken["long"][0] <= 30 and taken["long"][1] > 40_000_000  # of 3,000 pieces, about 6 for its part
+    model = lang_id.learn(df, all_bytes=10 << 20)
+    assert model.order == 4 and len(model.langs) == 102
+    held = frame(spark, ["straße größe12", "same old text", *(tongue(i, 10) for i in range(0, 100, 9))])
+    got = [r.lang_pred for r in lang_id.predict(held, model).orderBy("doc_id").collect()]
+    assert got == ["long", "hot", *(f"l{i:03d}" for i in range(0, 100, 9))]
+    assert lang_id.training_sample(df, per_lang=0).select("lang").distinct().count() == 102
+
+
 def test_language_id(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = lang_id.learn(df)
