@@ -191,6 +191,17 @@ def test_urls_by_several_cascades(spark):
     assert all((r.verdict == "block") == (r.page_id % 600 % 7 == 0) for r in rows)
 
 
+def test_urls_by_a_table_of_hosts(spark):
+    listed = spark.range(100_000).select(F.concat(F.lit("Host"), F.col("id") * 3, F.lit(".example.NET")).alias("host"))
+    listed = listed.unionByName(listed.limit(10)).unionByName(spark.createDataFrame([(None,), ("",)], "host string"))
+    pages = spark.range(30_000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://hOST"), F.col("id"), F.lit(".Example.net/a")).alias("url"))
+    pages = pages.unionByName(spark.createDataFrame([(-1, None), (-2, "https:///x"), (-3, "https://cheap-shop.org/"), (-4, "https://host3.example.net/de/8")], "page_id long, url string"))
+    rows = url_filter.judge_urls(pages, max_bytes=20_000, listed=listed).select("page_id", "rule", "verdict").collect()
+    assert len(rows) == 30_004 and all((r.verdict == "block") == (r.page_id % 3 == 0) for r in rows if r.page_id >= 0)
+    assert sorted((r.page_id, r.rule, r.verdict) for r in rows if r.page_id < 0) == [(-4, "example.net/de/8", "block"), (-3, None, "block"), (-2, None, "allow"), (-1, None, "allow")]
+    assert url_filter.judge_urls(pages, listed=listed.limit(0)).where("verdict = 'block'").count() == 2
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(20000).select(F.xxhash64("id").alias("key"), (F.col("id") % 13 == 0).alias("listed"))
     levels = url_filter.build_cascade(keys)
