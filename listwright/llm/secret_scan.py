@@ -26,15 +26,25 @@ from pyspark.sql import functions as F
 from .store import clash_free, keep, small_batches
 from .words import slices
 
-SAMPLE_DOCS, CONTEXT_WORDS = 2000, 40
+SAMPLE_DOCS, CONTEXT_WORDS, FINDINGS = 2000, 40, 8
 TREES, DEPTH = 31, 9
 KEEP_SCORE = 0.5
+SCORED_AT_ONCE = 4096  # candidates of one text
 CLASSES = 28  # a-z, digits, the rest
+_BLANK, _VALUE = r"[^\S\r\n]*", r"[\w+/=.!@#$%^&*~-]"
+_NAME = r"(?:(?<!\w)|(?<=_)|(?<=[a-z])(?=[A-Z]))(?i:passwords?|passwd|passphrase|pwd|passwort|пароль|contraseña|密码|secret|token|credential|auth|api[ _-]?key|key)"
+_QUOTED = r"\"(?P<{0}2>[^\"\r\n]+)\"|'(?P<{0}1>[^'\r\n]+)'"
+_SCHEME = r"(?!(?i:bearer|basic)[^\S\r\n])"
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)"
-    r"|(?:(?<=[=:])|[=:])[^\S\r\n]*[\"']?(?!(?i:bearer|basic)[^\S\r\n])(?P<assigned>[A-Za-z0-9_+/=.!@#$%^&*-]{4,})"
+    # between a user and the host of an address
+    r"|://[^\s/:@]*:(?P<login>[^\s/]+)(?=@)"
+    # after a name and a sign, on the same line or the next, of any length
+    rf"|{_NAME}[\"']?{_BLANK}(?:->|=>|:=|[=:]){_BLANK}(?:\r?\n{_BLANK})?(?:{_QUOTED.format('told')}|{_SCHEME}[\"']?(?P<told>{_VALUE}+))"
+    # after a name alone
+    rf"|{_NAME}[^\S\r\n]+(?:(?i:is)[^\S\r\n]+)?(?:{_QUOTED.format('named')}|[\"']?(?P<named>{_VALUE}{{4,}}))"
+    rf"|(?:(?<=[=:])|[=:]){_BLANK}[\"']?{_SCHEME}(?P<assigned>{_VALUE}{{4,}})"
     r"|(?<![A-Za-z0-9])(?i:bearer|basic)[^\S\r\n]+[\"']?(?P<bearer>[A-Za-z0-9_+/=.-]{8,})"
-    r"|(?<![A-Za-z0-9])(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key)[^\S\r\n]+(?:(?i:is)[^\S\r\n]+)?[\"']?(?P<named>[A-Za-z0-9_+/=.!@#$%^&*-]{6,})"
     r"|(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{14,}[A-Za-z0-9_+/-]={0,2}",
     re.S,
 )
@@ -42,7 +52,7 @@ BEFORE, AFTER = 3, 2  # neighbouring words
 LEAST_SEEN = 8  # findings beside which a word must be before it tells anything
 DICTIONARY_WORDS, LEAST_COUNT = 5000, 3
 #: Names of secrets in planted findings.
-SECRET_WORDS = "token secret password passwd pwd key apikey api_key api-key access_key secret_key client_secret auth authorization bearer credential".split()
+SECRET_WORDS = "token secret password passwd pwd key apikey api_key api-key access_key secret_key client_secret auth authorization bearer credential Passwort пароль contraseña 密码".split()
 #: Words of placeholders, which a corpus need not have.
 PLACEHOLDERS = "placeholder change changeme example sample test dummy your here insert value name user admin login mail www com org net http https html index null none true false default foo bar baz xxx abc password token secret key required".split()
 _CLASS = np.full(256, 27, np.uint8)
@@ -50,7 +60,7 @@ _CLASS[97:123] = np.arange(26)
 _CLASS[65:91] = np.arange(26)
 _CLASS[48:58] = 26
 FEATURES = ("length", "transitions", "coverage", "digits", "upper", "entropy", "symbols", "hex", "path", "address", "assigned", "quoted", "word_before", "words_before", "words_after", "block")
-_NEAR, _ANY_CASE = re.compile(r"[a-z]+|[0-9]+"), re.compile(r"[A-Za-z]+|[0-9]+")
+_NEAR = re.compile(r"[^\W\d_]+|\d+")
 
 
 @dataclass(frozen=True)
@@ -109,7 +119,7 @@ def _neighbours(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
             break
         reach *= 4
     after = []
-    for word in _ANY_CASE.finditer(text, end):
+    for word in _NEAR.finditer(text, end):
         after.append(word[0].lower())
         if len(after) == AFTER:
             break
@@ -126,9 +136,10 @@ def _features(text: str, start: int, end: int, corpus: Corpus, odds: dict[str, f
     blank = text.rfind(" ", 0, start)  # the nearest; line breaks are sought after it alone, not in the whole text
     line = text[max(text.rfind("\n", blank + 1, start), blank) + 1 : start]  # what is joined to it
     at = start
-    while at and text[at - 1] in " \t\"'":
+    while at and text[at - 1] in " \t\r\n\"'":
         at -= 1
     lead = text[at - 1 : at] if at else ""
+    arrow = text[max(0, at - 2) : at] in ("->", "=>")
     told = [odds.get(w, 0.0) for w in before] or [0.0]
     n = max(1, len(own))
     return [
@@ -142,7 +153,7 @@ def _features(text: str, start: int, end: int, corpus: Corpus, odds: dict[str, f
         float(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", own) is not None),
         float(own.count("/") + own.count("\\") + (re.search(r"\w/$|://\S*$", line) is not None)),
         float(text[start - 1 : start] == "@" or text[end : end + 1] == "@" or "@" in own or re.fullmatch(r"[0-9.-]+", own) is not None),
-        float(lead in ("=", ":") and lead != ""),
+        float(arrow or (lead in ("=", ":") and lead != "")),
         float(text[start - 1 : start] in ("\"", "'") and start > 0),
         told[-1],
         max(told) + min(told),
@@ -184,6 +195,11 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
         word = re.sub(r"\W", "", neighbour) or "neighbour"
         value = rng.choice((_random(rng, alnum, rng.randint(8, 24)), word + str(rng.randint(10, 9999)) + rng.choice(("", "secret", word[:4])), _random(rng, letters[:26], rng.randint(50, 90)) + _random(rng, alnum, 8))) if secret else rng.choice((word, "manager", "policy", "protected", "garden", "required", "economy"))
         return rng.choice(("{n} {v}", "{n} is {v}", '{n} "{v}"') if secret else ("{n} {v}", "{n} is {v}")).format(n=name, v=value), value, secret
+    if rng.random() < 0.06:  # logins in addresses, with ports as the look-alike
+        secret, host = rng.random() < 0.6, rng.choice(("db", "cache.internal", "10.0.0.7"))
+        value = rng.choice((_random(rng, alnum, rng.randint(4, 24)), _random(rng, letters[:26], 6) + _random(rng, digits, 2))) if secret else f"{rng.randint(1000, 9999)}/{re.sub(r'[^a-z]', '', neighbour.lower()) or 'word'}"
+        scheme = rng.choice(("postgres", "mysql", "redis", "https", "amqp"))
+        return f"{scheme}://user:{value}@{host}/main" if secret else f"{scheme}://{host}:{value}", value, secret
     if rng.random() < 0.5:
         value = rng.choice(
             [
@@ -198,10 +214,14 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
                 lambda: _random(rng, alnum, rng.randint(4, 11)),
                 lambda: _random(rng, letters[:26], rng.randint(4, 7)) + _random(rng, digits, rng.randint(1, 3)),
                 lambda: _random(rng, letters, rng.randint(10, 24)),
+                lambda: _random(rng, alnum, rng.choice((3, 3, 4))),
+                lambda: (re.sub(r"\W", "", neighbour) or "word") + _random(rng, digits, rng.randint(1, 4)) + rng.choice(("", *letters[:26], *"!#$")),
+                lambda: (re.sub(r"\W", "", neighbour) or "word").title() + _random(rng, digits, rng.randint(1, 4)) + rng.choice(("", *"!#$")),
+                lambda: _random(rng, "абвгдежзиклмнопрстуфхцчшыэюя", rng.randint(5, 9)) + _random(rng, digits, 2),
             ]
         )()
         name = rng.choice(SECRET_WORDS)
-        form = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n}:  {v}", "{n} =   {v}", "{n} = '{v}'", 'NAME_{n}="{v}"', '"{n}": "{v}"'])
+        form = rng.choice(['{n} = "{v}"', "{n}={v}", "{n}: {v}", "{n}:  {v}", "{n} =   {v}", "{n} = '{v}'", 'NAME_{n}="{v}"', '"{n}": "{v}"', "{n} -> {v}", "{n} => {v}", "{n}:\n  {v}"])
         name = name.upper() if rng.random() < 0.3 else name
         return form.format(n=name, v=value), value, True
     kind = rng.randrange(14)
@@ -234,7 +254,7 @@ def planted(rng: random.Random, neighbour: str) -> tuple[str, str, bool]:
 
 
 def labelled_findings(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 11) -> list[tuple[str, int, int, bool]]:
-    """(text, start, end, label): planted in about sample_docs documents, four in each.
+    """(text, start, end, label): planted in about sample_docs documents, FINDINGS in each.
 
     The sample is chosen by a hash of doc_id and holds at most 2 * sample_docs rows, each
     CONTEXT_WORDS words from a place in the text that a hash chooses: neighbours of the findings.
@@ -250,7 +270,7 @@ def labelled_findings(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, seed
     for row in rows.orderBy(F.xxhash64("doc_id"), "text").limit(2 * sample_docs).collect():
         rng = random.Random(f"{seed}:{row.doc_id}")
         words = row.text.split() or ["word"]
-        for _ in range(4):
+        for _ in range(FINDINGS):
             at = rng.randrange(len(words) + 1)
             passage, value, secret = planted(rng, rng.choice(words))
             before = " ".join(words[:at])
@@ -265,7 +285,18 @@ class Forest:
 
     def __init__(self, x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 5):
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.trees = [self._grow(x[at], y[at], depth, rng) for at in (rng.integers(0, len(y), len(y)) for _ in range(trees))] if len(y) else []
+        grown = [self._grow(x[at], y[at], depth, rng) for at in (rng.integers(0, len(y), len(y)) for _ in range(trees))] if len(y) else []
+        nodes: list[tuple[int, float, int, int]] = []
+        self.depth, self.roots = depth, np.array([self._flat(tree, nodes) for tree in grown], int)
+        self.feature, self.value, self.below, self.above = (np.array(c) for c in zip(*nodes, strict=True)) if nodes else [np.empty(0)] * 4
+
+    def _flat(self, tree, nodes: list[tuple[int, float, int, int]]) -> int:
+        """The place of a tree's root in nodes: feature, cut or vote, place of each side."""
+        at = len(nodes)
+        nodes.append((0, tree, at, at) if isinstance(tree, float) else (0, 0.0, 0, 0))
+        if not isinstance(tree, float):
+            nodes[at] = (tree[0], tree[1], self._flat(tree[2], nodes), self._flat(tree[3], nodes))
+        return at
 
     def _grow(self, x: np.ndarray, y: np.ndarray, depth: int, rng: np.random.Generator):
         if not depth or len(y) < 6 or y.min() == y.max():
@@ -285,14 +316,15 @@ class Forest:
         side = x[:, best[1]] <= best[2]
         return best[1], best[2], self._grow(x[side], y[side], depth - 1, rng), self._grow(x[~side], y[~side], depth - 1, rng)
 
-    def score(self, row: list[float]) -> float:
-        """Mean vote; without labelled findings every candidate is taken for a secret."""
-        total = 0.0
-        for node in self.trees:
-            while isinstance(node, tuple):
-                node = node[2] if row[node[0]] <= node[1] else node[3]
-            total += node
-        return total / len(self.trees) if self.trees else 1.0
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Mean vote for each row; without labelled findings every candidate is taken for a secret."""
+        if not self.roots.size:
+            return np.ones(len(x))
+        at = np.broadcast_to(self.roots, (len(x), len(self.roots)))
+        for _ in range(self.depth):  # leaves lead to themselves
+            low = np.take_along_axis(x, self.feature[at], axis=1) <= self.value[at]
+            at = np.where(low, self.below[at], self.above[at])
+        return self.value[at].mean(axis=1)
 
 
 @dataclass(frozen=True)
@@ -316,8 +348,12 @@ def train(documents: DataFrame, labelled: list[tuple[str, int, int, bool]] | Non
 def find_secrets(text: str, scanner: Scanner, keep_score: float = KEEP_SCORE) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of candidates, and (start, end, score) of those that are secrets."""
     found = [m.span(m.lastgroup or 0) for m in CANDIDATE.finditer(text)]
-    scored = [(a, b, scanner.forest.score(_features(text, a, b, scanner.corpus, scanner.odds))) for a, b in found]
-    return len(found), [s for s in scored if s[2] >= keep_score]
+    secrets = []
+    for at in range(0, len(found), SCORED_AT_ONCE):
+        some = found[at : at + SCORED_AT_ONCE]
+        scores = scanner.forest.scores(np.array([_features(text, a, b, scanner.corpus, scanner.odds) for a, b in some]))
+        secrets += [(a, b, s) for (a, b), s in zip(some, scores.tolist(), strict=True) if s >= keep_score]
+    return len(found), secrets
 
 
 @clash_free("_scan")
@@ -328,6 +364,9 @@ def scan_secrets(documents: DataFrame, labelled: list[tuple[str, int, int, bool]
     points. redacted is the whole text with each secret replaced by mask. Null texts have no
     candidates and stay null; empty texts stay empty; repeated rows are scanned alike. A worker
     holds one text of any length and its masked copy; candidates of any length are judged whole.
+    A value after a name of a secret and a sign may have any length and stand on the next line; after
+    a name alone or another sign it has 4 characters or more, beside neither 16 or more. A value with
+    blanks is whole only in quotes.
     """
     small_batches(documents.sparkSession)
     rows = documents.drop("n_candidates", "secrets", "redacted")

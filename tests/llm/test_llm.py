@@ -362,6 +362,52 @@ def test_secret_candidates_of_any_length():
     assert secret_scan._neighbours(f"first {word} = 'value' {word.upper()} last", 510, 515) == (["first", word], [word, "last"])
 
 
+def test_secret_candidates_in_every_form():
+    forms = {
+        "token=abc": "abc", "password:\n  hunter22x": "hunter22x", "password:\r\nhunter22x": "hunter22x", "secret is p@ss": "p@ss", "key 'Zx8#kk!mQ92'": "Zx8#kk!mQ92", "password -> hunter22x": "hunter22x",
+        "пароль: хунтер22": "хунтер22", "postgres://user:hunter2@host/db": "hunter2", "postgres://user:p@ss@host/db": "p@ss", 'secret_key = "p@ss w0rd"': "p@ss w0rd", "clientSecret=ab": "ab", "token: Bearer abcdefghijk": "abcdefghijk",
+    }
+    for text, value in forms.items():
+        assert value in [f"see {text}"[slice(*m.span(m.lastgroup or 0))] for m in secret_scan.CANDIDATE.finditer(f"see {text}")]
+    for text in ("monkey: the", "at 10:30 a: bc", ""):
+        assert not list(secret_scan.CANDIDATE.finditer(text))
+
+
+def test_short_and_foreign_secrets(spark):
+    rng = random.Random(6)
+    secrets = {"DB_PASSWORD -> hunter22x": "hunter22x", "password:\n  Tr0ub4dorq": "Tr0ub4dorq", "пароль: хунтер22": "хунтер22", "postgres://user:hunter2q@host/db": "hunter2q", "api_key => zq8KfLw2": "zq8KfLw2"}
+    clean = ["see https://site.example.org:8080/path", "key: value", "the key issue is here", "secret is that", "auth required"]
+    texts = [f"{prose(rng, 20)} {x} {prose(rng, 10)}" for x in [*secrets, *clean]]
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = frame(spark, texts).unionByName(real.withColumn("doc_id", F.col("doc_id") + 10000))
+    rows = secret_scan.scan_secrets(docs).collect()
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.secrets] for r in rows if r.doc_id < len(texts)}
+    assert [found[i] for i in range(len(texts))] == [[v] for v in secrets.values()] + [[] for _ in clean]
+    assert not any(r.secrets for r in rows if r.doc_id >= 10000)
+
+
+def test_forest_votes_as_its_trees():
+    rng = secret_scan.np.random.Generator(secret_scan.np.random.PCG64(3))
+    x = rng.integers(0, 5, (300, 4)).astype(float)
+    grown = []
+
+    class Kept(secret_scan.Forest):
+        def _grow(self, x, y, depth, rng):
+            tree = super()._grow(x, y, depth, rng)
+            grown.extend([tree] if depth == secret_scan.DEPTH else [])
+            return tree
+
+    forest = Kept(x, (x[:, 0] + x[:, 2] > 4).astype(float), trees=5)
+
+    def vote(node, row):
+        while isinstance(node, tuple):
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node
+
+    assert forest.scores(x).tolist() == pytest.approx([sum(vote(t, row) for t in grown) / 5 for row in x])
+    assert secret_scan.Forest(x[:0], x[:0, 0]).scores(x).tolist() == [1.0] * 300
+
+
 def brute_ppm(texts, order, alphabet):
     """Counts by context, and bits of a byte string by the definition."""
     counts = collections.defaultdict(collections.Counter)
