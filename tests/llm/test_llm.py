@@ -10,7 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from listwright.llm import decontam, fingerprints, html_text, lang_id, mixing, near_dup, passages, secret_scan, token_count, url_filter
+from listwright.llm import decontam, fingerprints, html_text, lang_id, mixing, near_dup, passages, queries, secret_scan, token_count, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -183,6 +183,16 @@ def test_urls(spark):
     assert [(r.rule, len(r.path)) for r in rows if r.page_id == 99] == [("net/de/", 2_000_004)]
 
 
+def test_urls_by_the_rules_of_the_contract(spark, tmp_path):
+    cases = [
+        ("http://NET/de/1", "net/de/", "allow"), ("http://a.example.net/de/7", "net/de/", "allow"), ("http://spam-a.other.net/de/8", "net/de/", "allow"), ("http://a.example.net/de/8", "example.net/de/8", "block"),
+        ("https://a.com/en/7", "com/en/", "block"), ("https://a.example.com/en/7", "example.com/en/7", "allow"), ("https://a.org/es/", "org/es/", "block"),
+    ]
+    spark.createDataFrame([(i, u) for i, (u, _, _) in enumerate(cases)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op3_url_filter(spark, str(tmp_path)).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in got] == [c[1:] for c in cases]
+
+
 def test_urls_by_several_cascades(spark):
     hosts = [f"{'spam' if i % 7 == 0 else 'fine'}-{i}.example.com" for i in range(600)]
     df = spark.createDataFrame([(i, f"https://{h}/") for i, h in enumerate(hosts * 2)], "page_id int, url string")
