@@ -241,10 +241,12 @@ def title_cut(title: Column, pattern: str = TITLE_META) -> Column:
 
 
 def html_to_text(html: Column) -> Column:
-    """Text lines of a page: scripts and styles dropped, one line per text node, no blank lines."""
-    out = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->|<[^>]*>", "\n")
+    """Text lines of a page: scripts and styles dropped, one line per text node, no blank lines.
+
+    Scripts and tags are searched for only where the page has their first characters."""
+    out = F.when(_any(html, ("<s", "<S")), F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")).otherwise(html)
+    out = F.when(_any(html, ("<",)), F.regexp_replace(out, r"(?s)<!--.*?-->|<[^>]*>", "\n")).otherwise(html)
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
     out = F.regexp_replace(out, r"[ \t]+", " ")
-    return F.regexp_replace(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+    return F.when(html == "", html).otherwise(F.regexp_replace(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from listwright.config import DEFAULT, Rules
 from listwright.functions.dates import badge_date
 from listwright.functions.keys import company_key
-from listwright.functions.text import found, html_to_text, matches, strip, title_cut
+from listwright.functions.text import found, html_to_text, let, matches, strip, title_cut
 
 TAG = r"<[^>]*>"
 
@@ -101,7 +101,7 @@ def nested_block(pages: DataFrame, name: str, least: int = 80) -> DataFrame:
     best = e.groupBy("page_id").agg(F.max_by(F.struct("pos", "end"), F.struct(size.alias("size"), (-F.col("pos")).alias("first"))).alias("b"))
     j = p.select("page_id", "pieces").join(best, "page_id", "left")
     upto = F.coalesce(F.col("b.end"), F.size("pieces") - 1)
-    text = html_to_text(F.array_join(F.slice("pieces", F.col("b.pos") + 2, upto - F.col("b.pos")), "\n"))
+    text = let(F.array_join(F.slice("pieces", F.col("b.pos") + 2, upto - F.col("b.pos")), "\n"), html_to_text)
     return j.select("page_id", F.coalesce(F.when(F.length(text) > least, text), F.lit("")).alias("body"))
 
 

@@ -51,7 +51,7 @@ def lists_board(payloads: DataFrame, source: str, company: str, run_ts: Column,
     """A root array: the body is the description and each list's heading and content, by lines."""
     job = payloads.select(F.explode(F.from_json(json, LISTS_BOARD)).alias("j"))
     parts = F.flatten(F.transform(F.coalesce("j.lists", F.array()), lambda x: F.array(x["text"], html_to_text(x["content"]))))
-    body = F.array_join(F.filter(F.concat(F.array("j.descriptionPlain"), parts), lambda x: x.isNotNull() & (x != "")), "\n")
+    body = F.array_join(F.array_remove(F.concat(F.array("j.descriptionPlain"), parts), ""), "\n")  # nulls are not joined
     day = F.to_date(F.timestamp_millis("j.createdAt"))
     return standardize(job.select(F.concat(F.lit(f"{source}_"), "j.id").alias("id"), F.lit(source).alias("source"), F.lit(company).alias("company_name"), F.col("j.text").alias("title"), F.col("j.hostedUrl").alias("origin_url"), F.col("j.categories.location").alias("location"), day.alias("posted_at"), body.alias("raw_html")), run_ts)
 

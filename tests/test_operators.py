@@ -164,3 +164,26 @@ def test_versions(spark, tmp_path):
     df = spark.createDataFrame([("a", "s")], "id string, source string")
     assert snapshots.write_next(df, path) == 1 and snapshots.write_next(df.union(df), path) == 2
     assert snapshots.read_latest(spark, path).count() == 2
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_payload_entries_are_gathered_as_texts(spark):
+    from listwright.plans import boards
+
+    rows = spark.createDataFrame([(1, 10, "a"), (1, 11, None), (2, 20, "b")], "key int, n int, t string").coalesce(1)
+    for before, after in (("[", "]"), ('{"list":[', "]}")):
+        landed = boards._landed(rows, "key", F.struct("n", "t"), before, after)
+        assert "collect_list(struct" not in plan_text(landed)
+        assert sorted(r.payload for r in landed.collect()) == sorted(before + x + after for x in ('{"n":10,"t":"a"},{"n":11}', '{"n":20,"t":"b"}'))
+
+
+def test_html_fragments(spark):
+    from listwright.functions import text as X
+
+    made = {"": "", "plain  text": "plain text", "a <SCRIPT>x</SCRIPT> b": "a b", "&l<style>x</style>t;b&gt;": "<b>", "<p>a</p>\t<p> b</p>": "a\nb", "x &amp;lt; y": "x &lt; y", "1 < 2": "1 < 2"}
+    rows = spark.createDataFrame([*made.items(), (None, None)], "html string, text string")
+    assert all(r.got == r.text for r in rows.select("text", X.html_to_text(F.col("html")).alias("got")).collect())
+    assert "CASE WHEN" in plan_text(rows.select(X.html_to_text(F.col("html"))))
