@@ -14,6 +14,7 @@ from listwright.config import DEFAULT, CompanyRules, Rules, TitleRules
 
 # A doubled label and its value, the unit of salaries, what ends a title's name.
 LABEL, SALARY_UNIT = r"경력[\s|]*경력[\s]*([^\n|]{1,24})", "만원"
+LABELLED, YEARS_NAMED = "경력", ("년", "경", "신")  # without them there is no label; no years, whatever the blanks
 TITLE_META = r"\s+(?:new|경력무관|신입|경력|D-?\d+|상시채용|수시채용|채용시)\b"
 U = "(?U)"  # Unicode \s, \d, \b as in the rules
 
@@ -130,7 +131,8 @@ def category(title: Column, rules: Rules = DEFAULT) -> Column:
 
 def earliest(text: Column, markers: Sequence[str], start: Column | None = None) -> Column:
     """1-based place of the first marker (after start), null if none is met."""
-    places = [F.nullif(F.locate(m, text) if start is None else F.call_function("locate", F.lit(m), text, start), F.lit(0)) for m in markers]
+    found_at = lambda m: F.locate(m, text) if start is None else let(F.call_function("locate", F.lit(m), text, start), lambda at: F.when(at > 0, at))
+    places = [F.when(F.contains(text, F.lit(m)), found_at(m)) for m in markers]  # contains is several times faster than locate
     return F.least(*places) if len(places) > 1 else places[0]
 
 
@@ -138,7 +140,7 @@ def requirement_section(text: Column, rules: Rules = DEFAULT) -> Column:
     """From the earliest start marker to the nearest end marker; null if there is none."""
     upto = lambda start: F.coalesce(earliest(text, rules.requirement_end, start + 1), F.length(text) + 1)
     section = let(earliest(text, rules.requirement_start), lambda start: F.substring(text, start, F.least(upto(start) - start, F.lit(rules.requirement_chars))))
-    return let(section, lambda s: F.when(strip(s) != "", s))
+    return let(section, lambda s: F.when(matches(s, r"\S"), s))
 
 
 def without_tail(text: Column, rules: Rules = DEFAULT) -> Column:
@@ -193,41 +195,54 @@ def with_experience(rows: DataFrame, text: Column, title: Column, rules: Rules =
     """
     tight = lambda c: F.replace(c, F.lit(" "), F.lit(""))
     newcomer = lambda c: F.col(c).contains("신입") & ~F.col(c).contains("경력")
-    rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(found(text, LABEL))})
-    rows = rows.withColumns({"_section": tight(requirement_section(F.col("_text"), rules)), "_body": tight(F.col("_text"))})
+    rows = rows.withColumns({"_text": text, "_titled": tight(title), "_label": tight(F.when(F.contains(text, F.lit(LABELLED)), found(text, LABEL)))})
     ranks = [F.when(F.contains("_text", F.lit(r)) & matches(F.col("_text"), rf"{r}\s?급(?!여)|{r}\s?이상"), years(F.lit(n), F.lit(None))) for r, n in rules.ranks]
     entry, open_ = years(F.lit(0), F.lit(1)), years(F.lit(0), F.lit(None))
     phrase = lambda c, bare: experience_phrase(F.col(c), bare, rules)
-    steps = [
-        F.coalesce(F.when(newcomer("_titled"), entry), phrase("_titled", True)),
-        F.coalesce(phrase("_label", True), F.when(F.col("_label").contains("무관"), open_), F.when(newcomer("_body"), entry)),
-        phrase("_section", False), phrase("_body", False), F.coalesce(*ranks, open_),
-    ]
-    rows = rows.withColumn("_asked", steps[0])
-    for step in steps[1:]:  # a wider scope is searched only where the narrower ones name nothing
-        rows = rows.withColumn("_asked", F.when(F.col("_asked").isNotNull(), F.col("_asked")).otherwise(step))
+    narrow = [F.coalesce(F.when(newcomer("_titled"), entry), phrase("_titled", True)), F.coalesce(phrase("_label", True), F.when(F.col("_label").contains("무관"), open_))]
+    wide = [F.when(newcomer("_body"), entry), phrase("_section", False), phrase("_body", False), F.coalesce(*ranks, open_)]
+    # A wider scope is made and searched only where the narrower ones name nothing.
+    widen = lambda rows, step: rows.withColumn("_asked", F.when(F.col("_asked").isNotNull(), F.col("_asked")).otherwise(step))
+    rows = widen(rows.withColumn("_asked", narrow[0]), narrow[1])
+    open_yet = F.col("_asked").isNull() & _any(F.col("_text"), YEARS_NAMED)
+    rows = rows.withColumns({"_section": F.when(open_yet, tight(requirement_section(F.col("_text"), rules))), "_body": F.when(open_yet, tight(F.col("_text")))})
+    for step in wide:
+        rows = widen(rows, step)
     return rows.withColumn(name, F.col("_asked")).drop("_asked", "_text", "_titled", "_label", "_section", "_body")
 
 
 def salary(text: Column, unit: str = SALARY_UNIT, over: str = "이상") -> Column:
     """struct(salary_min, salary_max); both null if none is named."""
-    tight = F.regexp_replace(text, "[, ]", "")
-    low, high, least = (_number(tight, rf"(\d+)[~-](\d+){unit}", 1), _number(tight, rf"(\d+)[~-](\d+){unit}", 2), _number(tight, rf"(\d+){unit}{over}"))
     pair = lambda a, b: F.struct(a.cast("int").alias("salary_min"), b.cast("int").alias("salary_max"))
+
+    def read(tight: Column) -> Column:
+        low, high, least = (_number(tight, rf"(\d+)[~-](\d+){unit}", 1), _number(tight, rf"(\d+)[~-](\d+){unit}", 2), _number(tight, rf"(\d+){unit}{over}"))
+        return F.coalesce(F.when(low.isNotNull() & high.isNotNull(), pair(low, high)), pair(least, F.lit(None)))
+
     named = F.contains(text, F.lit(unit[0]))  # else there is no unit, with blanks or without
-    return F.coalesce(F.when(named, F.coalesce(F.when(low.isNotNull() & high.isNotNull(), pair(low, high)), pair(least, F.lit(None)))), pair(F.lit(None), F.lit(None)))
+    lines = F.array_join(F.filter(F.split(text, "\n"), lambda x: F.contains(x, F.lit(unit[0]))), "\n")  # no amount spans lines
+    return F.coalesce(F.when(named, let(F.regexp_replace(lines, "[, ]", ""), read)), pair(F.lit(None), F.lit(None)))
 
 
 def tools(text: Column, words: Sequence[str] = DEFAULT.tools) -> Column:
     """Words met, upper-cased, sorted, joined by ', '; null if none."""
-    low = F.lower(text)
+    return let(F.lower(text), lambda low: tools_in(low, words))
+
+
+def tools_in(low: Column, words: Sequence[str] = DEFAULT.tools) -> Column:
+    """tools of a text in lower case."""
     met = F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))
     return F.nullif(F.array_join(F.array_sort(F.array_distinct(F.transform(met, F.upper))), ", "), F.lit(""))
 
 
 def tags(text: Column, dictionary: Sequence[tuple[str, Sequence[str]]]) -> Column:
     """Keys with a word in the text, in dictionary order."""
-    return let(F.lower(text), lambda low: F.array_compact(F.array(*[F.when(_any(low, words), F.lit(key)) for key, words in dictionary])))
+    return let(F.lower(text), lambda low: tags_in(low, dictionary))
+
+
+def tags_in(low: Column, dictionary: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """tags of a text in lower case."""
+    return F.array_compact(F.array(*[F.when(_any(low, words), F.lit(key)) for key, words in dictionary]))
 
 
 def summary(company: Column, kind: Column, title: Column, work: Column, low: Column, high: Column, used: Column) -> Column:

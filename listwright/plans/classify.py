@@ -13,11 +13,15 @@ from listwright.operators import lookups, sections
 def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Category rows of postings (id unique, company_name, title, raw_html), one per id."""
     spark = postings.sparkSession
-    both = F.concat_ws("\n", "title", "raw_html")
-    head = F.concat_ws("\n", "title", X.without_tail(F.col("raw_html"), rules))
-    rows = X.with_experience(postings, both, F.col("title"), rules, "_y").withColumn("_b", sections.bullets_of(F.split("raw_html", "\n"), rules)).select(
-        "_b", F.col("id").alias("job_id"), "company_name", "title", X.category(F.col("title"), rules).alias("primary_category"), "_y", X.salary(both).alias("_s"), X.work_type(both, rules).alias("work_type"),
-        X.tools(both, rules.tools).alias("tools_used"), X.tags(head, rules.certificates).alias("preferred_certifications"), X.tags(head, rules.skills).alias("preferred_skills_tags"),
+    # Texts that several rules search are columns first: lower case is made once, of the head only where a tail is cut.
+    rows = postings.withColumns({"_both": F.concat_ws("\n", "title", "raw_html"), "_cut": X.earliest(F.col("raw_html"), rules.tail_markers)})
+    rows = rows.withColumn("_low", F.lower("_both"))
+    head = F.lower(F.concat_ws("\n", "title", F.substring(F.col("raw_html"), F.lit(1), F.col("_cut") - 1)))
+    rows = rows.withColumn("_head", F.when(F.col("_cut").isNull(), F.col("_low")).otherwise(head))
+    opened = X.has_any(F.col("raw_html"), [*rules.section_requirements, *rules.section_preferences])  # else no line is in a section
+    rows = X.with_experience(rows, F.col("_both"), F.col("title"), rules, "_y").withColumn("_b", sections.bullets_of(F.when(opened, F.split("raw_html", "\n")), rules)).select(
+        "_b", F.col("id").alias("job_id"), "company_name", "title", X.category(F.col("title"), rules).alias("primary_category"), "_y", X.salary(F.col("_both")).alias("_s"), X.first_rule(F.col("_low"), rules.work_types, rules.work_type_unknown).alias("work_type"),
+        X.tools_in(F.col("_low"), rules.tools).alias("tools_used"), X.tags_in(F.col("_head"), rules.certificates).alias("preferred_certifications"), X.tags_in(F.col("_head"), rules.skills).alias("preferred_skills_tags"),
     )
     presets = spark.createDataFrame([(i, *p) for i, p in enumerate(rules.presets)], "ord long, preset string, revenue int, size int")
     fallbacks = spark.createDataFrame([(i, *f) for i, f in enumerate(rules.preset_fallbacks)], "ord long, keyword string, preset string")

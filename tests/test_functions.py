@@ -75,3 +75,16 @@ def test_dictionaries(spark):
     from listwright.config import DEFAULT
 
     assert values(spark, [("AICPA 우대",)], "t string", text.tags(F.col("t"), DEFAULT.certificates)) == [["CPA", "AICPA"]]
+
+
+def test_classify_makes_lower_case_once_for_each_text(spark):
+    from listwright.config import DEFAULT
+    from listwright.plans.classify import classify
+
+    rows = spark.createDataFrame([(1, "넥슨", "회계", "SAP 경 력 3 년 이상\n연봉 3,0 00 ~ 4,000 만 원\n자격요건\n- 공인회계사 우대함\n기업뉴스 CTA"), (2, "x", "세무", None)], "id long, company_name string, title string, raw_html string")
+    out = classify(rows, DEFAULT)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(_both") == 1 and plan.count("locate(기업뉴스") == 1
+    got = {r.job_id: r for r in out.collect()}
+    assert (got[1].min_experience, got[1].salary_min, got[1].salary_max, got[1].tools_used, got[1].key_requirements, got[1].preferred_certifications) == (3, 3000, 4000, "SAP", ["공인회계사 우대함"], ["CPA"])
+    assert (got[2].min_experience, got[2].salary_min, got[2].tools_used, got[2].key_requirements, got[2].primary_category) == (0, None, None, [], "세무")
